@@ -47,8 +47,7 @@ _p = ["NumWebPurchases_Ratio", "NumCatalogPurchases_Ratio", "NumStorePurchases_R
 SQL["purchase_features"] = feature_sql(["Total_Purchases", "Purchase_Channels_Used"] + _p, _p)
 _s = ["Total_Spent", "MntWines_Ratio", "MntFruits_Ratio", "MntMeatProducts_Ratio", "MntFishProducts_Ratio",
       "MntSweetProducts_Ratio", "MntGoldProds_Ratio", "Avg_Spent_Per_Purchase", "Total_Spent_Squared"]
-SQL["spending_features"] = feature_sql(["Spending_Categories_Used"] + _s[:-1], _s[:-1]).replace(
-    " FROM feat", ', round("Total_Spent_Squared", 2) AS "Total_Spent_Squared" FROM feat')
+SQL["spending_features"] = feature_sql(["Spending_Categories_Used"] + _s, _s)
 _l = ["MntWines_Log", "MntFruits_Log", "MntMeatProducts_Log", "MntFishProducts_Log", "MntSweetProducts_Log",
       "MntGoldProds_Log"]
 SQL["spending_logs"] = feature_sql(_l, _l)
@@ -63,3 +62,174 @@ SQL["web_features"] = feature_sql(["NumWebVisitsMonth_Log", "Web_Conversion_Rate
 SQL["interactions"] = feature_sql(["Recency_X_Campaign", "Recency_X_WebPurchases", "Campaign_X_WebPurchases"],
                                   ["Recency_X_Campaign", "Campaign_X_WebPurchases"])
 SQL["edu_marital"] = feature_sql(["Edu_Marital_Combined"], [])
+
+
+# ---------------------------------------------------------------- E*: encoding, fill, scaling, alignment
+# --- Fixed values: the category levels present in the driver data (TPC-H segments and regions).
+EDU_LEVELS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+MARITAL_LEVELS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+AGE_LABELS = ["<30", "30-40", "40-50", "50-60", "60+"]
+NUMERICAL = ["Year_Birth", "Income", "Kidhome", "Teenhome", "Dates", "Recency", "MntWines", "MntFruits",
+             "MntMeatProducts", "MntFishProducts", "MntSweetProducts", "MntGoldProds", "NumWebPurchases",
+             "NumCatalogPurchases", "NumStorePurchases", "NumDealsPurchases", "NumWebVisitsMonth", "AcceptedCmp1",
+             "AcceptedCmp2", "AcceptedCmp3", "AcceptedCmp4", "AcceptedCmp5", "Complain"]
+ENGINEERED = ["Dt_Year", "Dt_Month", "Dt_Day", "Dt_DayOfWeek", "Dt_DayOfYear", "Dt_Quarter", "Dt_Is_Weekend",
+              "Dt_Is_Month_Start", "Dt_Is_Month_End", "Age", "Age_Squared", "Total_Children", "Has_Children",
+              "Has_Kid", "Has_Teen", "Child_Ratio", "Total_Purchases", "NumWebPurchases_Ratio",
+              "NumCatalogPurchases_Ratio", "NumStorePurchases_Ratio", "NumDealsPurchases_Ratio",
+              "Purchase_Channels_Used", "Web_Store_Ratio", "Total_Spent", "MntWines_Ratio", "MntFruits_Ratio",
+              "MntMeatProducts_Ratio", "MntFishProducts_Ratio", "MntSweetProducts_Ratio", "MntGoldProds_Ratio",
+              "Spending_Categories_Used", "Avg_Spent_Per_Purchase", "MntWines_Log", "MntFruits_Log",
+              "MntMeatProducts_Log", "MntFishProducts_Log", "MntSweetProducts_Log", "MntGoldProds_Log",
+              "Total_Spent_Squared", "Campaign_Response_Rate", "Campaign_Response_Count", "Last_Campaign_Accepted",
+              "Previous_Response_Rate", "Income_Log", "Income_Sqrt", "Income_Per_Child", "Income_Per_Age",
+              "Income_Spent_Ratio", "Recency_Squared", "Recency_Log", "Recency_Purchase_Ratio",
+              "NumWebVisitsMonth_Log", "Web_Conversion_Rate", "Recency_X_Campaign", "Recency_X_WebPurchases",
+              "Campaign_X_WebPurchases"]
+FILLED = ["Income", "Income_Log", "Income_Sqrt", "Income_Per_Child", "Income_Per_Age", "Income_Spent_Ratio",
+          "Dt_Year", "Dt_Month", "Dt_Day", "Dt_DayOfWeek", "Dt_DayOfYear", "Dt_Quarter"]
+# --- end of fixed values
+
+FILLED_CTE = (",\nmed AS (SELECT " + ", ".join(f'median("{c}") AS "{c}"' for c in FILLED) + " FROM feat),\n"
+              "filled AS (SELECT f.* REPLACE (" + ", ".join(f'coalesce(f."{c}", med."{c}") AS "{c}"' for c in FILLED)
+              + ") FROM feat f CROSS JOIN med)")
+
+
+def with_filled(body: str, more: str = "") -> str:
+    return with_features(body, FILLED_CTE + more)
+
+
+def q(name):
+    return f'"{name}"'
+
+
+SQL["median_fill"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round(CAST("{c}" AS DOUBLE), 6) AS "{c}"' for c in FILLED) + " FROM filled")
+
+
+def _dummies():
+    items = [f"CAST(Education = '{v}' AS BIGINT) AS \"Education_{v}\"" for v in EDU_LEVELS]
+    items += [f"CAST(Marital_Status = '{v}' AS BIGINT) AS \"Marital_Status_{v}\"" for v in MARITAL_LEVELS]
+    items += [f"CAST(Age_Group = '{v}' AS BIGINT) AS \"Age_Group_{v}\"" for v in AGE_LABELS]
+    items += [f"CAST(Edu_Marital_Combined = '{e}_{m}' AS BIGINT) AS \"Edu_Marital_{e}_{m}\""
+              for e in EDU_LEVELS for m in MARITAL_LEVELS]
+    return items
+
+
+SQL["onehot_wide"] = with_features("SELECT ID, " + ", ".join(_dummies()) + " FROM feat")
+SQL["onehot_capped"] = with_profile(
+    "SELECT ID, [" + ", ".join(f"CAST(Education = '{v}' AS INTEGER)" for v in EDU_LEVELS) + "] AS Education_vec, ["
+    + ", ".join(f"CAST(Marital_Status = '{v}' AS INTEGER)" for v in MARITAL_LEVELS) + ", 0] AS Marital_Status_vec "
+    "FROM profile")
+SQL["onehot_map_join"] = with_profile(
+    "SELECT ID, Marital_Status, [" + ", ".join(f"CAST(Marital_Status = '{v}' AS INTEGER)" for v in MARITAL_LEVELS)
+    + "] AS Marital_Status_onehot FROM profile")
+SQL["column_select"] = with_features(
+    "SELECT ID, " + ", ".join(f'round("{c}", 6) AS "{c}"' for c in NUMERICAL + ENGINEERED) + " FROM feat")
+SQL["align_reference"] = with_filled(
+    "SELECT ID, CAST(0 AS BIGINT) AS \"Education_UNSEEN\", "
+    + ", ".join(f'round("{c}", 6) AS "{c}"' for c in reversed(NUMERICAL[:8]))
+    + ", CAST(Marital_Status = 'AFRICA' AS BIGINT) AS \"Marital_Status_AFRICA\""
+    + ", CAST(Age_Group = '60+' AS BIGINT) AS \"Age_Group_60+\""
+    + ", CAST(0 AS BIGINT) AS \"Edu_Marital_UNSEEN_UNSEEN\" FROM filled")
+
+CLUSTER_IN = NUMERICAL[:10]
+PCA_IN = NUMERICAL[:15]
+
+
+def zscore_cte(cols, name="z"):
+    stats = ", ".join(f'avg("{c}") AS "m_{c}", stddev_pop("{c}") AS "s_{c}"' for c in cols)
+    zs = ", ".join(f'("{c}" - st."m_{c}") / st."s_{c}" AS "z_{c}"' for c in cols)
+    return (f",\nst AS (SELECT {stats} FROM filled),\n"
+            f"{name} AS (SELECT ID, Target, {zs} FROM filled CROSS JOIN st)")
+
+
+SQL["standardise"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round("z_{c}", 6) AS "{c}_z"' for c in CLUSTER_IN) + " FROM z", zscore_cte(CLUSTER_IN))
+
+# ---------------------------------------------------------------- A*: advanced features
+POLY_IN = ["Recency", "Income", "MntWines", "NumWebPurchases", "NumCatalogPurchases"]
+PAIR_IN = ["Recency", "MntWines", "NumWebPurchases", "Income"]
+
+
+def _pairs(cols):
+    return [(cols[i], cols[j]) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+
+
+SQL["poly_interactions"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round(CAST("{a}" AS DOUBLE) * "{b}", 6) AS "Poly_{5 + k}"'
+                              for k, (a, b) in enumerate(_pairs(POLY_IN))) + " FROM filled")
+SQL["centre_distances"] = with_filled(
+    "SELECT z.ID, "
+    + ", ".join("round(sqrt(" + " + ".join(f'pow(z."z_{c}" - c{k}."z_{c}", 2)' for c in CLUSTER_IN) + f"), 6) AS Dist_{k}"
+                for k in (0, 1))
+    + " FROM z CROSS JOIN ctr c0 CROSS JOIN ctr c1 WHERE c0.Target = 0 AND c1.Target = 1",
+    zscore_cte(CLUSTER_IN) + ",\nctr AS (SELECT Target, " + ", ".join(f'avg("z_{c}") AS "z_{c}"' for c in CLUSTER_IN)
+    + " FROM z GROUP BY Target)")
+SQL["covariance_long"] = with_filled(
+    " UNION ALL ".join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_samp(\"z_{a}\", \"z_{b}\"), 6) AS covariance FROM z"
+                       for i, a in enumerate(PCA_IN) for b in PCA_IN[i:]), zscore_cte(PCA_IN))
+SQL["pair_ratios"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round("{a}" / ("{b}" + 0.001), 6) AS "{a}_div_{b}"' for a, b in _pairs(PAIR_IN))
+    + " FROM filled")
+SQL["pair_differences"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round(CAST("{a}" AS DOUBLE) - "{b}", 6) AS "{a}_minus_{b}"' for a, b in _pairs(PAIR_IN))
+    + " FROM filled")
+
+PAIR_COLS = [x for a, b in _pairs(PAIR_IN) for x in (f"{a}_div_{b}", f"{a}_minus_{b}")]
+PAIRS_CTE = (",\npx AS (SELECT filled.*, " + ", ".join(
+    [f'"{a}" / ("{b}" + 0.001) AS "{a}_div_{b}", CAST("{a}" AS DOUBLE) - "{b}" AS "{a}_minus_{b}"'
+     for a, b in _pairs(PAIR_IN)]) + " FROM filled)")
+
+
+def _row_stats(cols, prefix):
+    n = len(cols)
+    mean = "(" + " + ".join(f'CAST("{c}" AS DOUBLE)' for c in cols) + f") / {n}"
+    var = "(" + " + ".join(f'pow("{c}" - ({mean}), 2)' for c in cols) + f") / {n - 1}"
+    return f"round({mean}, 6) AS {prefix}_Mean, round(sqrt({var}), 6) AS {prefix}_Std"
+
+
+_all = NUMERICAL + ENGINEERED + PAIR_COLS
+SQL["purchase_stats"] = with_filled(
+    "SELECT ID, " + _row_stats([c for c in _all if "Purchase" in c], "Purchase") + " FROM px", PAIRS_CTE)
+SQL["spending_stats"] = with_filled(
+    "SELECT ID, " + _row_stats([c for c in _all if "Mnt" in c], "Spending") + " FROM px", PAIRS_CTE)
+SQL["extra_logs"] = with_filled(
+    "SELECT ID, " + ", ".join(f'round(ln(1 + "{c}"), 6) AS "{c}_Log"'
+                              for c in ["Recency", "Income", "NumWebPurchases", "MntWines"]) + " FROM filled")
+SQL["exp_decay"] = with_filled("SELECT ID, round(exp(-Recency / 10), 6) AS Recency_Exp_Decay FROM filled")
+
+
+def tiered_round(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` into the tiered rounding the Spark side uses:
+    about 11 significant digits, so values near 1e12 are not compared below
+    double precision."""
+    out, i = [], 0
+    key = "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            break
+        depth, k = 0, j + len(key) - 1
+        while True:
+            ch = sql[k]
+            depth += ch == "("
+            depth -= ch == ")"
+            if depth == 0:
+                break
+            k += 1
+        inner = sql[j + len(key):k]
+        if inner.endswith(", 6"):
+            x = tiered_round(inner[:-3])
+            out.append(sql[i:j])
+            out.append(f"(CASE WHEN abs({x}) >= 1e14 THEN round({x}, -3) WHEN abs({x}) >= 1e11 THEN round({x}, 0) "
+                       f"WHEN abs({x}) >= 1e8 THEN round({x}, 3) ELSE round({x}, 6) END)")
+        else:
+            out.append(sql[i:k + 1])
+        i = k + 1
+    return "".join(out)
+
+
+for _k in list(SQL):
+    SQL[_k] = tiered_round(SQL[_k])

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from responsekit.catalog import DATE_COL, DEFAULT_AS_OF_YEAR
 from responsekit.functions.base import add_base_features
 from responsekit.functions.dates import parse_mixed_date, tenure_season
+from responsekit.session import materialize
 from responsekit.sources.profile import customer_profile
 
 QUERIES: dict = {}
@@ -26,16 +27,36 @@ def query(name):
     return deco
 
 
-def rounded(df: DataFrame, cols=None, digits: int = 6) -> DataFrame:
-    """Project ``cols`` (default all) with double columns rounded."""
+def round_sig(x):
+    """Round to 6 decimals, or to ~11 significant digits for large magnitudes,
+    so results are compared at the precision a double actually carries."""
+    a = F.abs(x)
+    return (F.when(a >= 1e14, F.round(x, -3)).when(a >= 1e11, F.round(x, 0))
+            .when(a >= 1e8, F.round(x, 3)).otherwise(F.round(x, 6)))
+
+
+def rounded(df: DataFrame, cols=None) -> DataFrame:
+    """Project ``cols`` (default all) with double columns rounded by ``round_sig``."""
     types = dict(df.dtypes)
     cols = cols or df.columns
-    return df.select(*[F.round(F.col(f"`{c}`"), digits).alias(c) if types[c] in ("double", "float")
+    return df.select(*[round_sig(F.col(f"`{c}`")).alias(c) if types[c] in ("double", "float")
                        else F.col(f"`{c}`") for c in cols])
 
 
+_PROFILES: dict = {}
+
+
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_profile(spark, sf_dir)
+    """The customer profile, checkpointed once per session and input folder.
+
+    Every fit (date minimum, levels, medians, scalers) then reads the small
+    checkpointed table instead of re-joining lineitem/orders/part each time,
+    and a lost executor recomputes from the checkpoint, not the raw tables.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _PROFILES:
+        _PROFILES[key] = materialize(customer_profile(spark, sf_dir))
+    return _PROFILES[key]
 
 
 def min_parsed_date(df: DataFrame):
@@ -85,8 +106,7 @@ _feature_query("purchase_features", ["Total_Purchases", "NumWebPurchases_Ratio",
                                      "Purchase_Channels_Used", "Web_Store_Ratio"])
 @query("spending_features")
 def q_spending_features(spark, sf_dir):
-    # the squared total is ~1e11: compared at 2 decimals, the last bits are not significant
-    b = base_table(spark, sf_dir).withColumn("Total_Spent_Squared", F.round("Total_Spent_Squared", 2))
+    b = base_table(spark, sf_dir)
     return rounded(b, ["ID", "Total_Spent", "MntWines_Ratio", "MntFruits_Ratio", "MntMeatProducts_Ratio",
                        "MntFishProducts_Ratio", "MntSweetProducts_Ratio", "MntGoldProds_Ratio",
                        "Spending_Categories_Used", "Avg_Spent_Per_Purchase", "Total_Spent_Squared"])
@@ -100,3 +120,168 @@ _feature_query("recency_features", ["Recency_Squared", "Recency_Log", "Recency_P
 _feature_query("web_features", ["NumWebVisitsMonth_Log", "Web_Conversion_Rate"])
 _feature_query("interactions", ["Recency_X_Campaign", "Recency_X_WebPurchases", "Campaign_X_WebPurchases"])
 _feature_query("edu_marital", ["Edu_Marital_Combined"])
+
+
+# ---------------------------------------------------------------- encoding, fill, scaling, alignment (E*)
+from responsekit.catalog import AGE_GROUP_LABELS, EDU_COL, ENGINEERED_COLS, MARITAL_COL, NUMERICAL_COLS  # noqa: E402
+from responsekit.operators.align import align_columns, numeric_columns  # noqa: E402
+from responsekit.operators.encode import fit_levels, onehot_capped, onehot_map_join  # noqa: E402
+from responsekit.operators.scale import fit_scaler  # noqa: E402
+from responsekit.plans.preprocess import fit_features, transform_features  # noqa: E402
+
+FILLED_COLS = ["Income", "Income_Log", "Income_Sqrt", "Income_Per_Child", "Income_Per_Age", "Income_Spent_Ratio",
+               "Dt_Year", "Dt_Month", "Dt_Day", "Dt_DayOfWeek", "Dt_DayOfYear", "Dt_Quarter"]
+
+
+def filled_table(spark: SparkSession, sf_dir: str):
+    """Preprocessed table (ID, numeric features, dummies, Target), fitted on itself."""
+    prof = profile(spark, sf_dir)
+    model = fit_features(prof)
+    return transform_features(prof, model), model
+
+
+@query("median_fill")
+def q_median_fill(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(t.select("ID", *[F.col(c).cast("double").alias(c) for c in FILLED_COLS]))
+
+
+@query("onehot_wide")
+def q_onehot_wide(spark, sf_dir):
+    t, m = filled_table(spark, sf_dir)
+    return t.select("ID", *[F.col(f"`{c}`") for c in m.dummy_cols])
+
+
+@query("onehot_capped")
+def q_onehot_capped(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    edu, mar = fit_levels(p, EDU_COL), fit_levels(p, MARITAL_COL)
+    return p.select("ID", onehot_capped(EDU_COL, edu, 5).alias("Education_vec"),
+                    onehot_capped(MARITAL_COL, mar, 6).alias("Marital_Status_vec"))
+
+
+@query("onehot_map_join")
+def q_onehot_map_join(spark, sf_dir):
+    p = profile(spark, sf_dir).select("ID", MARITAL_COL)
+    return onehot_map_join(p, MARITAL_COL, fit_levels(p, MARITAL_COL), out="Marital_Status_onehot")
+
+
+@query("column_select")
+def q_column_select(spark, sf_dir):
+    b = base_table(spark, sf_dir)
+    return rounded(b, ["ID"] + numeric_columns(b, exclude=["ID", "Target"]))
+
+
+ALIGN_REFERENCE = (["Education_UNSEEN"] + list(reversed(NUMERICAL_COLS[:8]))
+                   + ["Marital_Status_AFRICA", "Age_Group_60+", "Edu_Marital_UNSEEN_UNSEEN"])
+
+
+@query("align_reference")
+def q_align_reference(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(align_columns(t, ALIGN_REFERENCE, keep=["ID"]))
+
+
+@query("standardise")
+def q_standardise(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    cols = NUMERICAL_COLS[:10]
+    sc = fit_scaler(t, cols)
+    return rounded(t.select("ID", *[e.alias(f"{c}_z") for c, e in sc.columns(cols).items()]))
+
+
+# ---------------------------------------------------------------- advanced features (A*)
+from responsekit.catalog import EXTRA_LOG_INPUTS, PAIR_INPUTS, POLY_INPUTS  # noqa: E402
+from responsekit.functions.advanced import (euclidean, exp_decay, extra_logs, pair_differences,  # noqa: E402
+                                            pair_ratios, poly_interactions, row_mean_std)
+from responsekit.operators.advanced import (advanced_inputs, covariance_long, fit_kmeans, fit_nonneg,  # noqa: E402
+                                            fit_pca)
+
+
+@query("poly_interactions")
+def q_poly(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(t.select("ID", *[e.alias(n) for n, e in poly_interactions(POLY_INPUTS).items()]))
+
+
+@query("centre_distances")
+def q_centre_distances(spark, sf_dir):
+    """A3 with centres that SQL can reproduce: the per-class means of the standardised inputs."""
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:10]
+    sc = fit_scaler(t, cols)
+    z = t.select("ID", "Target", *[e.alias(f"z_{c}") for c, e in sc.columns(cols).items()])
+    zc = [f"z_{c}" for c in cols]
+    rows = {r["Target"]: [r[c] for c in zc] for r in z.groupBy("Target").agg(*[F.avg(c).alias(c) for c in zc]).collect()}
+    return rounded(z.select("ID", *[euclidean(zc, rows[k]).alias(f"Dist_{k}") for k in sorted(rows)]))
+
+
+@query("covariance_long")
+def q_covariance_long(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:15]
+    sc = fit_scaler(t, cols)
+    return rounded(covariance_long(t.select(*[e.alias(c) for c, e in sc.columns(cols).items()]), cols))
+
+
+@query("pair_ratios")
+def q_pair_ratios(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(t.select("ID", *[e.alias(n) for n, e in pair_ratios(PAIR_INPUTS).items()]))
+
+
+@query("pair_differences")
+def q_pair_differences(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(t.select("ID", *[e.alias(n) for n, e in pair_differences(PAIR_INPUTS).items()]))
+
+
+def _with_pairs(t):
+    cols = {}
+    r, d = pair_ratios(PAIR_INPUTS), pair_differences(PAIR_INPUTS)
+    for a, b in zip(r, d):
+        cols[a], cols[b] = r[a], d[b]
+    return t.withColumns(cols)
+
+
+def _row_stats_query(name, token, prefix):
+    @query(name)
+    def q(spark, sf_dir):
+        t, _ = filled_table(spark, sf_dir)
+        t = _with_pairs(t)
+        cols = [c for c in advanced_inputs(t) if token in c]
+        mean, std = row_mean_std(cols)
+        return rounded(t.select("ID", mean.alias(f"{prefix}_Mean"), std.alias(f"{prefix}_Std")))
+    return q
+
+
+_row_stats_query("purchase_stats", "Purchase", "Purchase")
+_row_stats_query("spending_stats", "Mnt", "Spending")
+
+
+@query("extra_logs")
+def q_extra_logs(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    flags = fit_nonneg(t, EXTRA_LOG_INPUTS)
+    return rounded(t.select("ID", *[e.alias(n) for n, e in extra_logs(flags).items()]))
+
+
+@query("exp_decay")
+def q_exp_decay(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    return rounded(t.select("ID", exp_decay("Recency").alias("Recency_Exp_Decay")))
+
+
+@query("kmeans_features")
+def q_kmeans(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    cm = fit_kmeans(t, advanced_inputs(t)[:10], k=2)
+    out = cm.transform(t)
+    return out.select("ID", "Cluster_2", "Cluster_2_Dist_0", "Cluster_2_Dist_1")
+
+
+@query("pca_features")
+def q_pca(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    pm = fit_pca(t, advanced_inputs(t)[:15], 3)
+    return t.select("ID", *[e.alias(n) for n, e in pm.columns().items()])
