@@ -231,5 +231,105 @@ def tiered_round(sql: str) -> str:
     return "".join(out)
 
 
+
+
+# ---------------------------------------------------------------- B*: splits, folds, weights
+HASH = "CAST(('0x' || substr(md5(CAST(ID AS VARCHAR) || ':42'), 1, 8)) AS BIGINT)"
+RANKED = (f",\nhp AS (SELECT ID, Target, {HASH} AS h FROM profile),\n"
+          "rk AS (SELECT ID, Target, row_number() OVER (PARTITION BY Target ORDER BY h, ID) AS r, "
+          "count(*) OVER (PARTITION BY Target) AS n FROM hp)")
+SQL["stratified_split"] = f"WITH {PROFILE_CTE}{RANKED} SELECT ID, Target, CAST(r <= ceil(0.3 * n) AS INTEGER) AS is_valid FROM rk"
+SQL["random_split"] = with_profile(f"SELECT ID, CAST({HASH} < {int(0.2 * 2 ** 32)} AS INTEGER) AS is_valid FROM profile")
+SQL["kfold_assign"] = (f"WITH {PROFILE_CTE}{RANKED} SELECT ID, Target, CAST("
+                       + " + ".join(f"CAST(r > ceil({j} / 5 * n) AS INTEGER)" for j in range(1, 5))
+                       + " AS INTEGER) AS fold FROM rk")
+SQL["imbalance_ratio"] = with_profile("""
+SELECT CAST(sum(CASE WHEN Target = 0 THEN n ELSE 0 END) AS BIGINT) AS n_0,
+       CAST(sum(CASE WHEN Target = 1 THEN n ELSE 0 END) AS BIGINT) AS n_1,
+       round(min(n) / max(n), 6) AS ratio,
+       CAST(min(n) / max(n) < 0.2 AS INTEGER) AS imbalanced
+FROM (SELECT Target, count(*) AS n FROM profile GROUP BY Target) c""")
+SQL["class_weights"] = with_profile("""
+SELECT Target, n, round(max(n) OVER () / n, 6) AS w_balanced, round(sqrt(max(n) OVER () / n), 6) AS w_sqrt
+FROM (SELECT Target, count(*) AS n FROM profile GROUP BY Target) c""")
+SQL["pos_weight"] = with_profile("""
+SELECT ID, Target, round(CASE WHEN Target = 1 THEN
+  (SELECT count(*) FILTER (WHERE Target = 0) / count(*) FILTER (WHERE Target = 1) FROM profile) ELSE 1.0 END, 6) AS weight
+FROM profile""")
+
+# ---------------------------------------------------------------- V*: metrics on a deterministic scorecard
+SCORED = (",\nscored AS (SELECT ID, Target AS y, round(1.0 / (1.0 + exp(-(0.8::DOUBLE * Campaign_Response_Count"
+          " + 0.15::DOUBLE * NumWebPurchases - 0.005::DOUBLE * Recency - 1.0::DOUBLE))), 6) AS p FROM feat),\n"
+          "sc AS (SELECT ID, y, p, CAST(p >= 0.5 AS INTEGER) AS pred FROM scored)")
+
+
+def with_scored(body: str, more: str = "") -> str:
+    return with_features(body, SCORED + more)
+
+
+SQL["accuracy"] = with_scored("SELECT round(avg(CAST(y = pred AS DOUBLE)), 6) AS accuracy, count(*) AS n FROM sc")
+SQL["auc_exact"] = with_scored("""
+SELECT round(CAST(sum(pos * (below + 0.5 * neg)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6) AS auc,
+       CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg FROM w""", """,
+d AS (SELECT p AS s, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 0 THEN 1 ELSE 0 END) AS neg
+      FROM sc GROUP BY p),
+w AS (SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+      FROM d)""")
+CONF = """,
+cf AS (SELECT CAST(count(*) FILTER (WHERE y = 1 AND pred = 1) AS DOUBLE) AS tp,
+              CAST(count(*) FILTER (WHERE y = 0 AND pred = 1) AS DOUBLE) AS fp,
+              CAST(count(*) FILTER (WHERE y = 1 AND pred = 0) AS DOUBLE) AS fn,
+              CAST(count(*) FILTER (WHERE y = 0 AND pred = 0) AS DOUBLE) AS tn FROM sc),
+m AS (SELECT *,
+  CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS p1, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS r1,
+  CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0 END AS p0, CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0 END AS r0,
+  tp + fn AS s1, tn + fp AS s0, tp + fn + tn + fp AS n FROM cf),
+m2 AS (SELECT *, CASE WHEN p1 + r1 > 0 THEN 2 * p1 * r1 / (p1 + r1) ELSE 0 END AS f1,
+                 CASE WHEN p0 + r0 > 0 THEN 2 * p0 * r0 / (p0 + r0) ELSE 0 END AS f0 FROM m)"""
+SQL["class_report"] = with_scored("""
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM (
+  SELECT '0' AS label, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM m2
+  UNION ALL SELECT '1', p1, r1, f1, s1 FROM m2
+  UNION ALL SELECT 'accuracy', NULL, NULL, CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0 END, n FROM m2
+  UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM m2
+  UNION ALL SELECT 'weighted avg', (p0 * s0 + p1 * s1) / n, (r0 * s0 + r1 * s1) / n, (f0 * s0 + f1 * s1) / n, n FROM m2) t""",
+                                  CONF)
+SQL["confusion"] = with_scored("SELECT y AS true_label, pred AS predicted, count(*) AS n FROM sc GROUP BY y, pred")
+SQL["f1_sweep"] = with_scored("""
+SELECT round(k / 100, 6) AS threshold, tp, fp, fn, round(pr, 6) AS precision, round(rc, 6) AS recall,
+       round(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0 END, 6) AS f1 FROM (
+  SELECT k, tp, fp, fn, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END AS pr,
+         CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0 END AS rc FROM (
+    SELECT t.k, count(*) FILTER (WHERE sc.p > t.k / 100 AND sc.y = 1) AS tp,
+           count(*) FILTER (WHERE sc.p > t.k / 100 AND sc.y = 0) AS fp,
+           count(*) FILTER (WHERE NOT (sc.p > t.k / 100) AND sc.y = 1) AS fn
+    FROM (SELECT CAST(range AS INTEGER) AS k FROM range(10, 90, 5)) t CROSS JOIN sc GROUP BY t.k) a) b""")
+SQL["accuracy_sweep"] = with_scored("""
+SELECT round(t.k / 100, 6) AS threshold,
+       count(*) FILTER (WHERE CAST(sc.p >= t.k / 100 AS INTEGER) = sc.y) AS correct,
+       round(count(*) FILTER (WHERE CAST(sc.p >= t.k / 100 AS INTEGER) = sc.y) / count(*), 6) AS accuracy
+FROM (SELECT CAST(range AS INTEGER) AS k FROM range(10, 90)) t CROSS JOIN sc GROUP BY t.k""")
+SQL["log_loss"] = with_scored("""
+SELECT round(avg(-(y * ln(q) + (1 - y) * ln(1 - q))), 6) AS log_loss
+FROM (SELECT y, least(greatest(p, 1e-15), 1 - 1e-15) AS q FROM sc) t""")
+SQL["label_threshold"] = with_scored("""
+SELECT ID, round(p, 6) AS p, CAST(p >= 0.5 AS INTEGER) AS pred_ge, CAST(p > 0.5 AS INTEGER) AS pred_gt,
+       CAST(p >= 0.35 AS INTEGER) AS pred_stored FROM sc""")
+SQL["soft_vote"] = with_features("""
+SELECT ID, round(v, 6) AS p_vote, CAST(v >= 0.5 AS INTEGER) AS pred FROM (
+  SELECT ID, (round(1.0 / (1.0 + exp(-(0.8::DOUBLE * Campaign_Response_Count - 1.0::DOUBLE))), 6)
+            + round(1.0 / (1.0 + exp(-(0.15::DOUBLE * NumWebPurchases - 0.005::DOUBLE * Recency))), 6)
+            + round(1.0 / (1.0 + exp(-(0.5::DOUBLE * Complain + 0.1::DOUBLE * NumWebVisitsMonth - 0.5::DOUBLE))), 6)) / 3 AS v
+  FROM feat) t""")
+SQL["class_distribution"] = with_profile("""
+SELECT Target, n, round(n * 100.0 / sum(n) OVER (), 6) AS percent
+FROM (SELECT Target, count(*) AS n FROM profile GROUP BY Target) c""")
+SQL["prediction_distribution"] = with_scored("""
+SELECT pred, n, round(n * 100.0 / sum(n) OVER (), 6) AS percent FROM (SELECT pred, count(*) AS n FROM sc GROUP BY pred) c""")
+SQL["validation_dump"] = with_scored("""
+SELECT ID, CAST(y AS INTEGER) AS true_values, round(p, 6) AS predicted_probabilities, pred AS predictions FROM (
+  SELECT sc.*, row_number() OVER (PARTITION BY y ORDER BY """ + HASH + """, ID) AS r, count(*) OVER (PARTITION BY y) AS n
+  FROM sc) t WHERE r <= ceil(0.3 * n)""")
+
 for _k in list(SQL):
     SQL[_k] = tiered_round(SQL[_k])

@@ -7,7 +7,7 @@ aggregates on the way and enter the returned plan as literals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -285,3 +285,147 @@ def q_pca(spark, sf_dir):
     t, _ = filled_table(spark, sf_dir)
     pm = fit_pca(t, advanced_inputs(t)[:15], 3)
     return t.select("ID", *[e.alias(n) for n, e in pm.columns().items()])
+
+
+# ---------------------------------------------------------------- sampling (B*) and evaluation (V*, M6, M10, P6, P7, S7)
+from responsekit.operators import evaluate as V  # noqa: E402
+from responsekit.operators.sampling import (class_counts, class_weights, imbalance_ratio, is_imbalanced,  # noqa: E402
+                                            kfold_assign, pos_weight, random_split, stratified_split,
+                                            with_pos_weight)
+
+
+@query("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return stratified_split(profile(spark, sf_dir).select("ID", "Target"), fraction=0.3, seed=42)
+
+
+@query("random_split")
+def q_random_split(spark, sf_dir):
+    return random_split(profile(spark, sf_dir).select("ID"), fraction=0.2, seed=42)
+
+
+@query("kfold_assign")
+def q_kfold_assign(spark, sf_dir):
+    return kfold_assign(profile(spark, sf_dir).select("ID", "Target"), k=5, seed=42)
+
+
+@query("imbalance_ratio")
+def q_imbalance_ratio(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    c = p.groupBy("Target").agg(F.count("*").alias("n"))
+    return c.agg(F.sum(F.when(F.col("Target") == 0, F.col("n")).otherwise(0)).alias("n_0"),
+                 F.sum(F.when(F.col("Target") == 1, F.col("n")).otherwise(0)).alias("n_1"),
+                 (F.min("n") / F.max("n")).alias("ratio")).withColumn(
+        "imbalanced", (F.col("ratio") < 0.2).cast("int"))
+
+
+@query("class_weights")
+def q_class_weights(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    counts = class_counts(p)
+    bal, sq = class_weights(counts, "Balanced"), class_weights(counts, "SqrtBalanced")
+    c = p.groupBy("Target").agg(F.count("*").alias("n"))
+    wb, ws = F.lit(None).cast("double"), F.lit(None).cast("double")
+    for y in counts:
+        wb = F.when(F.col("Target") == y, F.lit(bal[y])).otherwise(wb)
+        ws = F.when(F.col("Target") == y, F.lit(sq[y])).otherwise(ws)
+    return rounded(c.select("Target", "n", wb.alias("w_balanced"), ws.alias("w_sqrt")))
+
+
+@query("pos_weight")
+def q_pos_weight(spark, sf_dir):
+    p = profile(spark, sf_dir).select("ID", "Target")
+    return rounded(with_pos_weight(p, pos_weight(class_counts(p))))
+
+
+def scorecard_p(z):
+    return F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-z)), 6)
+
+
+def scored(spark, sf_dir) -> DataFrame:
+    """A deterministic scorecard over real features: metrics can be checked without a learned model."""
+    b = base_table(spark, sf_dir)
+    z = (F.lit(0.8) * F.col("Campaign_Response_Count") + F.lit(0.15) * F.col("NumWebPurchases")
+         - F.lit(0.005) * F.col("Recency") - F.lit(1.0))
+    p = scorecard_p(z)
+    return b.select("ID", F.col("Target").alias("y"), p.alias("p")).withColumn(
+        "pred", V.label_threshold(F.col("p"), 0.5))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    return rounded(V.accuracy(scored(spark, sf_dir)))
+
+
+@query("auc_exact")
+def q_auc(spark, sf_dir):
+    return rounded(V.auc_exact(scored(spark, sf_dir)))
+
+
+@query("class_report")
+def q_class_report(spark, sf_dir):
+    return rounded(V.class_report(scored(spark, sf_dir)))
+
+
+@query("confusion")
+def q_confusion(spark, sf_dir):
+    return V.confusion(scored(spark, sf_dir))
+
+
+@query("f1_sweep")
+def q_f1_sweep(spark, sf_dir):
+    return rounded(V.f1_sweep(scored(spark, sf_dir)))
+
+
+@query("accuracy_sweep")
+def q_accuracy_sweep(spark, sf_dir):
+    return rounded(V.accuracy_sweep(scored(spark, sf_dir)))
+
+
+@query("log_loss")
+def q_log_loss(spark, sf_dir):
+    return rounded(V.log_loss(scored(spark, sf_dir)))
+
+
+@query("label_threshold")
+def q_label_threshold(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    p = F.col("p")
+    return s.select("ID", "p", V.label_threshold(p, 0.5).alias("pred_ge"), V.label_threshold(p, 0.5, True).alias("pred_gt"),
+                    V.label_threshold(p, 0.35).alias("pred_stored"))
+
+
+@query("soft_vote")
+def q_soft_vote(spark, sf_dir):
+    """M6: mean of three member probabilities, each a scorecard over different features."""
+    b = base_table(spark, sf_dir)
+    p1 = scorecard_p(F.lit(0.8) * F.col("Campaign_Response_Count") - F.lit(1.0))
+    p2 = scorecard_p(F.lit(0.15) * F.col("NumWebPurchases") - F.lit(0.005) * F.col("Recency"))
+    p3 = scorecard_p(F.lit(0.5) * F.col("Complain") + F.lit(0.1) * F.col("NumWebVisitsMonth") - F.lit(0.5))
+    vote = (p1 + p2 + p3) / 3
+    return rounded(b.select("ID", vote.alias("p_vote"), V.label_threshold(vote, 0.5).alias("pred")))
+
+
+@query("class_distribution")
+def q_class_distribution(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    c = p.groupBy("Target").agg(F.count("*").alias("n"))
+    tot = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return rounded(c.select("Target", "n", (F.col("n") * 100.0 / tot).alias("percent")))
+
+
+@query("prediction_distribution")
+def q_prediction_distribution(spark, sf_dir):
+    s = scored(spark, sf_dir)
+    c = s.groupBy("pred").agg(F.count("*").alias("n"))
+    tot = F.sum("n").over(Window.partitionBy(F.lit(1)))
+    return rounded(c.select("pred", "n", (F.col("n") * 100.0 / tot).alias("percent")))
+
+
+@query("validation_dump")
+def q_validation_dump(spark, sf_dir):
+    """(true_values, predicted_probabilities, predictions) for the validation rows."""
+    s = scored(spark, sf_dir)
+    v = stratified_split(s.withColumnRenamed("y", "Target"), fraction=0.3, seed=42).filter("is_valid = 1")
+    return v.select("ID", F.col("Target").cast("int").alias("true_values"),
+                    F.col("p").alias("predicted_probabilities"), F.col("pred").alias("predictions"))
