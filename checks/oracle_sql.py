@@ -333,3 +333,33 @@ SELECT ID, CAST(y AS INTEGER) AS true_values, round(p, 6) AS predicted_probabili
 
 for _k in list(SQL):
     SQL[_k] = tiered_round(SQL[_k])
+
+
+# ---------------------------------------------------------------- B6: SMOTE, brute force
+def _hash(*parts):
+    inner = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts[:-1])
+    return f"CAST(('0x' || substr(md5({inner} || ':{parts[-1]}'), 1, 8)) AS BIGINT)"
+
+
+KNN_CTE = zscore_cte(CLUSTER_IN) + """,
+mz AS (SELECT * FROM z WHERE Target = 1),
+pairs AS (SELECT a.ID, b.ID AS neighbour_id, sqrt(""" + " + ".join(f'pow(a."z_{c}" - b."z_{c}", 2)' for c in CLUSTER_IN) + """) AS distance
+          FROM mz a JOIN mz b ON a.ID <> b.ID),
+knn AS (SELECT ID, neighbour_id, CAST(rn AS INTEGER) AS nb_rank, distance FROM (
+          SELECT *, row_number() OVER (PARTITION BY ID ORDER BY distance, neighbour_id) AS rn FROM pairs) t WHERE rn <= 5)"""
+SQL["smote_neighbours"] = with_filled("SELECT ID, neighbour_id, nb_rank, round(distance, 6) AS distance FROM knn", KNN_CTE)
+SQL["smote_rows"] = with_filled(
+    "SELECT CAST(NULL AS BIGINT) AS ID, e.ID AS source_id, CAST(e.j AS INTEGER) AS j, k.neighbour_id AS nb_id, "
+    + ", ".join(f'round(e."z_{c}" + e.lam * (nb."z_{c}" - e."z_{c}"), 6) AS "z_{c}"' for c in CLUSTER_IN)
+    + ", CAST(1 AS BIGINT) AS Target, 1 AS synthetic "
+      "FROM ex2 e JOIN knn k ON e.ID = k.ID AND e.nb_rank = k.nb_rank JOIN mz nb ON nb.ID = k.neighbour_id",
+    KNN_CTE + f""",
+cnt AS (SELECT count(*) FILTER (WHERE Target = 1) AS n_min, count(*) FILTER (WHERE Target = 0) AS n_maj FROM z),
+mh AS (SELECT mz.*, row_number() OVER (ORDER BY {_hash('ID', 42)}, ID) AS r FROM mz),
+gen AS (SELECT mh.*, (n_maj - n_min) // n_min + CASE WHEN r <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS g
+        FROM mh CROSS JOIN cnt),
+ex AS (SELECT gen.*, unnest(range(1, g + 1)) AS j FROM gen),
+ex2 AS (SELECT ex.*, CAST({_hash('ID', 'j', 42)} % 5 + 1 AS INTEGER) AS nb_rank,
+               {_hash('ID', 'j', 43)} / 4294967296.0 AS lam FROM ex)""")
+SQL["smote_rows"] = tiered_round(SQL["smote_rows"])
+SQL["smote_neighbours"] = tiered_round(SQL["smote_neighbours"])

@@ -96,8 +96,11 @@ def auc_exact(df: DataFrame, y: str = Y, p: str = P, buckets: int = 1000) -> Dat
         F.sum((F.col(y) == 1).cast("long")).alias("pos"), F.sum((F.col(y) == 0).cast("long")).alias("neg"))
     qs = [i / buckets for i in range(1, buckets)]
     cuts = sorted(set(d.approxQuantile("s", qs, 1.0 / (4 * buckets)))) if qs else []
-    splits = [float("-inf")] + cuts + [float("inf")]
-    b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(d)
+    if cuts:
+        splits = [float("-inf")] + cuts + [float("inf")]
+        b = Bucketizer(splits=splits, inputCol="s", outputCol="bucket", handleInvalid="keep").transform(d)
+    else:
+        b = d.withColumn("bucket", F.lit(0.0))
     totals = {int(r["bucket"]): (r["bneg"], r["bpos"]) for r in
               b.groupBy("bucket").agg(F.sum("neg").alias("bneg"), F.sum("pos").alias("bpos")).collect()}
     before, acc = {}, 0

@@ -46,11 +46,16 @@ def target_rank(q: float, n: int) -> int:
 
 
 def rank_thresholds(df: DataFrame, group: str, value: str, tie: str, quantiles,
-                    counts: dict | None = None) -> dict:
-    """{(g, q): (value, tie) of the row with rank ceil(q * n_g)}; rank 0 -> None."""
+                    counts: dict | None = None, ranks: dict | None = None) -> dict:
+    """{(g, q): (value, tie) of the row with rank ceil(q * n_g)}; rank 0 -> None.
+
+    ``ranks`` may give the exact wanted rank per (g, q) instead of ceil(q * n_g).
+    """
     counts = counts if counts is not None else group_counts(df, group)
     quantiles = list(quantiles)
     want = {(g, q): target_rank(q, n) for g, n in counts.items() for q in quantiles}
+    if ranks:
+        want.update(ranks)
     out = {key: None for key, r in want.items() if r <= 0}
     pending = [key for key, r in want.items() if r > 0]
     delta = 4.0 / ACCURACY

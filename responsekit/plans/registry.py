@@ -429,3 +429,29 @@ def q_validation_dump(spark, sf_dir):
     v = stratified_split(s.withColumnRenamed("y", "Target"), fraction=0.3, seed=42).filter("is_valid = 1")
     return v.select("ID", F.col("Target").cast("int").alias("true_values"),
                     F.col("p").alias("predicted_probabilities"), F.col("pred").alias("predictions"))
+
+
+# ---------------------------------------------------------------- SMOTE
+from responsekit.operators.smote import knn_exact, smote  # noqa: E402
+
+
+def minority_z(spark, sf_dir):
+    """Standardised cluster inputs of every row (scaler fitted on all rows)."""
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:10]
+    sc = fit_scaler(t, cols)
+    z = t.select("ID", "Target", *[e.alias(f"z_{c}") for c, e in sc.columns(cols).items()])
+    return z, [f"z_{c}" for c in cols]
+
+
+@query("smote_neighbours")
+def q_smote_neighbours(spark, sf_dir):
+    z, zc = minority_z(spark, sf_dir)
+    nb = knn_exact(z.filter("Target = 1"), zc, k=5)
+    return rounded(nb.select("ID", F.col("nb_id").alias("neighbour_id"), "nb_rank", F.col("dist").alias("distance")))
+
+
+@query("smote_rows")
+def q_smote_rows(spark, sf_dir):
+    z, zc = minority_z(spark, sf_dir)
+    return rounded(smote(z, zc, label="Target", k=5, seed=42))
