@@ -363,3 +363,43 @@ ex2 AS (SELECT ex.*, CAST({_hash('ID', 'j', 42)} % 5 + 1 AS INTEGER) AS nb_rank,
                {_hash('ID', 'j', 43)} / 4294967296.0 AS lam FROM ex)""")
 SQL["smote_rows"] = tiered_round(SQL["smote_rows"])
 SQL["smote_neighbours"] = tiered_round(SQL["smote_neighbours"])
+
+
+# ---------------------------------------------------------------- P*: profiling
+SQL["profile_shape"] = with_profile("SELECT count(*) AS n_rows, 27 AS n_columns FROM profile")
+SQL["profile_info"] = with_profile(" UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS \"column\", count(\"{c}\") AS non_null FROM profile"
+    for i, c in enumerate(PROFILE_COLS)))
+SQL["profile_nunique"] = with_profile(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT \"{c}\") AS n_distinct FROM profile" for c in PROFILE_COLS))
+SQL["profile_head"] = with_profile(select_rounded(PROFILE_COLS, "profile", PROFILE_DOUBLES) + " ORDER BY ID LIMIT 5")
+SQL["profile_distinct"] = with_profile(
+    "SELECT DISTINCT 'Education' AS \"column\", Education AS value FROM profile "
+    "UNION SELECT DISTINCT 'Marital_Status', Marital_Status FROM profile")
+SQL["submission_agreement"] = with_features("""
+SELECT sub_a, sub_b, round(avg(CAST(ta = tb AS DOUBLE)), 6) AS agreement, count(*) AS n FROM (
+  SELECT 'scorecard' AS sub_a, 'campaign' AS sub_b, s AS ta, c AS tb FROM subs
+  UNION ALL SELECT 'scorecard', 'web', s, w FROM subs
+  UNION ALL SELECT 'campaign', 'web', c, w FROM subs) t GROUP BY sub_a, sub_b""", """,
+subs AS (SELECT ID,
+  CAST(round(1.0 / (1.0 + exp(-(0.8::DOUBLE * Campaign_Response_Count + 0.15::DOUBLE * NumWebPurchases
+       - 0.005::DOUBLE * Recency - 1.0::DOUBLE))), 6) >= 0.5 AS INTEGER) AS s,
+  CAST(Campaign_Response_Count > 0 AS INTEGER) AS c,
+  CAST(NumWebPurchases >= 3 AS INTEGER) AS w FROM feat)""")
+
+# ---------------------------------------------------------------- C1, C2: correlation filter
+SQL["corr_long"] = with_filled(" UNION ALL ".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(abs(corr(\"{a}\", \"{b}\")), 6) AS abs_corr FROM filled"
+    for i, a in enumerate(PCA_IN) for b in PCA_IN[i + 1:]))
+_ALLNUM = NUMERICAL + ENGINEERED
+SQL["corr_drop"] = with_filled("""
+SELECT DISTINCT nb AS dropped FROM (
+  SELECT pb.name AS nb, abs(corr(a.v, b.v)) AS r
+  FROM lv a JOIN lv b ON a.ID = b.ID
+  JOIN pos pa ON pa.name = a.name JOIN pos pb ON pb.name = b.name
+  WHERE pa.i < pb.i GROUP BY pa.name, pb.name) t WHERE r > 0.95""", """,
+wide AS (SELECT ID, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _ALLNUM) + """ FROM filled),
+lv AS (UNPIVOT wide ON """ + ", ".join(f'"{c}"' for c in _ALLNUM) + """ INTO NAME name VALUE v),
+pos AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', {i})" for i, c in enumerate(_ALLNUM)) + """) t(name, i))""")
+for _k in ("profile_head", "submission_agreement", "corr_long"):
+    SQL[_k] = tiered_round(SQL[_k])

@@ -455,3 +455,90 @@ def q_smote_neighbours(spark, sf_dir):
 def q_smote_rows(spark, sf_dir):
     z, zc = minority_z(spark, sf_dir)
     return rounded(smote(z, zc, label="Target", k=5, seed=42))
+
+
+# ---------------------------------------------------------------- profiling (P*)
+from responsekit.plans.preprocess import INPUT_COLUMNS  # noqa: E402
+
+
+@query("profile_shape")
+def q_profile_shape(spark, sf_dir):
+    p = profile(spark, sf_dir)
+    return p.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(p.columns)))
+
+
+@query("profile_info")
+def q_profile_info(spark, sf_dir):
+    """Non-null count per column, unpivoted."""
+    p = profile(spark, sf_dir)
+    row = p.agg(*[F.count(F.col(c)).alias(c) for c in p.columns])
+    items = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).alias("non_null"))
+                      for i, c in enumerate(p.columns)])
+    return row.select(F.explode(items).alias("s")).select("s.*")
+
+
+@query("profile_nunique")
+def q_profile_nunique(spark, sf_dir):
+    """Distinct non-null values per column via a long (column, value) distinct — no Expand per column."""
+    p = profile(spark, sf_dir)
+    kv = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("v")) for c in p.columns])
+    return (p.select(F.explode(kv).alias("s")).select("s.column", "s.v").filter(F.col("v").isNotNull())
+            .distinct().groupBy("column").agg(F.count("*").alias("n_distinct")))
+
+
+@query("profile_head")
+def q_profile_head(spark, sf_dir):
+    """First rows by id (the limit is the feature)."""
+    return rounded(profile(spark, sf_dir).orderBy("ID").limit(5))
+
+
+@query("profile_distinct")
+def q_profile_distinct(spark, sf_dir):
+    """P5: distinct values of the two categorical columns."""
+    p = profile(spark, sf_dir)
+    return (p.select(F.lit("Education").alias("column"), F.col("Education").alias("value"))
+            .unionByName(p.select(F.lit("Marital_Status").alias("column"), F.col("Marital_Status").alias("value")))
+            .distinct())
+
+
+@query("submission_agreement")
+def q_submission_agreement(spark, sf_dir):
+    """Pairwise agreement of three submissions, joined on ID (not by position)."""
+    b = base_table(spark, sf_dir)
+    subs = {
+        "scorecard": V.label_threshold(scorecard_p(F.lit(0.8) * F.col("Campaign_Response_Count")
+                                                   + F.lit(0.15) * F.col("NumWebPurchases")
+                                                   - F.lit(0.005) * F.col("Recency") - F.lit(1.0)), 0.5),
+        "campaign": (F.col("Campaign_Response_Count") > 0).cast("int"),
+        "web": (F.col("NumWebPurchases") >= 3).cast("int"),
+    }
+    tables = {k: b.select("ID", e.alias("Target")) for k, e in subs.items()}
+    names = list(subs)
+    out = None
+    for i, a in enumerate(names):
+        for bname in names[i + 1:]:
+            j = tables[a].alias("a").join(tables[bname].alias("b"), "ID", "inner")
+            r = j.agg(F.avg((F.col("a.Target") == F.col("b.Target")).cast("double")).alias("agreement"),
+                      F.count("*").alias("n")).select(F.lit(a).alias("sub_a"), F.lit(bname).alias("sub_b"),
+                                                      "agreement", "n")
+            out = r if out is None else out.unionByName(r)
+    return rounded(out)
+
+
+# ---------------------------------------------------------------- correlation filter
+from responsekit.operators.selection import correlated_to_drop, correlation_long  # noqa: E402
+
+
+@query("corr_long")
+def q_corr_long(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:15]
+    rows = correlation_long(t, cols)
+    return rounded(spark.createDataFrame(rows, "col_a string, col_b string, abs_corr double"))
+
+
+@query("corr_drop")
+def q_corr_drop(spark, sf_dir):
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)
+    return spark.createDataFrame([(c,) for c in correlated_to_drop(t, cols)], "dropped string")
