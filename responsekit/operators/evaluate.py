@@ -186,4 +186,4 @@ def best_threshold(sweep: DataFrame, metric: str) -> tuple[float, float]:
 
 def learning_curve(model, df: DataFrame, label: str = "Target") -> list[float]:
     """V8: log loss of a fitted GBT after each iteration (Spark evaluates it distributed)."""
-    return list(model.evaluateEachIteration(df.withColumn("label", F.col(label).cast("double")), "logistic"))
+    return list(model.evaluateEachIteration(df.withColumn("label", F.col(label).cast("double"))))

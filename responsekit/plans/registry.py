@@ -542,3 +542,224 @@ def q_corr_drop(spark, sf_dir):
     t, _ = filled_table(spark, sf_dir)
     cols = advanced_inputs(t)
     return spark.createDataFrame([(c,) for c in correlated_to_drop(t, cols)], "dropped string")
+
+
+# ---------------------------------------------------------------- flagship: response by segment
+@query("segment_response")
+def q_segment_response(spark, sf_dir):
+    """Profile -> base features -> response rate, campaign rate and spend by segment."""
+    b = base_table(spark, sf_dir)
+    return rounded(b.groupBy("Education").agg(
+        F.count("*").alias("customers"), F.sum("Target").alias("responders"),
+        F.avg("Target").alias("response_rate"), F.avg("Campaign_Response_Rate").alias("avg_campaign_rate"),
+        F.avg("Total_Spent").alias("avg_total_spent"), F.avg("Total_Purchases").alias("avg_purchases")))
+
+
+# ---------------------------------------------------------------- learned operators (rows/schema checks)
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from responsekit.models import boosted as B  # noqa: E402
+from responsekit.models.ensemble import leaderboard, soft_vote, train_stacked  # noqa: E402
+from responsekit.models.mlp import fit_inputs, train_mlp  # noqa: E402
+from responsekit.models.search import cross_validate, random_search  # noqa: E402
+from responsekit.operators.selection import importance_table, recursive_elimination  # noqa: E402
+from responsekit.session import ensure_checkpoint_dir  # noqa: E402
+
+QUERY_MAX_ITER = 20   # boosting rounds in the registered model queries (presets keep their full budgets)
+
+
+def train_valid(spark, sf_dir):
+    """Preprocessed training and validation rows; statistics fitted on the training rows only."""
+    from responsekit.operators.sampling import split as _split
+    prof = profile(spark, sf_dir)
+    tr_raw, va_raw = _split(prof, "Target", 0.3, 42)
+    fm = fit_features(tr_raw)
+    tr = materialize(transform_features(tr_raw, fm))
+    va = materialize(transform_features(va_raw, fm))
+    cols = [c for c in tr.columns if c not in ("ID", "Target")]
+    return tr, va, cols
+
+
+def _scored_valid(model, va):
+    s = B.probability(model, va, keep=("ID", "Target"))
+    return rounded(s.select("ID", F.col("Target").alias("y"), "p", V.label_threshold(F.col("p"), 0.5).alias("pred")))
+
+
+@query("gbt_train")
+def q_gbt_train(spark, sf_dir):
+    """M1: early-stopped, class-balanced GBT; validation rows scored with the F1-tuned threshold."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    res = B.train_boosted(tr, va, cols, "catboost", QUERY_MAX_ITER, class_weight="Balanced")
+    s = B.probability(res.model, va, keep=("ID", "Target"))
+    return rounded(s.select("ID", F.col("Target").alias("y"), "p",
+                            V.label_threshold(F.col("p"), res.threshold, strict=True).alias("pred")))
+
+
+@query("xgb_preset")
+def q_xgb(spark, sf_dir):
+    tr, va, cols = train_valid(spark, sf_dir)
+    from responsekit.operators.sampling import pos_weight, with_pos_weight
+    trw = with_pos_weight(tr, pos_weight(class_counts(tr)), out=B.WEIGHT)
+    m = B.fit_pipeline(B.gbt("xgboost", QUERY_MAX_ITER, weighted=True), trw, cols)
+    return _scored_valid(m, va)
+
+
+@query("simple_mode")
+def q_simple(spark, sf_dir):
+    tr, va, cols = train_valid(spark, sf_dir)
+    res = B.train_boosted(tr, va, cols, "simple", QUERY_MAX_ITER, class_weight=None, tune_threshold=False)
+    return _scored_valid(res.model, va)
+
+
+@query("forest")
+def q_forest(spark, sf_dir):
+    tr, va, cols = train_valid(spark, sf_dir)
+    return _scored_valid(B.train_forest(tr, cols), va)
+
+
+@query("importance_topk")
+def q_importance(spark, sf_dir):
+    """Ranked forest importances; top 10."""
+    tr, _, cols = train_valid(spark, sf_dir)
+    imp = B.importances(B.train_forest(tr, cols))
+    rows = importance_table(imp, cols)
+    return spark.createDataFrame(rows, "feature string, importance double, rank int").orderBy("rank").limit(10)
+
+
+@query("rfe")
+def q_rfe(spark, sf_dir):
+    """C4: recursive elimination, 10 per round, down to 30 features."""
+    tr, _, cols = train_valid(spark, sf_dir)
+    kept = recursive_elimination(lambda cs: B.importances(B.train_forest(tr, cs, numTrees=30)), cols, 30, 10)
+    return spark.createDataFrame([(c, i) for i, c in enumerate(kept)], "feature string, position int")
+
+
+@query("stacking")
+def q_stacking(spark, sf_dir):
+    """M5: stacked ensemble; validation rows with base and meta probabilities."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    m = train_stacked(tr, cols, cv=3, max_iter=10)
+    s = m.predict(va, keep=("ID", "Target"))
+    return rounded(s.withColumn("pred", V.label_threshold(F.col("p"), 0.5)))
+
+
+@query("voting")
+def q_voting(spark, sf_dir):
+    """M6 over learned members: mean probability of a GBT and a forest, joined on ID."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    g = B.probability(B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols), va).withColumnRenamed("p", "p_gbt")
+    f = B.probability(B.train_forest(tr, cols), va).withColumnRenamed("p", "p_forest")
+    return rounded(soft_vote(g.join(f, "ID"), ["p_gbt", "p_forest"]))
+
+
+@query("leaderboard")
+def q_leaderboard(spark, sf_dir):
+    """M8: validation metrics per model; the best by accuracy is flagged."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    res = {
+        "gbt": B.validation_metrics(B.probability(B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols), va,
+                                                  keep=("ID", "Target"))),
+        "forest": B.validation_metrics(B.probability(B.train_forest(tr, cols), va, keep=("ID", "Target"))),
+    }
+    lb = leaderboard(spark, res)
+    best = lb.agg(F.max_by("model", "accuracy").alias("best")).first()["best"]
+    return rounded(lb.withColumn("is_best", (F.col("model") == best).cast("int")))
+
+
+@query("mlp")
+def q_mlp(spark, sf_dir):
+    """M7: MLP over median-filled, scaled numerics and capped one-hot arrays."""
+    from responsekit.operators.sampling import split as _split
+    prof = profile(spark, sf_dir)
+    tr_raw, va_raw = _split(prof, "Target", 0.2, 42)
+    inputs = fit_inputs(tr_raw)
+    m = train_mlp(tr_raw, inputs, max_iter=50)
+    out = m.transform(inputs.transform(va_raw))
+    from pyspark.ml.functions import vector_to_array
+    return rounded(out.select("ID", F.col("Target").alias("y"), vector_to_array("probability")[1].alias("p"),
+                              F.col("prediction").cast("int").alias("pred")))
+
+
+@query("search_trials")
+def q_search(spark, sf_dir):
+    """Seeded random search; trials table."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    trials, _ = random_search(tr, va, cols, n_trials=3, max_iter_cap=QUERY_MAX_ITER)
+    return rounded(trials)
+
+
+@query("cv_metrics")
+def q_cv(spark, sf_dir):
+    """5-fold stratified cross-validation, per-fold metrics."""
+    tr, _, cols = train_valid(spark, sf_dir)
+    return rounded(cross_validate(tr, cols, k=5, max_iter=10))
+
+
+@query("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """V8: log loss by iteration on training and validation rows."""
+    tr, va, cols = train_valid(spark, sf_dir)
+    m = B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols)
+    gbt_model = m.stages[-1]
+    a_tr = m.stages[0].transform(B.with_label(tr))
+    a_va = m.stages[0].transform(B.with_label(va))
+    lt = gbt_model.evaluateEachIteration(a_tr)
+    lv = gbt_model.evaluateEachIteration(a_va)
+    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lt, lv))]
+    return rounded(spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double"))
+
+
+@query("training_log")
+def q_training_log(spark, sf_dir):
+    """Per-fold learning curves written as TSV, read back with the fold taken from the path."""
+    from responsekit.sources.files import read_training_logs, write_training_log
+    tr, _, cols = train_valid(spark, sf_dir)
+    from responsekit.operators.sampling import kfold_assign
+    folded = materialize(kfold_assign(tr, k=3))
+    root = os.path.join(ensure_checkpoint_dir(spark), f"logs-{uuid.uuid4().hex}")
+    for f in range(3):
+        m = B.fit_pipeline(B.gbt("simple", 10), folded.filter(F.col("fold") != f), cols)
+        va = m.stages[0].transform(B.with_label(folded.filter(F.col("fold") == f)))
+        curve = m.stages[-1].evaluateEachIteration(va)
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(curve)], "iter int, Logloss double")
+        write_training_log(df, os.path.join(root, f"fold-{f}"))
+    return rounded(read_training_logs(spark, os.path.join(root, "fold-*", "*.csv")))
+
+
+@query("batch_score")
+def q_batch_score(spark, sf_dir):
+    """Train, save to the registry, load, score every customer, write and re-read ID,Target."""
+    from responsekit.plans.predict import score
+    from responsekit.plans.train import run_training
+    from responsekit.sources.files import read_submission, write_submission
+    prof = profile(spark, sf_dir)
+    root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    run_training(prof, mode="simple", max_iter=QUERY_MAX_ITER, model_path=root, n_init=2)
+    scored_rows = score(spark, root, prof.drop("Target"))
+    write_submission(scored_rows, os.path.join(root, "submission"))
+    return read_submission(spark, os.path.join(root, "submission"))
+
+
+@query("save_load")
+def q_save_load(spark, sf_dir):
+    """Probabilities before saving and after loading must be equal."""
+    from responsekit.sources.model_store import load_model, save_model
+    tr, va, cols = train_valid(spark, sf_dir)
+    m = B.fit_pipeline(B.gbt("simple", 10), tr, cols)
+    root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+    save_model(spark, root, m, 0.5, cols, "{}")
+    m2, meta = load_model(spark, root)
+    a = B.probability(m, va).withColumnRenamed("p", "p_before")
+    b = B.probability(m2, va).withColumnRenamed("p", "p_after")
+    return rounded(a.join(b, "ID").withColumn("equal", (F.col("p_before") == F.col("p_after")).cast("int")))
+
+
+@query("kmeans_restarts")
+def q_kmeans_restarts(spark, sf_dir):
+    """A2 detail: centres of the lowest-cost fit among 10 restarts, in renumbered order."""
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:10]
+    cm = fit_kmeans(t, cols, k=2, n_init=10)
+    rows = [(i, c, float(v), cm.cost) for i, ctr in enumerate(cm.centres) for c, v in zip(cols, ctr)]
+    return rounded(spark.createDataFrame(rows, "centre int, feature string, value double, training_cost double"))

@@ -33,6 +33,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(k, v)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor (the 1g default is too small
+        # for model fits); on a cluster executor memory comes from the launcher.
+        builder = builder.config("spark.driver.memory", os.environ.get("RESPONSEKIT_DRIVER_MEMORY", "16g"))
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     return spark
