@@ -7,6 +7,7 @@ Every fit is a distributed Spark job returning a handful of literals
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -69,22 +70,24 @@ class ClusterModel:
 
 
 def fit_kmeans(df: DataFrame, cols, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
-               tol: float = 1e-4) -> ClusterModel:
+               tol: float = 1e-4, parallelism: int = 4) -> ClusterModel:
     """A2: standardise ``cols``, fit k-means ``n_init`` times, keep the lowest cost."""
     scaler = fit_scaler(df, cols)
     z = df.select(*[e.alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
     vec = VectorAssembler(inputCols=[f"z{i}" for i in range(len(cols))], outputCol="features",
                           handleInvalid="skip").transform(z).select("features").cache()
-    best = None
+    def one(r):
+        m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
+        return m.summary.trainingCost, r, [list(map(float, c)) for c in m.clusterCenters()]
     try:
-        for r in range(n_init):
-            km = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features")
-            m = km.fit(vec)
-            cost = m.summary.trainingCost
-            if best is None or cost < best[0]:
-                best = (cost, [list(map(float, c)) for c in m.clusterCenters()])
+        # restarts are independent Spark jobs: submit them concurrently (the
+        # scheduler interleaves their tasks), keep the lowest cost, first wins ties
+        with ThreadPoolExecutor(max_workers=min(parallelism, n_init)) as pool:
+            fits = list(pool.map(one, range(n_init)))
     finally:
         vec.unpersist()
+    cost, _, cs = min(fits, key=lambda f: (f[0], f[1]))
+    best = (cost, cs)
     centres = sorted(best[1])
     return ClusterModel(k, list(cols), scaler, centres, float(best[0]))
 

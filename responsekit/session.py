@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,11 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+    """Cut lineage by writing a Parquet table into the shared checkpoint folder.
 
     Used before iterative fits (stacking folds, search trials, elimination
-    rounds) so a lost executor recomputes from the checkpoint, not from the
-    raw tables.
+    rounds) so a lost executor recomputes from the written table, not from the
+    raw tables. Unlike ``Dataset.checkpoint`` (which runs the plan once to count
+    and again to write) the plan runs once, and later reads get column pruning
+    and filter pushdown from the Parquet scan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = os.path.join(root, "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
