@@ -82,3 +82,21 @@ def test_planted_signal_auc(spark):
     m = B.fit_pipeline(B.gbt("simple", 20), tr, cols)
     s = B.probability(m, va, keep=("ID", "Target")).select(F.col("Target").alias("y"), "p")
     assert V.auc_exact(s).first()["auc"] > 0.7
+
+
+def test_streaming_scoring_matches_batch(spark, tmp_path):
+    from responsekit.plans.predict import score
+    from responsekit.plans.registry import profile
+    from responsekit.plans.train import run_training
+    from responsekit.streaming.scoring import start_scoring_stream
+    prof = profile(spark, SF_SMALL)
+    path = str(tmp_path / "model")
+    run_training(prof, mode="simple", max_iter=3, model_path=path, n_init=2)
+    src = str(tmp_path / "incoming")
+    prof.drop("Target").withColumn("Target", F.lit(None).cast("long")).write.parquet(src)
+    q = start_scoring_stream(spark, path, src, str(tmp_path / "scored"), str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    streamed = {r["ID"]: r["p"] for r in spark.read.parquet(str(tmp_path / "scored")).collect()}
+    batch = {r["ID"]: r["p"] for r in score(spark, path, prof.drop("Target")).collect()}
+    assert streamed.keys() == batch.keys()
+    assert all(abs(streamed[k] - batch[k]) < 1e-12 for k in batch)
