@@ -30,16 +30,39 @@ def pair_differences(cols) -> dict[str, Column]:
     return {f"{a}_minus_{b}": _c(a) - _c(b) for a, b in pairs(cols)}
 
 
-def row_mean_std(cols) -> tuple[Column, Column]:
-    """Null-skipping row mean and sample std (ddof=1) over ``cols``."""
+def row_count_mean(cols) -> tuple[Column, Column]:
+    """Null-skipping count and mean over ``cols`` (first layer of A9/A10)."""
     vals = [F.when(~F.isnan(_c(c)), _c(c)) for c in cols]
     n = sum((v.isNotNull().cast("double") for v in vals[1:]), vals[0].isNotNull().cast("double"))
     s = sum((F.coalesce(v, F.lit(0.0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0.0)))
-    mean = F.when(n > 0, s / n)
-    ss = sum((F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in vals[1:]),
-             F.coalesce((vals[0] - mean) * (vals[0] - mean), F.lit(0.0)))
-    std = F.when(n > 1, F.sqrt(ss / (n - F.lit(1.0))))
-    return mean, std
+    return n, F.when(n > 0, s / n)
+
+
+def row_std(cols, n: Column, mean: Column) -> Column:
+    """Sample std (ddof=1) given the count and mean as columns (second layer of A9/A10)."""
+    vals = [F.when(~F.isnan(_c(c)), _c(c)) for c in cols]
+    sq = [F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in vals]
+    return F.when(n > 1, F.sqrt(sum(sq[1:], sq[0]) / (n - F.lit(1.0))))
+
+
+def add_row_stats(df, groups: dict) -> "DataFrame":
+    """A9/A10 as two projection layers: count and mean first, then the std over the mean
+    column, so the mean is computed once per row instead of once per term."""
+    first = {}
+    for prefix, cols in groups.items():
+        n, mean = row_count_mean(cols)
+        first[f"__n_{prefix}"] = n
+        first[f"{prefix}_Mean"] = mean
+    df = df.withColumns(first)
+    second = {f"{prefix}_Std": row_std(cols, F.col(f"__n_{prefix}"), F.col(f"{prefix}_Mean"))
+              for prefix, cols in groups.items()}
+    return df.withColumns(second).drop(*[f"__n_{p}" for p in groups])
+
+
+def row_mean_std(cols) -> tuple[Column, Column]:
+    """Single-expression form (used where only the two values are selected)."""
+    n, mean = row_count_mean(cols)
+    return mean, row_std(cols, n, mean)
 
 
 def extra_logs(nonneg: dict[str, bool]) -> dict[str, Column]:

@@ -19,8 +19,8 @@ from pyspark.sql import types as T
 
 from responsekit.catalog import (DEFAULT_AS_OF_YEAR, EXTRA_LOG_INPUTS, ID_COL, PAIR_INPUTS, POLY_INPUTS,
                                  TARGET_COL)
-from responsekit.functions.advanced import (euclidean, exp_decay, extra_logs, pair_differences, pair_ratios,
-                                            poly_interactions, row_mean_std)
+from responsekit.functions.advanced import (add_row_stats, euclidean, exp_decay, extra_logs, pair_differences,
+                                            pair_ratios, poly_interactions)
 from responsekit.functions.dates import tenure_season
 from responsekit.operators.align import numeric_columns
 from responsekit.operators.scale import ScalerModel, fit_scaler
@@ -70,7 +70,7 @@ class ClusterModel:
 
 
 def fit_kmeans(df: DataFrame, cols, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
-               tol: float = 1e-4, parallelism: int = 4) -> ClusterModel:
+               tol: float = 1e-4, parallelism: int = 10) -> ClusterModel:
     """A2: standardise ``cols``, fit k-means ``n_init`` times, keep the lowest cost."""
     scaler = fit_scaler(df, cols)
     z = df.select(*[e.alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
@@ -195,12 +195,13 @@ def transform_advanced(df: DataFrame, model: AdvancedModel) -> DataFrame:
         df = df.withColumns(both)
     purchase = [c for c in df.columns if "Purchase" in c and _is_numeric(df, c) and c != TARGET_COL]
     spending = [c for c in df.columns if "Mnt" in c and _is_numeric(df, c)]
-    stats = {}
+    groups = {}
     if purchase:
-        stats["Purchase_Mean"], stats["Purchase_Std"] = row_mean_std(purchase)
+        groups["Purchase"] = purchase
     if spending:
-        stats["Spending_Mean"], stats["Spending_Std"] = row_mean_std(spending)
-    df = df.withColumns(stats)
+        groups["Spending"] = spending
+    if groups:
+        df = add_row_stats(df, groups)
     if "Dt_Year" in df.columns and "Dt_Month" in df.columns:
         df = df.withColumns(tenure_season(F.col("Dt_Year"), F.col("Dt_Month"), model.as_of_year))
     df = df.withColumns(extra_logs(model.nonneg))

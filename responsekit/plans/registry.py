@@ -133,10 +133,20 @@ FILLED_COLS = ["Income", "Income_Log", "Income_Sqrt", "Income_Per_Child", "Incom
                "Dt_Year", "Dt_Month", "Dt_Day", "Dt_DayOfWeek", "Dt_DayOfYear", "Dt_Quarter"]
 
 
+_FEATURE_MODELS: dict = {}
+
+
 def filled_table(spark: SparkSession, sf_dir: str):
-    """Preprocessed table (ID, numeric features, dummies, Target), fitted on itself."""
+    """Preprocessed table (ID, numeric features, dummies, Target), fitted on itself.
+
+    The fitted model is a handful of literals and deterministic for a given
+    input, so it is kept per session and input folder and shared by queries.
+    """
     prof = profile(spark, sf_dir)
-    model = fit_features(prof)
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FEATURE_MODELS:
+        _FEATURE_MODELS[key] = fit_features(prof)
+    model = _FEATURE_MODELS[key]
     return transform_features(prof, model), model
 
 
@@ -192,8 +202,8 @@ def q_standardise(spark, sf_dir):
 
 # ---------------------------------------------------------------- advanced features (A*)
 from responsekit.catalog import EXTRA_LOG_INPUTS, PAIR_INPUTS, POLY_INPUTS  # noqa: E402
-from responsekit.functions.advanced import (euclidean, exp_decay, extra_logs, pair_differences,  # noqa: E402
-                                            pair_ratios, poly_interactions, row_mean_std)
+from responsekit.functions.advanced import (add_row_stats, euclidean, exp_decay, extra_logs,  # noqa: E402
+                                            pair_differences, pair_ratios, poly_interactions)
 from responsekit.operators.advanced import (advanced_inputs, covariance_long, fit_kmeans, fit_nonneg,  # noqa: E402
                                             fit_pca)
 
@@ -250,8 +260,8 @@ def _row_stats_query(name, token, prefix):
         t, _ = filled_table(spark, sf_dir)
         t = _with_pairs(t)
         cols = [c for c in advanced_inputs(t) if token in c]
-        mean, std = row_mean_std(cols)
-        return rounded(t.select("ID", mean.alias(f"{prefix}_Mean"), std.alias(f"{prefix}_Std")))
+        t = add_row_stats(t, {prefix: cols})
+        return rounded(t.select("ID", f"{prefix}_Mean", f"{prefix}_Std"))
     return q
 
 
