@@ -130,7 +130,8 @@ def test_smote_balances_and_interpolates(spark):
     df = spark.createDataFrame([(i, float(a), float(b), t) for i, ((a, b), t) in enumerate(zip(X, y))],
                                "ID long, a double, b double, Target long")
     syn = smote(df, ["a", "b"], k=5).collect()
-    assert len(syn) == 100
+    # classes end equal: 20 minority + 80 synthetic = 100 majority
+    assert len(syn) == y.count(0) - y.count(1) == 80
     for r in syn:
         s = np.array([r["a"], r["b"]])
         x0, x1 = X[r["source_id"]], X[r["nb_id"]]
