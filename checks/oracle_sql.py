@@ -403,3 +403,10 @@ lv AS (UNPIVOT wide ON """ + ", ".join(f'"{c}"' for c in _ALLNUM) + """ INTO NAM
 pos AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', {i})" for i, c in enumerate(_ALLNUM)) + """) t(name, i))""")
 for _k in ("profile_head", "submission_agreement", "corr_long"):
     SQL[_k] = tiered_round(SQL[_k])
+
+# ---------------------------------------------------------------- flagship: response by segment
+SQL["segment_response"] = tiered_round(with_features("""
+SELECT Education, count(*) AS customers, sum(Target) AS responders, round(avg(Target), 6) AS response_rate,
+  round(avg(Campaign_Response_Rate), 6) AS avg_campaign_rate, round(avg(Total_Spent), 6) AS avg_total_spent,
+  round(avg(Total_Purchases), 6) AS avg_purchases
+FROM feat GROUP BY Education"""))
