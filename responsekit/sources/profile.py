@@ -16,7 +16,7 @@ literal so Parquet row groups outside the window can be skipped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from responsekit.sources.tables import read_table
@@ -121,6 +121,21 @@ def customer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
               .otherwise(F.lit(0))).cast("long").alias("Complain"))
 
 
+def planted_target() -> Column:
+    """A learnable 0/1 label over profile columns, for quality checks only.
+
+    The driver's ``Target`` is random, so a model cannot beat AUC 0.5 on it.
+    The planted label is 1 when z = -0.01·Recency + 3·campaign rate
+    + 0.3·NumWebPurchases - 1 is positive, flipped for the 10% of IDs with the
+    lowest md5 prefix (label noise), as FIXTURES.md §3 describes.
+    """
+    rate = sum((F.col(name) for name, _ in CAMPAIGN_YEARS[1:]), F.col(CAMPAIGN_YEARS[0][0])) / F.lit(len(CAMPAIGN_YEARS))
+    z = F.col("Recency") * -0.01 + rate * 3 + F.col("NumWebPurchases") * 0.3 - 1
+    h = F.conv(F.substring(F.md5(F.col("ID").cast("string")), 1, 8), 16, 10).cast("long")
+    flip = h < F.lit(int(0.1 * 2 ** 32))
+    return F.when(flip, (z <= 0).cast("long")).otherwise((z > 0).cast("long"))
+
+
 def customer_profile(spark: SparkSession, sf_dir: str, cutoff: str | None = None) -> DataFrame:
     """The customer table (27 columns) derived from the driver tables."""
     cutoff = cutoff or order_cutoff(spark, sf_dir)
