@@ -5,8 +5,9 @@ an even count, as pandas does) without gathering a column in one task:
 
 1. one pass of mergeable ``percentile_approx`` sketches gives, per column, a
    narrow value band [lo, hi] that must contain the middle ranks;
-2. one pass counts values below ``lo`` per column and ranks only the values
-   inside the band (a window per column over ~2·δ·n rows, not n rows).
+2. one query counts values below ``lo`` per column and ranks only the values
+   inside the band (a window per column over ~2·δ·n rows, not n rows); the
+   count plus the rank inside the band is the global rank.
 If a band turns out not to contain the middle ranks (sketch error larger than
 assumed) it is widened and retried for those columns only.
 """
@@ -79,27 +80,23 @@ def _band_medians(df: DataFrame, bounds) -> dict[str, float]:
         tagged.append(F.struct(F.lit(c).alias("name"), v.alias("v"), tag.alias("tag")))
     long = (df.select(F.explode(F.array(*tagged)).alias("kv"))
             .select("kv.name", "kv.v", "kv.tag").filter(F.col("tag").isNotNull()))
-    below = {r["name"]: r["cnt"] for r in
-             long.filter(F.col("tag") == -1).groupBy("name").agg(F.count("*").alias("cnt")).collect()}
-    wanted = {}
-    for c in cols:
-        n = bounds[c][0]
-        k1, k2 = (n - 1) // 2, n // 2  # 0-based middle ranks
-        b = below.get(c, 0)
-        wanted[c] = (k1 - b + 1, k2 - b + 1)  # 1-based ranks inside the band
-    ranks = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(F.lit(wanted[c][0]), F.lit(wanted[c][1])))])
+    # middle ranks (1-based, global) per column; counts below the band (one row per column,
+    # a plan-time bound, so broadcast) plus the rank inside it give the global rank
+    mids = {c: ((bounds[c][0] - 1) // 2 + 1, bounds[c][0] // 2 + 1) for c in cols}
+    ranks = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(F.lit(mids[c][0]), F.lit(mids[c][1])))])
+    below = long.filter(F.col("tag") == -1).groupBy("name").agg(F.count("*").alias("below"))
     w = Window.partitionBy("name").orderBy("v")
     band = (long.filter(F.col("tag") == 0)
-            .withColumn("want", ranks[F.col("name")])
             .withColumn("rn", F.row_number().over(w))
-            .filter(F.array_contains(F.col("want"), F.col("rn")))
-            .groupBy("name").agg(F.avg("v").alias("m"), F.count("*").alias("k"),
-                                 F.first("want").alias("want")))
+            .join(F.broadcast(below), "name", "left")
+            .withColumn("rank", F.coalesce(F.col("below"), F.lit(0)) + F.col("rn"))
+            .filter(F.array_contains(ranks[F.col("name")], F.col("rank")))
+            .groupBy("name").agg(F.avg("v").alias("m"), F.count("*").alias("k")))
     out = {}
     for r in band.collect():
-        lo_r, hi_r = r["want"]
-        expected = 1 if lo_r == hi_r else 2
-        if lo_r >= 1 and r["k"] == expected:
+        lo_r, hi_r = mids[r["name"]]
+        # both middle ranks must lie inside the band; otherwise the band is widened and retried
+        if r["k"] == (1 if lo_r == hi_r else 2):
             out[r["name"]] = r["m"]
     return out
 

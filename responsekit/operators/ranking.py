@@ -6,8 +6,9 @@ the group would push a whole class through one task; instead:
 
 1. grouped, mergeable ``percentile_approx`` gives a value band around each
    target rank (one pass);
-2. rows below the band are counted, rows inside it are ranked (a window
-   over ~2·δ·n_g rows per group and quantile), the wanted rank is picked;
+2. in one query, rows below the band are counted and rows inside it are
+   ranked (a window over ~2·δ·n_g rows per group and quantile); the count
+   plus the rank inside the band picks the wanted row;
 3. a band that misses its rank (sketch error larger than assumed) is
    widened and retried.
 
@@ -101,17 +102,17 @@ def _pick_in_bands(df, group, value, tie, bands, want):
     ex = (df.select(F.col(value).alias("v"), F.col(tie).alias("t"),
                     F.explode(F.filter(F.array(*tagged), lambda s: s.isNotNull())).alias("s"))
           .select("v", "t", "s.k", "s.tag"))
-    below = {r["k"]: r["n"] for r in ex.filter("tag = -1").groupBy("k").agg(F.count("*").alias("n")).collect()}
-    local = {idx: want[key] - below.get(idx, 0) for idx, key in enumerate(keys)}
-    wanted = F.create_map(*[x for idx, r in local.items() for x in (F.lit(idx), F.lit(r))])
+    # one query: per-band counts below (one row per key, a plan-time bound, so broadcast) are
+    # added to the rank inside the band; the wanted global rank is a literal per key
+    below = ex.filter("tag = -1").groupBy("k").agg(F.count("*").alias("below"))
+    wanted = F.create_map(*[x for idx, key in enumerate(keys) for x in (F.lit(idx), F.lit(want[key]))])
     w = Window.partitionBy("k").orderBy("v", "t")
     picked = (ex.filter("tag = 0").withColumn("rn", F.row_number().over(w))
-              .filter(F.col("rn") == wanted[F.col("k")]).select("k", "v", "t").collect())
-    out = {}
-    for r in picked:
-        if local[r["k"]] >= 1:
-            out[keys[r["k"]]] = (r["v"], r["t"])
-    return out
+              .join(F.broadcast(below), "k", "left")
+              .filter(F.coalesce(F.col("below"), F.lit(0)) + F.col("rn") == wanted[F.col("k")])
+              .select("k", "v", "t").collect())
+    # a rank at or below the band's lower edge is not found here and is retried with a wider band
+    return {keys[r["k"]]: (r["v"], r["t"]) for r in picked}
 
 
 def at_or_below(value: str, tie: str, threshold) -> F.Column:

@@ -21,7 +21,7 @@ from responsekit.catalog import (AGE_GROUP_LABELS, DATE_COL, DEFAULT_AS_OF_YEAR,
 from responsekit.functions.base import add_base_features
 from responsekit.functions.dates import parse_mixed_date
 from responsekit.operators.align import align_columns, require_columns
-from responsekit.operators.encode import fit_levels, onehot_wide
+from responsekit.operators.encode import MAX_LEVELS, fit_levels, level_value, onehot_wide
 from responsekit.operators.fill import fit_medians, median_fill
 
 INPUT_COLUMNS = [ID_COL, "Year_Birth", EDU_COL, MARITAL_COL, "Income", "Kidhome", "Teenhome", DATE_COL,
@@ -72,15 +72,32 @@ def _with_base(df: DataFrame, min_date, as_of_year, add_features=True) -> DataFr
     return add_date_features(df, min_date).drop(*[c for c in ENGINEERED_COLS if c.startswith("Dt_")])
 
 
+def _fit_dates_and_levels(df: DataFrame):
+    """Date minimum and the three level lists in one grouped aggregate.
+
+    One row per (Education, Marital_Status) pair carries the pair's earliest
+    date; map-side partial aggregation keeps a hot pair cheap. The pairs give
+    both level lists and the combined levels. Past the level cap (more pairs
+    than ``MAX_LEVELS``) each list is fitted on its own, so every column
+    raises its own cap error exactly as before.
+    """
+    pairs = (df.groupBy(level_value(EDU_COL).alias("e"), level_value(MARITAL_COL).alias("m"))
+             .agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d"))
+             .limit(MAX_LEVELS + 1).collect())
+    if len(pairs) <= MAX_LEVELS:
+        dates = [r["d"] for r in pairs if r["d"] is not None]
+        min_date = str(min(dates)) if dates else None
+        return (min_date, sorted({r["e"] for r in pairs}), sorted({r["m"] for r in pairs}),
+                sorted({f"{r['e']}_{r['m']}" for r in pairs}))
+    md = df.agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d")).first()["d"]
+    both = fit_levels(df.select(F.concat_ws("_", level_value(EDU_COL), level_value(MARITAL_COL)).alias("em")), "em")
+    return (str(md) if md is not None else None, fit_levels(df, EDU_COL), fit_levels(df, MARITAL_COL), both)
+
+
 def fit_features(df: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR, add_features: bool = True,
                  median_method: str = "exact") -> FeatureModel:
     require_columns(df, [c for c in INPUT_COLUMNS if c != ID_COL])
-    md = df.agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d")).first()["d"]
-    min_date = str(md) if md is not None else None
-    edu = fit_levels(df, EDU_COL)
-    mar = fit_levels(df, MARITAL_COL)
-    both = fit_levels(df.select(F.concat_ws("_", F.coalesce(F.col(EDU_COL), F.lit("Unknown")),
-                                            F.coalesce(F.col(MARITAL_COL), F.lit("Unknown"))).alias("em")), "em")
+    min_date, edu, mar, both = _fit_dates_and_levels(df)
     model = FeatureModel(as_of_year, min_date, edu, mar, both, add_features=add_features)
     base = _with_base(df, min_date, as_of_year, add_features)
     model.medians = fit_medians(base, model.numeric_cols, method=median_method)
