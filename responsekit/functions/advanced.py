@@ -10,39 +10,69 @@ from pyspark.sql import functions as F
 from responsekit.catalog import EPS, pairs
 
 
-def _c(name: str) -> Column:
-    return F.col(f"`{name}`").cast("double")
+# Wide generated expressions are written as SQL text and parsed once on the
+# JVM (one call per output column) instead of being assembled from hundreds of
+# Column objects, each of which is a round trip to the JVM. The expressions
+# are the same; Catalyst sees an identical plan.
+def q(name: str) -> str:
+    """A column as a double, in SQL text."""
+    return "CAST(`" + name.replace("`", "``") + "` AS DOUBLE)"
+
+
+def d(x: float) -> str:
+    """An exact double literal in SQL text (repr round-trips every finite double)."""
+    x = float(x)
+    if math.isnan(x) or math.isinf(x):
+        return f"CAST('{x}' AS DOUBLE)"
+    return f"{x!r}D"
+
+
+def _sum(terms) -> str:
+    return "(" + " + ".join(terms) + ")"
 
 
 def poly_interactions(cols, first_index: int | None = None) -> dict[str, Column]:
     """A1: degree-2 interaction products, named ``Poly_{i}`` after the linear terms."""
     start = len(cols) if first_index is None else first_index
-    return {f"Poly_{start + k}": _c(a) * _c(b) for k, (a, b) in enumerate(pairs(cols))}
+    return {f"Poly_{start + k}": F.expr(f"{q(a)} * {q(b)}") for k, (a, b) in enumerate(pairs(cols))}
 
 
 def pair_ratios(cols) -> dict[str, Column]:
     """``{a}_div_{b}`` = a / (b + 0.001) for every ordered pair."""
-    return {f"{a}_div_{b}": _c(a) / (_c(b) + F.lit(EPS)) for a, b in pairs(cols)}
+    return {f"{a}_div_{b}": F.expr(f"{q(a)} / ({q(b)} + {d(EPS)})") for a, b in pairs(cols)}
 
 
 def pair_differences(cols) -> dict[str, Column]:
     """``{a}_minus_{b}``."""
-    return {f"{a}_minus_{b}": _c(a) - _c(b) for a, b in pairs(cols)}
+    return {f"{a}_minus_{b}": F.expr(f"{q(a)} - {q(b)}") for a, b in pairs(cols)}
+
+
+def _present(c: str) -> str:
+    """The value, with NaN read as missing."""
+    return f"(CASE WHEN NOT isnan({q(c)}) THEN {q(c)} END)"
+
+
+def _count_mean_sql(cols) -> tuple[str, str]:
+    vals = [_present(c) for c in cols]
+    n = _sum(f"CAST({v} IS NOT NULL AS DOUBLE)" for v in vals)
+    s = _sum(f"coalesce({v}, 0.0D)" for v in vals)
+    return n, f"(CASE WHEN {n} > 0 THEN {s} / {n} END)"
+
+
+def _std_sql(cols, n: str, mean: str) -> str:
+    sq = _sum(f"coalesce(({v} - {mean}) * ({v} - {mean}), 0.0D)" for v in (_present(c) for c in cols))
+    return f"(CASE WHEN {n} > 1 THEN sqrt({sq} / ({n} - 1.0D)) END)"
 
 
 def row_count_mean(cols) -> tuple[Column, Column]:
     """Null-skipping count and mean over ``cols`` (first layer of A9/A10)."""
-    vals = [F.when(~F.isnan(_c(c)), _c(c)) for c in cols]
-    n = sum((v.isNotNull().cast("double") for v in vals[1:]), vals[0].isNotNull().cast("double"))
-    s = sum((F.coalesce(v, F.lit(0.0)) for v in vals[1:]), F.coalesce(vals[0], F.lit(0.0)))
-    return n, F.when(n > 0, s / n)
+    n, mean = _count_mean_sql(cols)
+    return F.expr(n), F.expr(mean)
 
 
-def row_std(cols, n: Column, mean: Column) -> Column:
-    """Sample std (ddof=1) given the count and mean as columns (second layer of A9/A10)."""
-    vals = [F.when(~F.isnan(_c(c)), _c(c)) for c in cols]
-    sq = [F.coalesce((v - mean) * (v - mean), F.lit(0.0)) for v in vals]
-    return F.when(n > 1, F.sqrt(sum(sq[1:], sq[0]) / (n - F.lit(1.0))))
+def row_std(cols, n: str, mean: str) -> Column:
+    """Sample std (ddof=1) given the count and mean columns by name (second layer of A9/A10)."""
+    return F.expr(_std_sql(cols, f"`{n}`", f"`{mean}`"))
 
 
 def add_row_stats(df, groups: dict) -> "DataFrame":
@@ -50,35 +80,33 @@ def add_row_stats(df, groups: dict) -> "DataFrame":
     column, so the mean is computed once per row instead of once per term."""
     first = {}
     for prefix, cols in groups.items():
-        n, mean = row_count_mean(cols)
-        first[f"__n_{prefix}"] = n
-        first[f"{prefix}_Mean"] = mean
+        n, mean = _count_mean_sql(cols)
+        first[f"__n_{prefix}"] = F.expr(n)
+        first[f"{prefix}_Mean"] = F.expr(mean)
     df = df.withColumns(first)
-    second = {f"{prefix}_Std": row_std(cols, F.col(f"__n_{prefix}"), F.col(f"{prefix}_Mean"))
-              for prefix, cols in groups.items()}
+    second = {f"{prefix}_Std": row_std(cols, f"__n_{prefix}", f"{prefix}_Mean") for prefix, cols in groups.items()}
     return df.withColumns(second).drop(*[f"__n_{p}" for p in groups])
 
 
 def row_mean_std(cols) -> tuple[Column, Column]:
     """Single-expression form (used where only the two values are selected)."""
-    n, mean = row_count_mean(cols)
-    return mean, row_std(cols, n, mean)
+    n, mean = _count_mean_sql(cols)
+    return F.expr(mean), F.expr(_std_sql(cols, n, mean))
 
 
 def extra_logs(nonneg: dict[str, bool]) -> dict[str, Column]:
     """log1p of each column whose fitted minimum is >= 0."""
-    return {f"{c}_Log": F.log1p(_c(c)) for c, ok in nonneg.items() if ok}
+    return {f"{c}_Log": F.expr(f"log1p({q(c)})") for c, ok in nonneg.items() if ok}
 
 
 def exp_decay(col: str = "Recency", scale: float = 10.0) -> Column:
     """exp(-x / 10)."""
-    return F.exp(-_c(col) / F.lit(scale))
+    return F.expr(f"exp(-{q(col)} / {d(scale)})")
 
 
 def euclidean(cols, centre) -> Column:
     """Distance of the row vector ``cols`` to a literal centre."""
-    sq = [(_c(c) - F.lit(float(m))) * (_c(c) - F.lit(float(m))) for c, m in zip(cols, centre)]
-    return F.sqrt(sum(sq[1:], sq[0]))
+    return F.expr("sqrt(" + _sum(f"({q(c)} - {d(m)}) * ({q(c)} - {d(m)})" for c, m in zip(cols, centre)) + ")")
 
 
 def nan_to_null(c: Column) -> Column:

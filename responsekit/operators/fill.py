@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from responsekit.functions.advanced import d
+
 ACCURACY = 10000
 
 
@@ -113,11 +115,12 @@ def median_fill(df: DataFrame, medians: dict[str, float | None]) -> DataFrame:
     for c, m in medians.items():
         if m is None or c not in types:
             continue
-        ref = F.col(f"`{c}`")
+        ref = "`" + c.replace("`", "``") + "`"
         if types[c] in ("double", "float"):
-            cols[c] = F.coalesce(F.when(~F.isnan(ref), ref), F.lit(float(m))).cast("double")
+            e = f"CAST(coalesce(CASE WHEN NOT isnan({ref}) THEN {ref} END, {d(m)}) AS DOUBLE)"
         elif float(m).is_integer():
-            cols[c] = F.coalesce(ref, F.lit(int(m)).cast(types[c]))
+            e = f"coalesce({ref}, CAST({int(m)} AS {types[c]}))"
         else:
-            cols[c] = F.coalesce(ref.cast("double"), F.lit(float(m)))
+            e = f"coalesce(CAST({ref} AS DOUBLE), {d(m)})"
+        cols[c] = F.expr(e)  # SQL text: one JVM call per column
     return df.withColumns(cols) if cols else df

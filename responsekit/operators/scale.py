@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from responsekit.functions.advanced import d, q
+
 
 @dataclass
 class ScalerModel:
@@ -23,7 +25,7 @@ class ScalerModel:
             den = s + self.eps
             if den == 0:  # constant column: scikit-learn leaves it at 0 after centring
                 den = 1.0
-            out[c] = ((F.col(f"`{c}`").cast("double") - F.lit(m)) / F.lit(den))
+            out[c] = F.expr(f"({q(c)} - {d(m)}) / {d(den)}")
         return out
 
     def transform(self, df: DataFrame, suffix: str = "") -> DataFrame:
