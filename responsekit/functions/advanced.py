@@ -104,9 +104,14 @@ def exp_decay(col: str = "Recency", scale: float = 10.0) -> Column:
     return F.expr(f"exp(-{q(col)} / {d(scale)})")
 
 
+def euclidean_sql(cols, centre) -> str:
+    """Distance of the row vector ``cols`` to a literal centre, as SQL text."""
+    return "sqrt(" + _sum(f"({q(c)} - {d(m)}) * ({q(c)} - {d(m)})" for c, m in zip(cols, centre)) + ")"
+
+
 def euclidean(cols, centre) -> Column:
     """Distance of the row vector ``cols`` to a literal centre."""
-    return F.expr("sqrt(" + _sum(f"({q(c)} - {d(m)}) * ({q(c)} - {d(m)})" for c, m in zip(cols, centre)) + ")")
+    return F.expr(euclidean_sql(cols, centre))
 
 
 def nan_to_null(c: Column) -> Column:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from responsekit.catalog import (DEFAULT_AS_OF_YEAR, EXTRA_LOG_INPUTS, ID_COL, PAIR_INPUTS, POLY_INPUTS,
                                  TARGET_COL)
-from responsekit.functions.advanced import (add_row_stats, euclidean, exp_decay, extra_logs, pair_differences,
+from responsekit.functions.advanced import (add_row_stats, euclidean_sql, exp_decay, extra_logs, pair_differences,
                                             pair_ratios, poly_interactions)
 from responsekit.functions.dates import tenure_season
 from responsekit.operators.align import numeric_columns
@@ -50,23 +50,19 @@ class ClusterModel:
         return tmp
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``Cluster_{k}`` then ``Cluster_{k}_Dist_{i}`` (label first, as the reference orders them)."""
         zcols = [f"__z_{c}" for c in self.cols]
         df = df.withColumns(self.columns())
-        dists = [euclidean(zcols, ctr) for ctr in self.centres]
-        out = {}
-        for i, d in enumerate(dists):
-            out[f"Cluster_{self.k}_Dist_{i}"] = d
-        df = df.withColumns(out)
-        dcols = [F.col(f"Cluster_{self.k}_Dist_{i}") for i in range(self.k)]
-        best = F.least(*dcols) if self.k > 1 else dcols[0]
-        label = F.lit(None).cast("long")
-        for i in reversed(range(self.k)):  # first centre wins ties, like argmin
-            label = F.when(dcols[i] == best, F.lit(i)).otherwise(label)
-        if self.k == 1:
-            label = F.lit(0).cast("long")
-        df = df.withColumn(f"Cluster_{self.k}", label.cast("long"))
-        ordered = [c for c in df.columns if not c.startswith("__z_")]
-        return df.select(*[F.col(f"`{c}`") for c in ordered])
+        dists = [euclidean_sql(zcols, ctr) for ctr in self.centres]
+        if self.k > 1:
+            # first centre wins ties, like argmin
+            best = "least(" + ", ".join(dists) + ")"
+            label = "CASE " + " ".join(f"WHEN {dd} = {best} THEN {i}" for i, dd in enumerate(dists)) + " END"
+        else:
+            label = "0"
+        out = {f"Cluster_{self.k}": F.expr(f"CAST({label} AS BIGINT)")}
+        out.update({f"Cluster_{self.k}_Dist_{i}": F.expr(dd) for i, dd in enumerate(dists)})
+        return df.withColumns(out).drop(*zcols)
 
 
 def fit_kmeans(df: DataFrame, cols, k: int, seed: int = 42, n_init: int = 10, max_iter: int = 300,
@@ -181,9 +177,6 @@ def transform_advanced(df: DataFrame, model: AdvancedModel) -> DataFrame:
         df = df.withColumns(poly_interactions(model.poly_cols))
     for cm in model.cluster_models:
         df = cm.transform(df)
-        order = [c for c in df.columns if not c.startswith(f"Cluster_{cm.k}")]
-        order += [f"Cluster_{cm.k}"] + [f"Cluster_{cm.k}_Dist_{i}" for i in range(cm.k)]
-        df = df.select(*[F.col(f"`{c}`") for c in order])
     if model.pca is not None:
         df = df.withColumns(model.pca.columns())
     if len(model.pair_cols) >= 2:
@@ -207,6 +200,6 @@ def transform_advanced(df: DataFrame, model: AdvancedModel) -> DataFrame:
     df = df.withColumns(extra_logs(model.nonneg))
     if "Recency" in model.nonneg:
         df = df.withColumn("Recency_Exp_Decay", exp_decay("Recency"))
-    if TARGET_COL in df.columns:  # keep the label last
-        df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != TARGET_COL], F.col(TARGET_COL))
+    if TARGET_COL in df.columns and df.columns[-1] != TARGET_COL:  # keep the label last
+        df = df.withColumnRenamed(TARGET_COL, "__label").withColumn(TARGET_COL, F.col("__label")).drop("__label")
     return df
