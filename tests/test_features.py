@@ -107,3 +107,24 @@ def test_alignment(spark):
     assert numeric_columns(df, exclude=["ID"]) == ["a", "extra"]
     with pytest.raises(ValueError):
         require_columns(df, ["a", "missing"])
+
+
+def test_sql_double_literal_round_trip(spark):
+    """Generated SQL text must carry every fitted double exactly (centres, medians, scalers)."""
+    from responsekit.functions.advanced import d
+    vals = [0.001, 1e-05, -0.5, 1.5e+20, 123456.78901234567, -3.14159e-12, 0.1 + 0.2, -0.0, 5e-324]
+    row = spark.range(1).select(*[F.expr(d(v)).alias(f"c{i}") for i, v in enumerate(vals)]).first()
+    for got, want in zip(row, vals):
+        assert got == want and math.copysign(1, got) == math.copysign(1, want)
+
+
+def test_cluster_label_nearest_centre_first_wins_ties(spark):
+    from responsekit.operators.advanced import ClusterModel
+    from responsekit.operators.scale import ScalerModel
+    df = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 3.0), (3, 1.5, 1.5)], "ID long, a double, b double")
+    sc = ScalerModel({"a": 0.0, "b": 0.0}, {"a": 1.0, "b": 1.0})
+    got = ClusterModel(2, ["a", "b"], sc, [[0.0, 0.0], [3.0, 3.0]], 0.0).transform(df)
+    assert got.columns == ["ID", "a", "b", "Cluster_2", "Cluster_2_Dist_0", "Cluster_2_Dist_1"]
+    rows = {r["ID"]: r for r in got.collect()}
+    assert [rows[i]["Cluster_2"] for i in (1, 2, 3)] == [0, 1, 0]  # row 3 is equidistant: first centre
+    assert math.isclose(rows[2]["Cluster_2_Dist_0"], math.sqrt(18.0))
