@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from responsekit.catalog import (AGE_GROUP_EDGES, AGE_GROUP_LABELS, CAMPAIGN_COLS, DATE_COL, EDU_COL, EPS,
                                  MARITAL_COL, PURCHASE_COLS, SPENT_COLS)
+from responsekit.functions.advanced import d
 from responsekit.functions.dates import calendar_parts, days_since, parse_mixed_date
 
 PARSED_DATE = "_dt_parsed"
@@ -58,57 +59,88 @@ def add_date_features(df: DataFrame, min_date) -> DataFrame:
     return df.withColumns(cols).drop(PARSED_DATE)
 
 
+# SQL-text forms of the helpers above (one JVM parse per output column; same expressions).
+def _n(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _row_sum_sql(cols) -> str:
+    return "(" + " + ".join(f"coalesce({_n(c)}, 0)" for c in cols) + ")"
+
+
+def _count_positive_sql(cols) -> str:
+    return "(" + " + ".join(f"CAST(coalesce({_n(c)} > 0, false) AS BIGINT)" for c in cols) + ")"
+
+
+def _flag_sql(pred: str) -> str:
+    return f"CAST(coalesce({pred}, false) AS BIGINT)"
+
+
+def _ratio_sql(num: str, den: str) -> str:
+    return f"CAST({num} / ({den} + {d(EPS)}) AS DOUBLE)"
+
+
+def _log1p_sql(x: str) -> str:
+    return f"log1p(CAST({x} AS DOUBLE))"
+
+
+def _age_group_sql(age: str) -> str:
+    e, lab = AGE_GROUP_EDGES, AGE_GROUP_LABELS
+    whens = " ".join(f"WHEN {age} > {e[i]} AND {age} <= {e[i + 1]} THEN '{lab[i]}'" for i in range(len(lab)))
+    return f"CASE {whens} ELSE '{lab[0]}' END"
+
+
 def add_base_features(df: DataFrame, min_date, as_of_year: int) -> DataFrame:
     """All base features in the reference's creation order."""
     df = add_date_features(df, min_date)
-    c = F.col
+    n = _n
     first = {
-        "Age": (F.lit(as_of_year) - c("Year_Birth")).cast("long"),
-        "Total_Children": (c("Kidhome") + c("Teenhome")).cast("long"),
-        "Total_Purchases": row_sum(PURCHASE_COLS).cast("long"),
-        "Total_Spent": row_sum(SPENT_COLS).cast("double"),
-        "Campaign_Response_Count": row_sum(CAMPAIGN_COLS).cast("long"),
+        "Age": f"CAST({int(as_of_year)} - {n('Year_Birth')} AS BIGINT)",
+        "Total_Children": f"CAST({n('Kidhome')} + {n('Teenhome')} AS BIGINT)",
+        "Total_Purchases": f"CAST({_row_sum_sql(PURCHASE_COLS)} AS BIGINT)",
+        "Total_Spent": f"CAST({_row_sum_sql(SPENT_COLS)} AS DOUBLE)",
+        "Campaign_Response_Count": f"CAST({_row_sum_sql(CAMPAIGN_COLS)} AS BIGINT)",
     }
-    df = df.withColumns(first)
+    df = df.withColumns({k: F.expr(v) for k, v in first.items()})
     second = {
-        "Age_Group": age_group(c("Age")),
-        "Age_Squared": c("Age") * c("Age"),
-        "Has_Children": flag(c("Total_Children") > 0),
-        "Has_Kid": flag(c("Kidhome") > 0),
-        "Has_Teen": flag(c("Teenhome") > 0),
-        "Child_Ratio": safe_ratio(c("Kidhome"), c("Total_Children")),
+        "Age_Group": _age_group_sql(n("Age")),
+        "Age_Squared": f"{n('Age')} * {n('Age')}",
+        "Has_Children": _flag_sql(f"{n('Total_Children')} > 0"),
+        "Has_Kid": _flag_sql(f"{n('Kidhome')} > 0"),
+        "Has_Teen": _flag_sql(f"{n('Teenhome')} > 0"),
+        "Child_Ratio": _ratio_sql(n("Kidhome"), n("Total_Children")),
     }
     for p in PURCHASE_COLS:
-        second[f"{p}_Ratio"] = safe_ratio(c(p), c("Total_Purchases"))
-    second["Purchase_Channels_Used"] = count_positive(PURCHASE_COLS)
-    second["Web_Store_Ratio"] = safe_ratio(c("NumWebPurchases"), c("NumStorePurchases"))
-    for s in SPENT_COLS:
-        second[f"{s}_Ratio"] = safe_ratio(c(s), c("Total_Spent"))
-    second["Spending_Categories_Used"] = count_positive(SPENT_COLS)
-    second["Avg_Spent_Per_Purchase"] = safe_ratio(c("Total_Spent"), c("Total_Purchases"))
-    for s in SPENT_COLS:
-        second[f"{s}_Log"] = log1p(c(s))
-    second["Total_Spent_Squared"] = c("Total_Spent") * c("Total_Spent")
-    rate = c("Campaign_Response_Count") / F.lit(len(CAMPAIGN_COLS))
+        second[f"{p}_Ratio"] = _ratio_sql(n(p), n("Total_Purchases"))
+    second["Purchase_Channels_Used"] = _count_positive_sql(PURCHASE_COLS)
+    second["Web_Store_Ratio"] = _ratio_sql(n("NumWebPurchases"), n("NumStorePurchases"))
+    for c in SPENT_COLS:
+        second[f"{c}_Ratio"] = _ratio_sql(n(c), n("Total_Spent"))
+    second["Spending_Categories_Used"] = _count_positive_sql(SPENT_COLS)
+    second["Avg_Spent_Per_Purchase"] = _ratio_sql(n("Total_Spent"), n("Total_Purchases"))
+    for c in SPENT_COLS:
+        second[f"{c}_Log"] = _log1p_sql(n(c))
+    second["Total_Spent_Squared"] = f"{n('Total_Spent')} * {n('Total_Spent')}"
+    rate = f"({n('Campaign_Response_Count')} / {len(CAMPAIGN_COLS)})"
     second["Campaign_Response_Rate"] = rate
-    last = max(CAMPAIGN_COLS, key=lambda n: int(n.replace("AcceptedCmp", "")))
-    prev = [n for n in CAMPAIGN_COLS if n != last]
-    second["Last_Campaign_Accepted"] = c(last).cast("long")
-    second["Previous_Response_Rate"] = (row_sum(prev) / F.lit(len(prev))).cast("double")
-    inc = c("Income").cast("double")
-    second["Income_Log"] = log1p(inc)
-    second["Income_Sqrt"] = F.when(inc + F.lit(EPS) >= 0, F.sqrt(inc + F.lit(EPS)))
-    second["Income_Per_Child"] = (inc / (c("Total_Children") + F.lit(1))).cast("double")
-    second["Income_Per_Age"] = safe_ratio(inc, c("Age"))
-    second["Income_Spent_Ratio"] = safe_ratio(c("Total_Spent"), inc)
-    second["Recency_Squared"] = c("Recency") * c("Recency")
-    second["Recency_Log"] = log1p(c("Recency"))
-    second["Recency_Purchase_Ratio"] = safe_ratio(c("Recency"), c("Total_Purchases"))
-    second["NumWebVisitsMonth_Log"] = log1p(c("NumWebVisitsMonth"))
-    second["Web_Conversion_Rate"] = safe_ratio(c("NumWebPurchases"), c("NumWebVisitsMonth"))
-    second["Recency_X_Campaign"] = (c("Recency") * rate).cast("double")
-    second["Recency_X_WebPurchases"] = c("Recency") * c("NumWebPurchases")
-    second["Campaign_X_WebPurchases"] = (rate * c("NumWebPurchases")).cast("double")
-    second["Edu_Marital_Combined"] = F.concat_ws(
-        "_", F.coalesce(c(EDU_COL), F.lit("Unknown")), F.coalesce(c(MARITAL_COL), F.lit("Unknown")))
-    return df.withColumns(second)
+    last = max(CAMPAIGN_COLS, key=lambda c: int(c.replace("AcceptedCmp", "")))
+    prev = [c for c in CAMPAIGN_COLS if c != last]
+    second["Last_Campaign_Accepted"] = f"CAST({n(last)} AS BIGINT)"
+    second["Previous_Response_Rate"] = f"CAST({_row_sum_sql(prev)} / {len(prev)} AS DOUBLE)"
+    inc = f"CAST({n('Income')} AS DOUBLE)"
+    second["Income_Log"] = _log1p_sql(inc)
+    second["Income_Sqrt"] = f"CASE WHEN {inc} + {d(EPS)} >= 0 THEN sqrt({inc} + {d(EPS)}) END"
+    second["Income_Per_Child"] = f"CAST({inc} / ({n('Total_Children')} + 1) AS DOUBLE)"
+    second["Income_Per_Age"] = _ratio_sql(inc, n("Age"))
+    second["Income_Spent_Ratio"] = _ratio_sql(n("Total_Spent"), inc)
+    second["Recency_Squared"] = f"{n('Recency')} * {n('Recency')}"
+    second["Recency_Log"] = _log1p_sql(n("Recency"))
+    second["Recency_Purchase_Ratio"] = _ratio_sql(n("Recency"), n("Total_Purchases"))
+    second["NumWebVisitsMonth_Log"] = _log1p_sql(n("NumWebVisitsMonth"))
+    second["Web_Conversion_Rate"] = _ratio_sql(n("NumWebPurchases"), n("NumWebVisitsMonth"))
+    second["Recency_X_Campaign"] = f"CAST({n('Recency')} * {rate} AS DOUBLE)"
+    second["Recency_X_WebPurchases"] = f"{n('Recency')} * {n('NumWebPurchases')}"
+    second["Campaign_X_WebPurchases"] = f"CAST({rate} * {n('NumWebPurchases')} AS DOUBLE)"
+    second["Edu_Marital_Combined"] = (f"concat_ws('_', coalesce({n(EDU_COL)}, 'Unknown'), "
+                                      f"coalesce({n(MARITAL_COL)}, 'Unknown'))")
+    return df.withColumns({k: F.expr(v) for k, v in second.items()})
