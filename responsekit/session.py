@@ -79,4 +79,14 @@ def materialize(df: DataFrame) -> DataFrame:
     root = ensure_checkpoint_dir(spark)
     path = os.path.join(root, "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._materialized_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    spark = table.sparkSession
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table._materialized_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
