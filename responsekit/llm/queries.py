@@ -6,12 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from responsekit.llm.decontaminate import SQL as LEAK_SQL
+from responsekit.llm.decontaminate import op10_decontaminate
+from responsekit.llm.license_scan import op2_license_scan
+from responsekit.llm.ngram_jaccard import SQL as JACCARD_SQL
+from responsekit.llm.ngram_jaccard import op5_ngram_jaccard
 from responsekit.llm.quality_qda import op9_quality_qda
 from responsekit.llm.quality_rules import op3_quality_rules
+from responsekit.llm.source_mix import op6_source_mix
+from responsekit.llm.substring_dedup import SQL as REPEAT_SQL
+from responsekit.llm.substring_dedup import op4_substring_dedup
+from responsekit.llm.token_counts import op1_token_counts
+from responsekit.llm.url_rules import SQL as URL_SQL
+from responsekit.llm.url_rules import op7_url_filter
+from responsekit.llm.warc import SQL as WARC_SQL
+from responsekit.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_license_scan": op2_license_scan,
     "op3_quality_rules": op3_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_source_mix": op6_source_mix,
+    "op7_url_filter": op7_url_filter,
+    "op8_warc": op8_warc,
     "op9_quality_qda": op9_quality_qda,
+    "op10_decontaminate": op10_decontaminate,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_substring_dedup": REPEAT_SQL,
+    "op5_ngram_jaccard": JACCARD_SQL,
+    "op7_url_filter": URL_SQL,
+    "op8_warc": WARC_SQL,
+    "op10_decontaminate": LEAK_SQL,
+}
