@@ -31,6 +31,11 @@ def row_key(df: DataFrame, id_col: str, text_col: str) -> list[Column]:
     return [F.xxhash64(F.col(id_col)).alias("k1"), F.xxhash64(F.lit("text"), F.col(text_col)).alias("k2")]
 
 
+def pack_row(df: DataFrame, names: list[str] | None = None) -> Column:
+    """The columns of ``df`` (or ``names``) as one struct ``row``, out of the way of working columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in (names or df.columns)]).alias("row")
+
+
 def split_words(text: str | None) -> list[bytes]:
     """The words of a text in UTF-8 (``bytes.split`` splits at exactly the six ASCII blanks)."""
     return text.encode("utf-8", "surrogatepass").split() if text else []

@@ -11,31 +11,38 @@ from responsekit.session import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of ``edges`` (u, v); the label is the component's smallest node.
 
-    Each round hangs every node below its smallest neighbour and contracts the
-    edges to the parents, until none is left; parents always are smaller nodes,
-    so this ends. Then pointers are doubled until each points at its root. Every
-    round is a written table, so a lost executor repeats one round at most."""
+    Each round hangs every node below its smallest neighbour, follows these
+    pointers to the roots of the trees they form, and replaces both ends of
+    every edge by their roots, until no edge is left. Parents always are smaller
+    nodes, so this ends, and a node that has a parent is in no later edge, so it
+    gets one only. Every step is a written table, so a lost executor repeats one
+    step at most."""
     edges = _oriented(edges.select("u", "v"))
-    parents = None
+    trees = None
     while not edges.isEmpty():
-        step = materialize(edges.groupBy("u").agg(F.min("v").alias("p")))
-        parents = step if parents is None else parents.unionByName(step)
-        up = edges.join(step, "u").select("p", "v")
-        below = step.select(F.col("u").alias("v"), F.col("p").alias("q"))
-        edges = _oriented(up.join(below, "v", "left").select(F.col("p").alias("u"), F.coalesce("q", "v").alias("v")))
-    if parents is None:
+        tree = _to_roots(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")))
+        trees = tree if trees is None else trees.unionByName(tree)
+        for end in ("u", "v"):
+            root = tree.select(F.col("node").alias(end), "label")
+            edges = edges.join(root, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        edges = _oriented(edges)
+    if trees is None:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    pointers = materialize(parents.select(F.col("u").alias("node"), F.col("p").alias("label")))
+    pointers = _to_roots(trees)
+    roots = pointers.select(F.col("label").alias("node")).distinct()
+    return pointers.unionByName(roots.select("node", F.col("node").alias("label")))
+
+
+def _to_roots(pointers: DataFrame) -> DataFrame:
+    """Pointers (node, label) doubled until each label is a root; written."""
+    pointers = materialize(pointers.select("node", "label"))
     while True:
         above = pointers.select(F.col("node").alias("label"), F.col("label").alias("higher"))
-        moved = materialize(pointers.join(above, "label", "left")
-                            .select("node", F.coalesce("higher", "label").alias("label"),
-                                    F.col("higher").isNotNull().alias("moved")))
-        pointers = moved.select("node", "label")
+        moved = materialize(pointers.join(above, "label", "left").select(
+            "node", F.coalesce("higher", "label").alias("label"), F.col("higher").isNotNull().alias("moved")))
         if moved.where("moved").isEmpty():
-            break
-    roots = pointers.select(F.col("label").alias("node")).distinct()
-    return pointers.unionByName(roots.select("node", F.col("node").alias("label")))
+            return pointers
+        pointers = moved.select("node", "label")
 
 
 def _oriented(edges: DataFrame) -> DataFrame:

@@ -29,7 +29,8 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from responsekit.llm.common import SHINGLE, WORD, read, row_key
+from responsekit.llm.common import SHINGLE, WORD, pack_row, read, row_key
+from responsekit.session import materialize
 
 THRESHOLD, RECALL = 0.8, 0.999999
 #: 20,000 items of 1,000 words are 20 million shingles at most; smaller benchmarks are broadcast.
@@ -73,8 +74,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
                 .groupBy("h", "i0", "i1").agg(F.min("least_windows").alias("least_windows")))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row_key(docs, id_col, text_col))
     hits = shingled(rows, ["k1", "k2"], "text").select("k1", "k2", "h", "windows")
-    candidates = (hits.join(hint(sketches), "h").where("windows >= least_windows")
-                  .select("k1", "k2", "i0", "i1").distinct())
+    candidates = materialize(hits.join(hint(sketches), "h").where("windows >= least_windows")
+                             .select("k1", "k2", "i0", "i1").distinct())  # used twice below
     return verify(rows, candidates, shingles, hint, threshold)
 
 
@@ -94,7 +95,7 @@ def verify(rows: DataFrame, candidates: DataFrame, shingles: DataFrame, hint, th
 def drop_leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that contain no item, with all their columns."""
     leaks = find_leaks(docs, items, threshold).select("k1", "k2").distinct()
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), *row_key(docs, "doc_id", "text"))
+    keyed = docs.select(pack_row(docs), *row_key(docs, "doc_id", "text"))
     return keyed.join(leaks, ["k1", "k2"], "left_anti").select("row.*")
 
 

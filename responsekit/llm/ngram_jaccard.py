@@ -40,6 +40,7 @@ from responsekit.llm.common import (
     map_rows,
     mix64,
     ngram_hashes,
+    pack_row,
     read,
     row_key,
     signed,
@@ -174,12 +175,13 @@ def compare_group(nodes: list[bytes], sides: list[int], weight: list[int], bands
 def shared_buckets(classes: DataFrame) -> DataFrame:
     """(h, band, members, node) of the buckets of two classes or more, one for each different set of members."""
     each = classes.select("node", F.posexplode("bands").alias("band", "h"))
-    shared = each.groupBy("h").agg(F.count("*").alias("members")).where("members >= 2")
+    # written before they are joined back, so that adaptive execution can split a bucket in the join
+    shared = materialize(each.groupBy("h").agg(F.count("*").alias("members")).where("members >= 2"))
     full = materialize(each.join(shared, "h"))
     named = full.groupBy("h", "band", "members").agg(F.bit_xor(F.xxhash64("node")).alias("x1"),
                                                      F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("x2"))
     kept = named.groupBy("members", "x1", "x2").agg(F.min(F.struct("band", "h")).alias("one"))
-    return full.join(kept.select("one.band", "one.h"), ["band", "h"])
+    return full.join(materialize(kept.select("one.band", "one.h")), ["band", "h"])
 
 
 def blocks(buckets: DataFrame) -> DataFrame:
@@ -229,7 +231,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
              .select("node", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "first",
                      F.coalesce("label", "node").alias("label")))
     known = materialize(known)
-    heads = known.groupBy("label").agg(F.min("first").alias("head"))
+    heads = materialize(known.groupBy("label").agg(F.min("first").alias("head")))
     known = known.join(heads, "label").select("node", "n_links", "head")
     out = signed_docs.join(known, "node", "left")
     return out.select("id", "k1", "k2", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("head.id")).alias("class_id"),
@@ -241,7 +243,7 @@ def keep_one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     """One row of ``docs`` for each class, the one of the smallest id; rows without words stay all."""
     verdict = near_duplicates(docs, threshold)
     has_words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), has_words.alias("has_words"), *row_key(docs, "doc_id", "text"))
+    keyed = docs.select(pack_row(docs), has_words.alias("has_words"), *row_key(docs, "doc_id", "text"))
     firsts = verdict.where("first").select("k1", "k2").distinct()
     kept = keyed.where("has_words").join(firsts, ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"])
     return kept.select("row.*").unionByName(keyed.where("not has_words").select("row.*"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from responsekit.llm.common import map_rows, read, row_key
+from responsekit.llm.common import map_rows, pack_row, read, row_key
 from responsekit.llm.textstats import STATS, text_stats
 from responsekit.session import materialize
 
@@ -129,7 +129,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of ``docs`` that score 0.5 or more, with all their columns."""
     rejected = (score_documents(docs, labels, id_col, text_col).where(F.col("score") < 0.5)
                 .select(F.xxhash64("id").alias("k1"), "k2").distinct())
-    keyed = docs.select(F.struct(*docs.columns).alias("row"), *row_key(docs, id_col, text_col))
+    keyed = docs.select(pack_row(docs), *row_key(docs, id_col, text_col))
     return keyed.join(rejected, ["k1", "k2"], "left_anti").select("row.*")
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from responsekit.llm.common import WORD, read
+from responsekit.llm.common import WORD, pack_row, read
 from responsekit.session import materialize
 
 #: Weights of the sources by code point, repeating; all budgets as a share of all words.
@@ -78,7 +78,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     text = F.col(text_col)
     quality = quality_weight(text) if weight is None else F.greatest(F.coalesce(weight, F.lit(1.0)), F.lit(1e-6))
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(id_col), text), 11) + 1) / F.lit(float(2 ** 53 + 1))
-    keyed = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(source_col).alias("source"), n_words(text).alias("size"),
+    keyed = docs.select(pack_row(docs, carry), F.col(source_col).alias("source"), n_words(text).alias("size"),
                         (-F.ln(u) / quality).alias("key"), F.xxhash64(F.col(id_col), text).alias("tie"))
     keyed = keyed.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS).cast("int"))
     sums = materialize(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")))

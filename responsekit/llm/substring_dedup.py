@@ -39,7 +39,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from responsekit.llm.common import map_rows, mix64, ngram_hashes, read, row_key, signed, split_words, word_hashes
+from responsekit.llm.common import (
+    map_rows,
+    mix64,
+    ngram_hashes,
+    pack_row,
+    read,
+    row_key,
+    signed,
+    split_words,
+    word_hashes,
+)
 from responsekit.session import discard, materialize
 
 LENGTH, SEED = 35, 8
@@ -105,12 +115,15 @@ def repeated_stretches(keyed: DataFrame, length: int, seed: int) -> DataFrame:
 
     ``whole``: the entire extension is repeated. ``emit``: its windows take part in the comparison by window."""
     anchors = materialize(anchor_table(keyed, length, seed))
-    twice = anchors.groupBy("a").agg(F.sum("like").alias("total")).where("total >= 2").select("a")
+    # counts are written before they are joined back: both sides of the join are then plain exchanges,
+    # and adaptive execution can split an anchor that a large share of the rows has
+    twice = materialize(anchors.groupBy("a").agg(F.sum("like").alias("total")).where("total >= 2").select("a"))
     repeated = materialize(anchors.join(twice, "a"))
     discard(anchors)
     extensions = repeated.groupBy("a", "u").agg(F.sum("like").alias("found"), F.min(F.struct("k1", "k2", "at")).alias("first"))
     extensions = materialize(extensions)
-    several = extensions.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds >= 2").select("a", F.lit(True).alias("several"))
+    several = materialize(extensions.groupBy("a").agg(F.count("*").alias("kinds")).where("kinds >= 2")
+                          .select("a", F.lit(True).alias("several")))
     judged = repeated.join(extensions.join(several, "a", "left"), ["a", "u"])
     is_first = F.struct("k1", "k2", "at") == F.col("first")
     judged = judged.select("k1", "k2", "at", "n", (F.col("found") >= 2).alias("whole"),
@@ -175,7 +188,7 @@ def remove_repeats(docs: DataFrame, cut: bool, carry: list[str] | None = None, i
     keys = row_key(docs, id_col, text_col)
     if isinstance(docs.schema[id_col].dataType, T.IntegralType):
         keys[0] = F.coalesce(F.col(id_col).cast("long"), F.lit(-1)).alias("k1")  # plain ids pack better than hashes
-    keyed = docs.select(F.struct(*(carry or docs.columns)).alias("row"), F.col(text_col).alias("text"), *keys)
+    keyed = docs.select(pack_row(docs, carry), F.col(text_col).alias("text"), *keys)
     stretches = repeated_stretches(keyed, length, seed)
     schema = T.StructType([
         keyed.schema["row"], T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()),
@@ -196,7 +209,7 @@ def remove_repeats(docs: DataFrame, cut: bool, carry: list[str] | None = None, i
     # documents whose windows are all settled are finished here; the others wait with their text
     passed = materialize(map_rows(keyed.join(stretches, ["k1", "k2"], "left"), first_pass, schema))
     windows = passed.where(F.size("windows") > 0).select("k1", "k2", F.explode("windows").alias("w")).select("k1", "k2", "w.*")
-    twice = windows.groupBy("h", "h2").agg(F.sum("weight").alias("total")).where("total >= 2").select("h", "h2")
+    twice = materialize(windows.groupBy("h", "h2").agg(F.sum("weight").alias("total")).where("total >= 2").select("h", "h2"))
     found = (windows.where("weight = 1").join(twice, ["h", "h2"])
              .groupBy("k1", "k2").agg(F.collect_set("at").alias("more")))
     done = T.StructType([schema[c] for c in ("row", "n_words", "n_removed", "kept")])
@@ -217,7 +230,7 @@ def remove_repeats(docs: DataFrame, cut: bool, carry: list[str] | None = None, i
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeats cut out of ``text`` and ``n_chars`` (if there) counted anew."""
     out = remove_repeats(docs, cut=True, carry=[c for c in docs.columns if c != "text"])
-    new = {"text": F.col("kept"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast("long"))
+    new = {"text": F.col("kept"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept").cast(docs.schema["n_chars"].dataType))
            .otherwise(F.col("row.n_chars")) if "n_chars" in docs.columns else None}
     return out.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 

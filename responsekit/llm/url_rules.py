@@ -27,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from responsekit.llm.common import read
+from responsekit.llm.common import pack_row, read
+from responsekit.session import materialize
 
 SALTS = 128
 #: Slices of one salt; the keys of different host suffixes are spread over them.
@@ -106,9 +107,11 @@ def judge_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def filter_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default: str = "allow") -> DataFrame:
     """Every row of ``pages`` as struct ``row``, with host, path, rule and verdict."""
-    parts = pages.select(F.struct(*pages.columns).alias("row"), url_host(F.col(url_col)).alias("host"),
+    parts = pages.select(pack_row(pages), url_host(F.col(url_col)).alias("host"),
                          url_path(F.col(url_col)).alias("path"))
-    return (parts.join(judge_urls(parts, rules), ["host", "path"], "left")
+    # written before it is joined back, so that adaptive execution can split a url that very many pages have
+    judged = materialize(judge_urls(parts, rules))
+    return (parts.join(judged, ["host", "path"], "left")
             .withColumn("verdict", F.coalesce("verdict", F.lit(default))))
 
 

@@ -132,7 +132,8 @@ def with_types(pages: DataFrame, min_revisit_bytes: int) -> DataFrame:
     """``pages`` (page_id, url, html) with ``revisits``: the id of the response of the same payload, if another."""
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     hashed = pages.withColumn("sha", F.sha1(payload))
-    first = hashed.groupBy("sha").agg(F.min("page_id").alias("first_id"))
+    # written before it is joined back, so that adaptive execution can split a payload that very many pages have
+    first = materialize(hashed.groupBy("sha").agg(F.min("page_id").alias("first_id")))
     is_revisit = ~F.col("page_id").eqNullSafe(F.col("first_id")) & (F.octet_length(payload) >= min_revisit_bytes)
     return hashed.join(first, "sha").select("page_id", "url", "html", is_revisit.alias("is_revisit"), "first_id")
 
