@@ -100,3 +100,29 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     templates = spark.createDataFrame(TEMPLATES, "name string, text string")
     return scan(read(spark, sf_dir, "documents"), templates)
+
+
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+_TEMPLATES_SQL = ", ".join(f"({_sql_text(n)}, {_sql_text(t)})" for n, t in TEMPLATES)
+
+SQL = rf"""
+WITH unit AS (
+  SELECT doc_id, 'line' AS unit, generate_subscripts(p, 1) - 1 AS number, unnest(p) AS part, '' AS name
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents)
+  UNION ALL
+  SELECT * FROM (SELECT doc_id, 'paragraph', generate_subscripts(p, 1) - 1, unnest(p) AS part, ''
+    FROM (SELECT doc_id, regexp_split_to_array(text, '\n[\x20\x09-\x0D]*\n') AS p FROM documents)) WHERE contains(trim(part), chr(10))
+  UNION ALL SELECT NULL, 'template', 0, column1, column0 FROM (VALUES {_TEMPLATES_SQL}) t(column0, column1)),
+word AS (SELECT doc_id, unit, number, name, string_split(trim(regexp_replace(lower(part), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w FROM unit),
+gram AS (SELECT doc_id, unit, number, name, CASE WHEN len(w) = 1 THEN w
+           ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS g FROM word WHERE w[1] <> ''),
+have AS (SELECT doc_id, unit, number, len(g) AS n, unnest(g) AS g FROM gram WHERE unit <> 'template'),
+known AS (SELECT name, len(g) AS m, unnest(g) AS g FROM gram WHERE unit = 'template'),
+dice AS (SELECT doc_id, unit, number, name, 2.0 * count(*) / (n + m) AS dice FROM have JOIN known USING (g)
+         GROUP BY doc_id, unit, number, name, n, m HAVING 2.0 * count(*) / (n + m) >= {THRESHOLD}),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, unit, number ORDER BY dice DESC, name) AS k FROM dice)
+SELECT doc_id, unit, CAST(number AS INTEGER) AS number, name AS license, dice FROM best WHERE k = 1
+"""

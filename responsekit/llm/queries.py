@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from responsekit.llm.decontaminate import SQL as LEAK_SQL
 from responsekit.llm.decontaminate import op10_decontaminate
+from responsekit.llm.license_scan import SQL as LICENSE_SQL
 from responsekit.llm.license_scan import op2_license_scan
 from responsekit.llm.ngram_jaccard import SQL as JACCARD_SQL
 from responsekit.llm.ngram_jaccard import op5_ngram_jaccard
@@ -36,6 +37,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op2_license_scan": LICENSE_SQL,
     "op4_substring_dedup": REPEAT_SQL,
     "op5_ngram_jaccard": JACCARD_SQL,
     "op7_url_filter": URL_SQL,

@@ -81,6 +81,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     keyed = docs.select(pack_row(docs, carry), F.col(source_col).alias("source"), n_words(text).alias("size"),
                         (-F.ln(u) / quality).alias("key"), F.xxhash64(F.col(id_col), text).alias("tie"))
     keyed = keyed.withColumn("bucket", F.floor((1 - F.exp(-F.col("key"))) * BUCKETS).cast("int"))
+    if carry is not None and text_col not in carry:
+        keyed = materialize(keyed)  # narrow: the texts are then counted once
     sums = materialize(keyed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size")))
     targets = source_targets(sums.groupBy("source").agg(F.sum("bucket_size").alias("source_size")))
     return _take(keyed, sums, targets)
