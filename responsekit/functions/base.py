@@ -6,7 +6,7 @@ by, the second everything else. Catalyst fuses both into one codegen stage.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from responsekit.catalog import (AGE_GROUP_EDGES, AGE_GROUP_LABELS, CAMPAIGN_COLS, DATE_COL, EDU_COL, EPS,
@@ -17,38 +17,6 @@ from responsekit.functions.dates import calendar_parts, days_since, parse_mixed_
 PARSED_DATE = "_dt_parsed"
 
 
-def row_sum(cols) -> Column:
-    """Null-skipping row sum; all-null rows sum to 0."""
-    return sum((F.coalesce(F.col(c), F.lit(0)) for c in cols[1:]), F.coalesce(F.col(cols[0]), F.lit(0)))
-
-
-def count_positive(cols) -> Column:
-    return sum((F.coalesce(F.col(c) > 0, F.lit(False)).cast("long") for c in cols[1:]),
-               F.coalesce(F.col(cols[0]) > 0, F.lit(False)).cast("long"))
-
-
-def flag(pred: Column) -> Column:
-    return F.coalesce(pred, F.lit(False)).cast("long")
-
-
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / (den + 0.001), the reference's zero-guarded ratio."""
-    return (num / (den + F.lit(EPS))).cast("double")
-
-
-def log1p(c: Column) -> Column:
-    return F.log1p(c.cast("double"))
-
-
-def age_group(age: Column) -> Column:
-    """right-closed bins (0,30] .. (60,100]; anything else -> '<30'."""
-    e, lab = AGE_GROUP_EDGES, AGE_GROUP_LABELS
-    expr = F.when((age > e[0]) & (age <= e[1]), F.lit(lab[0]))
-    for i in range(1, len(lab)):
-        expr = expr.when((age > e[i]) & (age <= e[i + 1]), F.lit(lab[i]))
-    return expr.otherwise(F.lit(lab[0]))
-
-
 def add_date_features(df: DataFrame, min_date) -> DataFrame:
     """F1-F6 from the raw ``Dt_Customer`` text."""
     d = parse_mixed_date(F.col(DATE_COL))
@@ -59,7 +27,7 @@ def add_date_features(df: DataFrame, min_date) -> DataFrame:
     return df.withColumns(cols).drop(PARSED_DATE)
 
 
-# SQL-text forms of the helpers above (one JVM parse per output column; same expressions).
+# Expressions as SQL text: one JVM parse per output column.
 def _n(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

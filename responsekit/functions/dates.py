@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from responsekit.catalog import DATE_FORMATS
+from responsekit.catalog import DATE_COL, DATE_FORMATS
+
+
+def min_parsed_date(df: DataFrame, col: str = DATE_COL) -> str | None:
+    """earliest parsable date of a table."""
+    d = df.agg(F.min(parse_mixed_date(F.col(col))).alias("d")).first()["d"]
+    return str(d) if d is not None else None
 
 
 def parse_mixed_date(c: Column, formats=DATE_FORMATS) -> Column:

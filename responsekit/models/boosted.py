@@ -1,12 +1,13 @@
 """Tree classifiers on Spark ML (M1-M4, M9) and probability scoring.
 
 One GBT engine serves the three boosted variants of the reference through
-parameter presets; early stopping uses ``validationIndicatorCol`` so the
-validation rows ride in the same DataFrame and the same distributed fit.
+parameter presets; early stopping watches the validation curve with a
+patience of 50 rounds and keeps the rounds up to the best.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,7 +21,9 @@ from responsekit.catalog import ID_COL, TARGET_COL
 from responsekit.operators import evaluate as V
 from responsekit.operators.sampling import class_counts, class_weights, with_weights
 
-FEATURES, LABEL, WEIGHT, VALID = "features", "label", "weight", "is_valid"
+FEATURES, LABEL, WEIGHT = "features", "label", "weight"
+AUC_BINS = 10000
+ROWS_PER_TASK = 20_000
 
 # --- Fixed values: parameter presets carried over from the reference.
 PRESETS = {
@@ -37,6 +40,7 @@ PRESETS = {
     "stack_gbt_b": dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8),
 }
 FOREST = dict(numTrees=100, maxDepth=4)
+PATIENCE = 50
 # --- end of fixed values
 
 
@@ -48,15 +52,13 @@ def with_label(df: DataFrame, label: str = TARGET_COL) -> DataFrame:
     return df.withColumn(LABEL, F.col(label).cast("double"))
 
 
-def gbt(preset: str = "catboost", max_iter: int | None = None, seed: int = 42, validation: bool = False,
-        weighted: bool = False, **overrides) -> GBTClassifier:
+def gbt(preset: str = "catboost", max_iter: int | None = None, seed: int = 42, weighted: bool = False,
+        **overrides) -> GBTClassifier:
+    """A boosted classifier of a preset; ``max_iter`` replaces the preset's number of rounds."""
     params = dict(PRESETS[preset])
     params.update(overrides)
     if max_iter is not None:
-        params["maxIter"] = min(params["maxIter"], max_iter)
-    if validation:
-        params["validationIndicatorCol"] = VALID
-        params.setdefault("validationTol", 0.01)
+        params["maxIter"] = max_iter
     if weighted:
         params["weightCol"] = WEIGHT
     return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, seed=seed, lossType="logistic", **params)
@@ -71,7 +73,11 @@ def forest(seed: int = 42, weighted: bool = False, **overrides) -> RandomForestC
 
 
 def fit_pipeline(estimator, df: DataFrame, cols) -> PipelineModel:
-    return Pipeline(stages=[assembler(cols), estimator]).fit(with_label(df))
+    """Fit on ``df``; partitions of fewer than ``ROWS_PER_TASK`` rows are joined first, because a boosted fit runs
+    thousands of short jobs whose cost is their number of tasks."""
+    data = with_label(df)
+    data = data.coalesce(max(1, math.ceil(data.count() / ROWS_PER_TASK)))
+    return Pipeline(stages=[assembler(cols), estimator]).fit(data)
 
 
 def probability(model, df: DataFrame, keep=(ID_COL,)) -> DataFrame:
@@ -100,23 +106,79 @@ def validation_metrics(scored: DataFrame, label: str = TARGET_COL, threshold: fl
     return {"accuracy": acc, "auc": auc, "log_loss": ll}
 
 
+def auc_by_round(model: PipelineModel, valid: DataFrame) -> list[float]:
+    """Validation AUC after every round, from one pass: margins are summed up tree by tree and counted in
+    ``AUC_BINS`` bins of probability per round (a table bounded by rounds x bins)."""
+    booster = model.stages[-1]
+    scored = model.stages[0].transform(with_label(valid)).select(FEATURES, LABEL)
+    margin, names = F.lit(0.0), []
+    for k, (tree, w) in enumerate(zip(booster.trees, booster.treeWeights)):
+        tree = tree.copy({tree.predictionCol: f"t{k}"})
+        scored = tree.transform(scored)
+        names.append((f"t{k}", w))
+    rounds = []
+    for c, w in names:
+        margin = margin + F.lit(w) * F.col(c)
+        rounds.append(margin)
+    bins = F.array(*[F.floor(AUC_BINS / (1 + F.exp(-2 * m))) for m in rounds])
+    table = (scored.select(LABEL, F.posexplode(bins).alias("round", "bin")).groupBy("round", "bin")
+             .agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg")).orderBy("round", "bin").collect())
+    area, pos, neg = [0.0] * len(rounds), [0.0] * len(rounds), [0.0] * len(rounds)
+    for r in table:
+        k = r["round"]
+        area[k] += r["pos"] * (neg[k] + 0.5 * r["neg"])
+        pos[k] += r["pos"]
+        neg[k] += r["neg"]
+    return [a / (p * n) if p and n else 0.5 for a, p, n in zip(area, pos, neg)]
+
+
+def best_round(curve: list[float], watch: str) -> int:
+    """First best round (0-based) of a validation curve."""
+    return min(range(len(curve)), key=lambda k: (-curve[k] if watch == "auc" else curve[k], k))
+
+
+def fit_early_stopped(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
+                      patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
+    """Boost until the validation metric has not improved for ``patience`` rounds or the budget is used up, and
+    keep the rounds up to the best one. ``make(rounds)`` gives the estimator.
+
+    Spark's own validation stop ends at the first round that gains too little, so rounds are fitted in growing
+    steps instead (each doubles the last; the same seed gives the same first trees) and the curve decides."""
+    rounds = min(budget, 2 * patience)
+    while True:
+        model = fit_pipeline(make(rounds), train, cols)
+        if watch == "auc":
+            curve = auc_by_round(model, valid)
+        else:
+            curve = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(with_label(valid))))
+        best = best_round(curve, watch)
+        if rounds - 1 - best >= patience or rounds >= budget:
+            break
+        rounds = min(budget, 2 * rounds)
+    if best + 1 < rounds:
+        model = fit_pipeline(make(best + 1), train, cols)
+    return model, curve
+
+
 def train_boosted(train: DataFrame, valid: DataFrame, cols, preset: str = "catboost", max_iter: int | None = None,
                   class_weight: str | None = "Balanced", tune_threshold: bool = True, seed: int = 42,
-                  label: str = TARGET_COL) -> TrainResult:
-    """M1/M2/M3: fit with early stopping on ``valid``, optional class weights, F1-tuned threshold."""
-    data = train.withColumn(VALID, F.lit(False)).unionByName(valid.withColumn(VALID, F.lit(True)),
-                                                              allowMissingColumns=True)
+                  label: str = TARGET_COL, watch: str = "log_loss", **overrides) -> TrainResult:
+    """M1/M2/M3: early-stopped fit (patience 50 on ``watch``), optional class weights, F1-tuned threshold."""
     weighted = class_weight not in (None, "None")
+    data, check = train.withColumn(TARGET_COL, F.col(label)), valid.withColumn(TARGET_COL, F.col(label))
     if weighted:
-        data = with_weights(data, class_weights(class_counts(train, label), class_weight), label, WEIGHT)
-    model = fit_pipeline(gbt(preset, max_iter, seed, validation=True, weighted=weighted), data, cols)
+        weights = class_weights(class_counts(train, label), class_weight)
+        data, check = with_weights(data, weights, label, WEIGHT), check.withColumn(WEIGHT, F.lit(1.0))
+    budget = max_iter if max_iter is not None else overrides.get("maxIter", PRESETS[preset]["maxIter"])
+    model, curve = fit_early_stopped(lambda n: gbt(preset, n, seed, weighted, **overrides), budget, data, check, cols, watch)
     sv = probability(model, valid, keep=(ID_COL, label))
-    res = TrainResult(model, list(cols))
+    res = TrainResult(model, list(cols), curve=curve)
     if tune_threshold:
         sweep = V.f1_sweep(sv.select(F.col(label).alias("y"), "p"))
         res.threshold, _ = V.best_threshold(sweep, "f1")
     res.metrics = validation_metrics(sv, label, 0.5, strict=True)
     res.metrics["threshold"] = res.threshold
+    res.metrics["trees"] = len(model.stages[-1].trees)
     return res
 
 
@@ -125,5 +187,7 @@ def train_forest(train: DataFrame, cols, seed: int = 42, **kw) -> PipelineModel:
     return fit_pipeline(forest(seed, **kw), train, cols)
 
 
-def importances(model: PipelineModel):
-    return model.stages[-1].featureImportances
+def importances(model: PipelineModel) -> dict[str, float]:
+    """Importance of every input column of a fitted tree model, by name."""
+    names = model.stages[0].getInputCols()
+    return dict(zip(names, map(float, model.stages[-1].featureImportances.toArray())))

@@ -1,14 +1,15 @@
 """Stacked ensemble (M5), soft voting (M6) and the leaderboard (M8).
 
 Stacking builds out-of-fold probabilities with distributed fits per fold
-(folds from ``kfold_assign``), joins them on the id, fits a logistic
-meta-learner on the base probabilities, then refits every base on all
-training rows. The fold loop is a driver loop over a bounded number of fits;
-the data stays in Spark and is checkpointed once so each fit reads it cheaply.
+(folds from ``kfold_assign``), each fold scored by its models in one
+projection, fits a logistic meta-learner on the base probabilities, then
+refits every base on all training rows. The fits are a bounded number and
+run side by side; the data is written once so each fit reads it cheaply.
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -37,29 +38,43 @@ class StackModel:
     bases: dict        # name -> PipelineModel fitted on all training rows
     meta: object       # LogisticRegressionModel over the base probabilities
     names: list
+    out_of_fold: DataFrame | None = None  # the table the meta-learner was fitted on
 
     def predict(self, df: DataFrame, keep=(ID_COL,)) -> DataFrame:
         keep = [c for c in keep if c in df.columns]
-        cur = df.select(*keep, *[c for c in df.columns if c not in keep])
-        cols = []
-        for n in self.names:
-            cur = self.bases[n].transform(cur).withColumn(f"p_{n}", vector_to_array(F.col("probability"))[1]) \
-                .drop("features", "rawPrediction", "probability", "prediction")
-            cols.append(f"p_{n}")
+        cols = [f"p_{n}" for n in self.names]
+        cur = base_probabilities({n: self.bases[n] for n in self.names}, df, keep)
         meta_in = VectorAssembler(inputCols=cols, outputCol="meta_features").transform(cur)
         out = self.meta.transform(meta_in)
         return out.select(*keep, *cols, vector_to_array(F.col("probability"))[1].alias("p"))
 
 
-def out_of_fold(train: DataFrame, cols, make, k: int, label: str = TARGET_COL) -> DataFrame:
-    """(ID, p) for every training row, each predicted by a model that did not see its fold."""
-    parts = []
+def fit_all(jobs: dict, at_once: int = 4) -> dict:
+    """Run independent fits side by side; Spark schedules their jobs together."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return dict(zip(jobs, pool.map(lambda job: job(), jobs.values())))
+
+
+def base_probabilities(bases: dict, df: DataFrame, keep) -> DataFrame:
+    """``keep`` and one probability column per base model, in one projection."""
+    cur = df
+    for n, model in bases.items():
+        cur = model.transform(cur).withColumn(f"p_{n}", vector_to_array(F.col("probability"))[1]) \
+            .drop("features", "rawPrediction", "probability", "prediction", LABEL)
+    return cur.select(*keep, *[f"p_{n}" for n in bases])
+
+
+def out_of_fold(folded: DataFrame, cols, learners: dict, k: int, label: str = TARGET_COL) -> DataFrame:
+    """(ID, fold, label, p_<base>...) for every training row, predicted by models that did not see its fold.
+
+    All bases share the folds, so a fold is scored by its models in one projection: no join."""
+    models = fit_all({(f, n): (lambda f=f, n=n: fit_pipeline(learners[n](), folded.filter(F.col("fold") != f), cols))
+                      for f in range(k) for n in learners})
+    out = None
     for f in range(k):
-        m = fit_pipeline(make(), train.filter(F.col("fold") != f), cols)
-        parts.append(probability(m, train.filter(F.col("fold") == f), keep=(ID_COL,)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        part = base_probabilities({n: models[f, n] for n in learners}, folded.filter(F.col("fold") == f),
+                                  (ID_COL, "fold", label))
+        out = part if out is None else out.unionByName(part)
     return out
 
 
@@ -68,18 +83,15 @@ def train_stacked(train: DataFrame, cols, cv: int = 3, max_iter: int | None = No
     folded = materialize(kfold_assign(train, k=cv, label=label, seed=seed))
     learners = base_learners(max_iter, seed)
     names = list(learners)
-    meta_tbl = folded.select(ID_COL, F.col(label).cast("double").alias(LABEL))
-    for n in names:
-        oof = out_of_fold(folded, cols, learners[n], cv, label).withColumnRenamed("p", f"p_{n}")
-        meta_tbl = meta_tbl.join(oof, ID_COL, "inner")
-    n_rows = meta_tbl.count()
-    meta_in = VectorAssembler(inputCols=[f"p_{n}" for n in names], outputCol="meta_features").transform(meta_tbl)
+    table = materialize(out_of_fold(folded, cols, learners, cv, label).withColumn(LABEL, F.col(label).cast("double")))
+    n_rows = table.count()
+    meta_in = VectorAssembler(inputCols=[f"p_{n}" for n in names], outputCol="meta_features").transform(table)
     # scikit-learn's C penalises the summed loss; Spark's regParam the mean loss.
     lr = LogisticRegression(featuresCol="meta_features", labelCol=LABEL, maxIter=meta_iter,
                             regParam=1.0 / (meta_c * max(n_rows, 1)), elasticNetParam=0.0, standardization=False)
     meta = lr.fit(meta_in)
-    bases = {n: fit_pipeline(learners[n](), folded, cols) for n in names}
-    return StackModel(bases, meta, names)
+    bases = fit_all({n: (lambda n=n: fit_pipeline(learners[n](), folded, cols)) for n in names})
+    return StackModel(bases, meta, names, table)
 
 
 def soft_vote(scored: DataFrame, prob_cols, out: str = "p") -> DataFrame:

@@ -69,9 +69,8 @@ def fit_kmeans(df: DataFrame, cols, k: int, seed: int = 42, n_init: int = 10, ma
                tol: float = 1e-4, parallelism: int = 10) -> ClusterModel:
     """A2: standardise ``cols``, fit k-means ``n_init`` times, keep the lowest cost."""
     scaler = fit_scaler(df, cols)
-    z = df.select(*[e.alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
-    vec = VectorAssembler(inputCols=[f"z{i}" for i in range(len(cols))], outputCol="features",
-                          handleInvalid="skip").transform(z).select("features").cache()
+    z = df.select(*[F.coalesce(e, F.lit(0.0)).alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
+    vec = VectorAssembler(inputCols=[f"z{i}" for i in range(len(cols))], outputCol="features").transform(z).select("features").cache()
     def one(r):
         m = KMeans(k=k, seed=seed + r, maxIter=max_iter, tol=tol, featuresCol="features").fit(vec)
         return m.summary.trainingCost, r, [list(map(float, c)) for c in m.clusterCenters()]
@@ -109,9 +108,8 @@ class PCAFeatureModel:
 def fit_pca(df: DataFrame, cols, n_components: int = 3) -> PCAFeatureModel:
     """A4/A5: own scaler over ``cols``, Spark ``PCA`` on the standardised vectors."""
     scaler = fit_scaler(df, cols)
-    z = df.select(*[e.alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
-    vec = VectorAssembler(inputCols=[f"z{i}" for i in range(len(cols))], outputCol="features",
-                          handleInvalid="skip").transform(z)
+    z = df.select(*[F.coalesce(e, F.lit(0.0)).alias(f"z{i}") for i, e in enumerate(scaler.columns(cols).values())])
+    vec = VectorAssembler(inputCols=[f"z{i}" for i in range(len(cols))], outputCol="features").transform(z)
     m = PCA(k=n_components, inputCol="features", outputCol="pca").fit(vec)
     pc = m.pc.toArray().T  # components x features
     fixed = []

@@ -114,8 +114,8 @@ def auc_exact(df: DataFrame, y: str = Y, p: str = P, buckets: int = 1000) -> Dat
     inner = F.coalesce(F.sum("neg").over(w), F.lit(0))
     below = (pre[F.col("bucket")] if pre is not None else F.lit(0)) + inner
     return (b.withColumn("below", below)
-            .agg((F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg")))
-                  / F.lit(float(max(n_pos, 0)) * float(max(n_neg, 0)))).alias("auc"),
+            .agg(F.try_divide(F.sum(F.col("pos") * (F.col("below") + 0.5 * F.col("neg"))),
+                              F.lit(float(n_pos) * float(n_neg))).alias("auc"),  # null if a class is missing
                  F.lit(n_pos).alias("n_pos"), F.lit(n_neg).alias("n_neg")))
 
 
@@ -175,15 +175,39 @@ def accuracy_sweep(df: DataFrame, y: str = Y, p: str = P, pcts=ACC_THRESHOLDS_PC
     c = _counts_at(spark, df, y, _floor_pct(F.col(p).cast("double")), pcts, shift=0)
     correct = F.col("pp") + (F.col("N") - F.col("np"))
     return c.select((F.col("k") / 100.0).alias("threshold"), correct.cast("long").alias("correct"),
-                    (correct / (F.col("P") + F.col("N"))).alias("accuracy"))
+                    _div(correct, F.col("P") + F.col("N")).alias("accuracy"))
 
 
 def best_threshold(sweep: DataFrame, metric: str) -> tuple[float, float]:
     """First maximum (lowest threshold among ties), from a bounded sweep table."""
-    r = sweep.orderBy(F.col(metric).desc(), F.col("threshold").asc()).first()
+    r = sweep.orderBy(F.col(metric).desc_nulls_last(), F.col("threshold").asc()).first()
+    if r is None or r[metric] is None:  # nothing to choose by
+        return 0.5, 0.0
     return float(r["threshold"]), float(r[metric])
 
 
-def learning_curve(model, df: DataFrame, label: str = "Target") -> list[float]:
-    """V8: log loss of a fitted GBT after each iteration (Spark evaluates it distributed)."""
-    return list(model.evaluateEachIteration(df.withColumn("label", F.col(label).cast("double"))))
+def submission_agreement(submissions: dict[str, DataFrame], id_col: str = "ID", label: str = "Target") -> DataFrame:
+    """Share of equal labels for every pair of submissions, over the ids both have: one shuffle for all pairs."""
+    names = list(submissions)
+    long = None
+    for name, df in submissions.items():
+        part = df.select(F.col(id_col).alias("id"), F.lit(name).alias("name"), F.col(label).alias("label"))
+        long = part if long is None else long.unionByName(part)
+    wide = long.groupBy("id").agg(*[F.max(F.when(F.col("name") == n, F.col("label"))).alias(f"l{k}") for k, n in enumerate(names)])
+    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
+    both = {p: F.col(f"l{p[0]}") == F.col(f"l{p[1]}") for p in pairs}
+    row = wide.agg(*[x for i, j in pairs for x in (F.avg(both[i, j].cast("double")).alias(f"a{i}_{j}"),
+                                                   F.count(both[i, j]).alias(f"n{i}_{j}"))])
+    cells = F.array(*[F.struct(F.lit(names[i]).alias("sub_a"), F.lit(names[j]).alias("sub_b"),
+                               F.col(f"a{i}_{j}").alias("agreement"), F.col(f"n{i}_{j}").alias("n")) for i, j in pairs])
+    return row.select(F.explode(cells).alias("r")).select("r.*")
+
+
+def accuracy_gain(sweep: DataFrame) -> DataFrame:
+    """V6: best threshold of an accuracy sweep, its accuracy, and the gain over the threshold 0.5."""
+    best = F.max_by(F.struct("threshold", "accuracy"), F.struct("accuracy", -F.col("threshold")))
+    half = F.max(F.when(F.col("threshold") == 0.5, F.col("accuracy")))
+    return sweep.agg(best.alias("b"), half.alias("half")).select(
+        F.col("b.threshold").alias("threshold"), F.col("b.accuracy").alias("accuracy"),
+        F.col("half").alias("accuracy_at_half"), (F.col("b.accuracy") - F.col("half")).alias("gain"))
+

@@ -5,9 +5,10 @@ an even count, as pandas does) without gathering a column in one task:
 
 1. one pass of mergeable ``percentile_approx`` sketches gives, per column, a
    narrow value band [lo, hi] that must contain the middle ranks;
-2. one query counts values below ``lo`` per column and ranks only the values
-   inside the band (a window per column over ~2·δ·n rows, not n rows); the
-   count plus the rank inside the band is the global rank.
+2. one aggregate counts, per column, the values below the band and in it. A
+   band of one value (``lo == hi``) is the median itself;
+3. the rows of the other bands are counted by value, and a prefix sum over
+   the different values of a column (not its rows) finds the middle ranks.
 If a band turns out not to contain the middle ranks (sketch error larger than
 assumed) it is widened and retried for those columns only.
 """
@@ -72,34 +73,39 @@ def fit_medians(df: DataFrame, cols, method: str = "exact", accuracy: int = ACCU
 
 
 def _band_medians(df: DataFrame, bounds) -> dict[str, float]:
+    """Medians of the columns whose middle ranks lie in their band (column -> (count, lo, hi))."""
     cols = list(bounds)
-    # tag each value: -1 below the band, 0 inside it; values above are dropped.
-    tagged = []
-    for c in cols:
+    v = {c: _as_double(c) for c in cols}
+    aggs = []
+    for i, c in enumerate(cols):
+        _, lo, hi = bounds[c]
+        aggs += [F.count(F.when(v[c] < F.lit(lo), 1)).alias(f"b{i}"),
+                 F.count(F.when((v[c] >= F.lit(lo)) & (v[c] <= F.lit(hi)), 1)).alias(f"i{i}")]
+    row = df.agg(*aggs).first()
+    mids, below, out, wide = {}, {}, {}, []
+    for i, c in enumerate(cols):
         n, lo, hi = bounds[c]
-        v = _as_double(c)
-        tag = F.when(v < F.lit(lo), F.lit(-1)).when(v <= F.lit(hi), F.lit(0))
-        tagged.append(F.struct(F.lit(c).alias("name"), v.alias("v"), tag.alias("tag")))
-    long = (df.select(F.explode(F.array(*tagged)).alias("kv"))
-            .select("kv.name", "kv.v", "kv.tag").filter(F.col("tag").isNotNull()))
-    # middle ranks (1-based, global) per column; counts below the band (one row per column,
-    # a plan-time bound, so broadcast) plus the rank inside it give the global rank
-    mids = {c: ((bounds[c][0] - 1) // 2 + 1, bounds[c][0] // 2 + 1) for c in cols}
-    ranks = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(F.lit(mids[c][0]), F.lit(mids[c][1])))])
-    below = long.filter(F.col("tag") == -1).groupBy("name").agg(F.count("*").alias("below"))
-    w = Window.partitionBy("name").orderBy("v")
-    band = (long.filter(F.col("tag") == 0)
-            .withColumn("rn", F.row_number().over(w))
-            .join(F.broadcast(below), "name", "left")
-            .withColumn("rank", F.coalesce(F.col("below"), F.lit(0)) + F.col("rn"))
-            .filter(F.array_contains(ranks[F.col("name")], F.col("rank")))
-            .groupBy("name").agg(F.avg("v").alias("m"), F.count("*").alias("k")))
-    out = {}
-    for r in band.collect():
-        lo_r, hi_r = mids[r["name"]]
-        # both middle ranks must lie inside the band; otherwise the band is widened and retried
-        if r["k"] == (1 if lo_r == hi_r else 2):
-            out[r["name"]] = r["m"]
+        mids[c], below[c] = ((n - 1) // 2 + 1, n // 2 + 1), row[f"b{i}"]
+        if below[c] < mids[c][0] and mids[c][1] <= below[c] + row[f"i{i}"]:
+            if lo == hi:  # every value of the band is the median, however many rows have it
+                out[c] = lo
+            else:
+                wide.append(c)
+    if not wide:
+        return out
+    # the others: rows of the band are counted by value first, so a value that many rows have is one row
+    tagged = F.array(*[F.when((v[c] >= F.lit(bounds[c][1])) & (v[c] <= F.lit(bounds[c][2])),
+                              F.struct(F.lit(c).alias("name"), v[c].alias("v"))) for c in wide])
+    values = (df.select(F.explode(F.filter(tagged, lambda s: s.isNotNull())).alias("s"))
+              .groupBy("s.name", "s.v").agg(F.count("*").alias("rows")))
+    known = F.create_map(*[x for c in wide for x in (F.lit(c), F.array(F.lit(below[c]), F.lit(mids[c][0]), F.lit(mids[c][1])))])
+    upto = Window.partitionBy("name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (values.withColumn("k", known[F.col("name")]).withColumn("last", F.col("k")[0] + F.sum("rows").over(upto))
+              .withColumn("first", F.col("last") - F.col("rows") + 1))
+    holds = [F.col("k")[m].between(F.col("first"), F.col("last")) for m in (1, 2)]
+    half = F.col("v") * (holds[0].cast("int") + holds[1].cast("int")) / 2
+    for r in ranked.where(holds[0] | holds[1]).groupBy("name").agg(F.sum(half).alias("m")).collect():
+        out[r["name"]] = r["m"]
     return out
 
 

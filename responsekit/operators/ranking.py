@@ -93,7 +93,7 @@ def _pick_in_bands(df, group, value, tie, bands, want):
     for idx, (g, q) in enumerate(keys):
         lo, hi = bands[(g, q)]
         v = F.col(value)
-        in_g = F.col(group) == F.lit(g)
+        in_g = F.col(group).eqNullSafe(F.lit(g))
         below = in_g & (v < F.lit(lo)) if lo is not None else F.lit(False)
         inside = in_g & ((v >= F.lit(lo)) if lo is not None else F.lit(True)) & \
             ((v <= F.lit(hi)) if hi is not None else F.lit(True))

@@ -20,6 +20,13 @@ HASH_COL = "_h"
 TWO32 = float(2 ** 32)
 
 
+def require_unique_ids(df: DataFrame, id_col: str = ID_COL) -> None:
+    """Splits, folds, SMOTE and joins need an id per row: raise on a null or repeated one."""
+    bad = df.groupBy(id_col).agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col(id_col).isNull()).limit(1).collect()
+    if bad:
+        raise ValueError(f"{id_col} {bad[0][id_col]!r} is null or occurs {bad[0]['n']} times; it must be unique")
+
+
 def with_hash(df: DataFrame, id_col: str = ID_COL, seed: int = 42) -> DataFrame:
     return df.withColumn(HASH_COL, hash_u32(id_col, seed=seed))
 
@@ -32,9 +39,7 @@ def stratified_split(df: DataFrame, label: str = TARGET_COL, fraction: float = 0
     th = rank_thresholds(h, label, HASH_COL, id_col, [fraction], counts)
     cond = F.lit(False)
     for y in counts:
-        y_lit = F.lit(y) if y is not None else None
-        in_y = (F.col(label) == y_lit) if y is not None else F.col(label).isNull()
-        cond = cond | (in_y & at_or_below(HASH_COL, id_col, th[(y, fraction)]))
+        cond = cond | (F.col(label).eqNullSafe(F.lit(y)) & at_or_below(HASH_COL, id_col, th[(y, fraction)]))
     return h.withColumn(flag, cond.cast("int")).drop(HASH_COL)
 
 
@@ -64,7 +69,7 @@ def kfold_assign(df: DataFrame, k: int = 5, label: str = TARGET_COL, seed: int =
     for q in qs:
         past = F.lit(False)
         for y in counts:
-            past = past | ((F.col(label) == F.lit(y)) & ~at_or_below(HASH_COL, id_col, th[(y, q)]))
+            past = past | (F.col(label).eqNullSafe(F.lit(y)) & ~at_or_below(HASH_COL, id_col, th[(y, q)]))
         fold = fold + past.cast("int")
     return h.withColumn(fold_col, fold.cast("int")).drop(HASH_COL)
 

@@ -20,7 +20,8 @@ class ScalerModel:
         out = {}
         for c in cols or list(self.means):
             m, s = self.means[c], self.stds[c]
-            if s is None:
+            if s is None:  # null throughout: there is no mean to differ from
+                out[c] = F.lit(0.0)
                 continue
             den = s + self.eps
             if den == 0:  # constant column: scikit-learn leaves it at 0 after centring

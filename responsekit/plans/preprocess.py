@@ -76,22 +76,17 @@ def _fit_dates_and_levels(df: DataFrame):
     """Date minimum and the three level lists in one grouped aggregate.
 
     One row per (Education, Marital_Status) pair carries the pair's earliest
-    date; map-side partial aggregation keeps a hot pair cheap. The pairs give
-    both level lists and the combined levels. Past the level cap (more pairs
-    than ``MAX_LEVELS``) each list is fitted on its own, so every column
-    raises its own cap error exactly as before.
-    """
+    date; map-side partial aggregation keeps a hot pair cheap. Each of the two
+    columns may have ``MAX_LEVELS`` levels, so there are at most ``MAX_LEVELS
+    ** 2`` pairs; more rows mean that one of the columns has too many."""
     pairs = (df.groupBy(level_value(EDU_COL).alias("e"), level_value(MARITAL_COL).alias("m"))
-             .agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d"))
-             .limit(MAX_LEVELS + 1).collect())
-    if len(pairs) <= MAX_LEVELS:
-        dates = [r["d"] for r in pairs if r["d"] is not None]
-        min_date = str(min(dates)) if dates else None
-        return (min_date, sorted({r["e"] for r in pairs}), sorted({r["m"] for r in pairs}),
-                sorted({f"{r['e']}_{r['m']}" for r in pairs}))
-    md = df.agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d")).first()["d"]
-    both = fit_levels(df.select(F.concat_ws("_", level_value(EDU_COL), level_value(MARITAL_COL)).alias("em")), "em")
-    return (str(md) if md is not None else None, fit_levels(df, EDU_COL), fit_levels(df, MARITAL_COL), both)
+             .agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d")).limit(MAX_LEVELS ** 2 + 1).collect())
+    edu, marital = sorted({r["e"] for r in pairs}), sorted({r["m"] for r in pairs})
+    for name, levels in ((EDU_COL, edu), (MARITAL_COL, marital)):
+        if len(levels) > MAX_LEVELS:
+            raise ValueError(f"{name} has more than {MAX_LEVELS} levels")
+    dates = [r["d"] for r in pairs if r["d"] is not None]
+    return str(min(dates)) if dates else None, edu, marital, sorted({f"{r['e']}_{r['m']}" for r in pairs})
 
 
 def fit_features(df: DataFrame, as_of_year: int = DEFAULT_AS_OF_YEAR, add_features: bool = True,

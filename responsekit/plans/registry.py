@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from responsekit.catalog import DATE_COL, DEFAULT_AS_OF_YEAR
 from responsekit.functions.base import add_base_features
-from responsekit.functions.dates import parse_mixed_date, tenure_season
+from responsekit.functions.dates import min_parsed_date, parse_mixed_date, tenure_season
 from responsekit.session import materialize
 from responsekit.sources.profile import customer_profile
 
@@ -59,11 +59,6 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _PROFILES[key]
 
 
-def min_parsed_date(df: DataFrame):
-    d = df.agg(F.min(parse_mixed_date(F.col(DATE_COL))).alias("d")).first()["d"]
-    return str(d) if d is not None else None
-
-
 def base_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile plus all base features, statistics fitted on the table itself."""
     prof = profile(spark, sf_dir)
@@ -298,6 +293,7 @@ def q_pca(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sampling (B*) and evaluation (V*, M6, M10, P6, P7, S7)
+from responsekit.models.ensemble import soft_vote  # noqa: E402
 from responsekit.operators import evaluate as V  # noqa: E402
 from responsekit.operators.sampling import (class_counts, class_weights, imbalance_ratio, is_imbalanced,  # noqa: E402
                                             kfold_assign, pos_weight, random_split, stratified_split,
@@ -321,12 +317,9 @@ def q_kfold_assign(spark, sf_dir):
 
 @query("imbalance_ratio")
 def q_imbalance_ratio(spark, sf_dir):
-    p = profile(spark, sf_dir)
-    c = p.groupBy("Target").agg(F.count("*").alias("n"))
-    return c.agg(F.sum(F.when(F.col("Target") == 0, F.col("n")).otherwise(0)).alias("n_0"),
-                 F.sum(F.when(F.col("Target") == 1, F.col("n")).otherwise(0)).alias("n_1"),
-                 (F.min("n") / F.max("n")).alias("ratio")).withColumn(
-        "imbalanced", (F.col("ratio") < 0.2).cast("int"))
+    counts = class_counts(profile(spark, sf_dir))
+    row = (counts.get(0, 0), counts.get(1, 0), imbalance_ratio(counts), int(is_imbalanced(counts)))
+    return rounded(spark.createDataFrame([row], "n_0 long, n_1 long, ratio double, imbalanced int"))
 
 
 @query("class_weights")
@@ -412,8 +405,8 @@ def q_soft_vote(spark, sf_dir):
     p1 = scorecard_p(F.lit(0.8) * F.col("Campaign_Response_Count") - F.lit(1.0))
     p2 = scorecard_p(F.lit(0.15) * F.col("NumWebPurchases") - F.lit(0.005) * F.col("Recency"))
     p3 = scorecard_p(F.lit(0.5) * F.col("Complain") + F.lit(0.1) * F.col("NumWebVisitsMonth") - F.lit(0.5))
-    vote = (p1 + p2 + p3) / 3
-    return rounded(b.select("ID", vote.alias("p_vote"), V.label_threshold(vote, 0.5).alias("pred")))
+    voted = soft_vote(b.select("ID", p1.alias("p1"), p2.alias("p2"), p3.alias("p3")), ["p1", "p2", "p3"], "p_vote")
+    return rounded(voted.select("ID", "p_vote", V.label_threshold(F.col("p_vote"), 0.5).alias("pred")))
 
 
 @query("class_distribution")
@@ -479,11 +472,11 @@ def q_profile_shape(spark, sf_dir):
 
 @query("profile_info")
 def q_profile_info(spark, sf_dir):
-    """Non-null count per column, unpivoted."""
+    """Type and non-null count per column, unpivoted."""
     p = profile(spark, sf_dir)
     row = p.agg(*[F.count(F.col(c)).alias(c) for c in p.columns])
-    items = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.col(c).alias("non_null"))
-                      for i, c in enumerate(p.columns)])
+    items = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(t).alias("type"),
+                               F.col(c).alias("non_null")) for i, (c, t) in enumerate(p.dtypes)])
     return row.select(F.explode(items).alias("s")).select("s.*")
 
 
@@ -522,17 +515,7 @@ def q_submission_agreement(spark, sf_dir):
         "campaign": (F.col("Campaign_Response_Count") > 0).cast("int"),
         "web": (F.col("NumWebPurchases") >= 3).cast("int"),
     }
-    tables = {k: b.select("ID", e.alias("Target")) for k, e in subs.items()}
-    names = list(subs)
-    out = None
-    for i, a in enumerate(names):
-        for bname in names[i + 1:]:
-            j = tables[a].alias("a").join(tables[bname].alias("b"), "ID", "inner")
-            r = j.agg(F.avg((F.col("a.Target") == F.col("b.Target")).cast("double")).alias("agreement"),
-                      F.count("*").alias("n")).select(F.lit(a).alias("sub_a"), F.lit(bname).alias("sub_b"),
-                                                      "agreement", "n")
-            out = r if out is None else out.unionByName(r)
-    return rounded(out)
+    return rounded(V.submission_agreement({k: b.select("ID", e.alias("Target")) for k, e in subs.items()}))
 
 
 # ---------------------------------------------------------------- correlation filter
@@ -542,8 +525,7 @@ from responsekit.operators.selection import correlated_to_drop, correlation_long
 @query("corr_long")
 def q_corr_long(spark, sf_dir):
     t, _ = filled_table(spark, sf_dir)
-    cols = advanced_inputs(t)[:15]
-    rows = correlation_long(t, cols)
+    rows = correlation_long(t, advanced_inputs(t))
     return rounded(spark.createDataFrame(rows, "col_a string, col_b string, abs_corr double"))
 
 
@@ -570,17 +552,43 @@ import os  # noqa: E402
 import uuid  # noqa: E402
 
 from responsekit.models import boosted as B  # noqa: E402
-from responsekit.models.ensemble import leaderboard, soft_vote, train_stacked  # noqa: E402
+from responsekit.models.ensemble import evaluate_stack, fit_all, leaderboard, train_stacked  # noqa: E402
 from responsekit.models.mlp import fit_inputs, train_mlp  # noqa: E402
-from responsekit.models.search import cross_validate, random_search  # noqa: E402
+from responsekit.models.search import SPACES, cross_validate, search_and_refit  # noqa: E402
 from responsekit.operators.selection import importance_table, recursive_elimination  # noqa: E402
 from responsekit.session import ensure_checkpoint_dir  # noqa: E402
 
-QUERY_MAX_ITER = 20   # boosting rounds in the registered model queries (presets keep their full budgets)
+_FITTED: dict = {}
+
+
+def once(name, spark, sf_dir, make):
+    """``make()``, kept for the session and input folder: queries over one fitted model share the fit."""
+    key = (name, spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        _FITTED[key] = make()
+    return _FITTED[key]
+
+
+def simple_model(spark, sf_dir):
+    def make():
+        tr, va, cols = train_valid(spark, sf_dir)
+        return B.train_boosted(tr, va, cols, "simple", class_weight=None, tune_threshold=False)
+    return once("simple", spark, sf_dir, make)
+
+
+def stack_model(spark, sf_dir):
+    def make():
+        tr, _, cols = train_valid(spark, sf_dir)
+        return train_stacked(tr, cols, cv=3)
+    return once("stack", spark, sf_dir, make)
 
 
 def train_valid(spark, sf_dir):
     """Preprocessed training and validation rows; statistics fitted on the training rows only."""
+    return once("rows", spark, sf_dir, lambda: _train_valid(spark, sf_dir))
+
+
+def _train_valid(spark, sf_dir):
     from responsekit.operators.sampling import split as _split
     prof = profile(spark, sf_dir)
     tr_raw, va_raw = _split(prof, "Target", 0.3, 42)
@@ -600,7 +608,7 @@ def _scored_valid(model, va):
 def q_gbt_train(spark, sf_dir):
     """M1: early-stopped, class-balanced GBT; validation rows scored with the F1-tuned threshold."""
     tr, va, cols = train_valid(spark, sf_dir)
-    res = B.train_boosted(tr, va, cols, "catboost", QUERY_MAX_ITER, class_weight="Balanced")
+    res = B.train_boosted(tr, va, cols, "catboost", class_weight="Balanced")
     s = B.probability(res.model, va, keep=("ID", "Target"))
     return rounded(s.select("ID", F.col("Target").alias("y"), "p",
                             V.label_threshold(F.col("p"), res.threshold, strict=True).alias("pred")))
@@ -609,17 +617,16 @@ def q_gbt_train(spark, sf_dir):
 @query("xgb_preset")
 def q_xgb(spark, sf_dir):
     tr, va, cols = train_valid(spark, sf_dir)
-    from responsekit.operators.sampling import pos_weight, with_pos_weight
     trw = with_pos_weight(tr, pos_weight(class_counts(tr)), out=B.WEIGHT)
-    m = B.fit_pipeline(B.gbt("xgboost", QUERY_MAX_ITER, weighted=True), trw, cols)
+    m, _ = B.fit_early_stopped(lambda n: B.gbt("xgboost", n, weighted=True), B.PRESETS["xgboost"]["maxIter"], trw,
+                               va.withColumn(B.WEIGHT, F.lit(1.0)), cols, watch="auc")
     return _scored_valid(m, va)
 
 
 @query("simple_mode")
 def q_simple(spark, sf_dir):
-    tr, va, cols = train_valid(spark, sf_dir)
-    res = B.train_boosted(tr, va, cols, "simple", QUERY_MAX_ITER, class_weight=None, tune_threshold=False)
-    return _scored_valid(res.model, va)
+    _, va, _ = train_valid(spark, sf_dir)
+    return _scored_valid(simple_model(spark, sf_dir).model, va)
 
 
 @query("forest")
@@ -633,7 +640,7 @@ def q_importance(spark, sf_dir):
     """Ranked forest importances; top 10."""
     tr, _, cols = train_valid(spark, sf_dir)
     imp = B.importances(B.train_forest(tr, cols))
-    rows = importance_table(imp, cols)
+    rows = importance_table(imp)
     return spark.createDataFrame(rows, "feature string, importance double, rank int").orderBy("rank").limit(10)
 
 
@@ -641,15 +648,15 @@ def q_importance(spark, sf_dir):
 def q_rfe(spark, sf_dir):
     """C4: recursive elimination, 10 per round, down to 30 features."""
     tr, _, cols = train_valid(spark, sf_dir)
-    kept = recursive_elimination(lambda cs: B.importances(B.train_forest(tr, cs, numTrees=30)), cols, 30, 10)
+    kept = recursive_elimination(lambda cs: B.importances(B.train_forest(tr, cs)), cols, 30, 10)
     return spark.createDataFrame([(c, i) for i, c in enumerate(kept)], "feature string, position int")
 
 
 @query("stacking")
 def q_stacking(spark, sf_dir):
     """M5: stacked ensemble; validation rows with base and meta probabilities."""
-    tr, va, cols = train_valid(spark, sf_dir)
-    m = train_stacked(tr, cols, cv=3, max_iter=10)
+    _, va, _ = train_valid(spark, sf_dir)
+    m = stack_model(spark, sf_dir)
     s = m.predict(va, keep=("ID", "Target"))
     return rounded(s.withColumn("pred", V.label_threshold(F.col("p"), 0.5)))
 
@@ -658,21 +665,16 @@ def q_stacking(spark, sf_dir):
 def q_voting(spark, sf_dir):
     """M6 over learned members: mean probability of a GBT and a forest, joined on ID."""
     tr, va, cols = train_valid(spark, sf_dir)
-    g = B.probability(B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols), va).withColumnRenamed("p", "p_gbt")
+    g = B.probability(simple_model(spark, sf_dir).model, va).withColumnRenamed("p", "p_gbt")
     f = B.probability(B.train_forest(tr, cols), va).withColumnRenamed("p", "p_forest")
     return rounded(soft_vote(g.join(f, "ID"), ["p_gbt", "p_forest"]))
 
 
 @query("leaderboard")
 def q_leaderboard(spark, sf_dir):
-    """M8: validation metrics per model; the best by accuracy is flagged."""
-    tr, va, cols = train_valid(spark, sf_dir)
-    res = {
-        "gbt": B.validation_metrics(B.probability(B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols), va,
-                                                  keep=("ID", "Target"))),
-        "forest": B.validation_metrics(B.probability(B.train_forest(tr, cols), va, keep=("ID", "Target"))),
-    }
-    lb = leaderboard(spark, res)
+    """M8: validation metrics of the stack and its bases; the best by accuracy is flagged."""
+    _, va, _ = train_valid(spark, sf_dir)
+    lb = leaderboard(spark, evaluate_stack(stack_model(spark, sf_dir), va))
     best = lb.agg(F.max_by("model", "accuracy").alias("best")).first()["best"]
     return rounded(lb.withColumn("is_best", (F.col("model") == best).cast("int")))
 
@@ -684,7 +686,7 @@ def q_mlp(spark, sf_dir):
     prof = profile(spark, sf_dir)
     tr_raw, va_raw = _split(prof, "Target", 0.2, 42)
     inputs = fit_inputs(tr_raw)
-    m = train_mlp(tr_raw, inputs, max_iter=50)
+    m = train_mlp(tr_raw, inputs)
     out = m.transform(inputs.transform(va_raw))
     from pyspark.ml.functions import vector_to_array
     return rounded(out.select("ID", F.col("Target").alias("y"), vector_to_array("probability")[1].alias("p"),
@@ -695,7 +697,9 @@ def q_mlp(spark, sf_dir):
 def q_search(spark, sf_dir):
     """Seeded random search; trials table."""
     tr, va, cols = train_valid(spark, sf_dir)
-    trials, _ = random_search(tr, va, cols, n_trials=3, max_iter_cap=QUERY_MAX_ITER)
+    root = os.path.join(ensure_checkpoint_dir(spark), f"search-{uuid.uuid4().hex}")
+    space = {**SPACES["catboost"], "stepSize": ("log", 0.05, 0.5)}  # slower rates take thousands of rounds to stop
+    trials, _, _ = search_and_refit(tr, va, cols, root, n_trials=3, space=space)
     return rounded(trials)
 
 
@@ -703,21 +707,22 @@ def q_search(spark, sf_dir):
 def q_cv(spark, sf_dir):
     """5-fold stratified cross-validation, per-fold metrics."""
     tr, _, cols = train_valid(spark, sf_dir)
-    return rounded(cross_validate(tr, cols, k=5, max_iter=10))
+    return rounded(cross_validate(tr, cols, k=5))
 
 
 @query("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    """V8: log loss by iteration on training and validation rows."""
+    """V8: log loss by iteration on training and validation rows; the best iteration is flagged."""
     tr, va, cols = train_valid(spark, sf_dir)
-    m = B.fit_pipeline(B.gbt("simple", QUERY_MAX_ITER), tr, cols)
+    m = B.fit_pipeline(B.gbt("simple", 2 * B.PATIENCE), tr, cols)
     gbt_model = m.stages[-1]
     a_tr = m.stages[0].transform(B.with_label(tr))
     a_va = m.stages[0].transform(B.with_label(va))
     lt = gbt_model.evaluateEachIteration(a_tr)
     lv = gbt_model.evaluateEachIteration(a_va)
-    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(zip(lt, lv))]
-    return rounded(spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double"))
+    best = B.best_round(lv, "log_loss")
+    rows = [(i, float(a), float(b), int(i == best)) for i, (a, b) in enumerate(zip(lt, lv))]
+    return rounded(spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double, is_best int"))
 
 
 @query("training_log")
@@ -728,10 +733,10 @@ def q_training_log(spark, sf_dir):
     from responsekit.operators.sampling import kfold_assign
     folded = materialize(kfold_assign(tr, k=3))
     root = os.path.join(ensure_checkpoint_dir(spark), f"logs-{uuid.uuid4().hex}")
-    for f in range(3):
-        m = B.fit_pipeline(B.gbt("simple", 10), folded.filter(F.col("fold") != f), cols)
-        va = m.stages[0].transform(B.with_label(folded.filter(F.col("fold") == f)))
-        curve = m.stages[-1].evaluateEachIteration(va)
+    fits = fit_all({f: (lambda f=f: B.train_boosted(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f), cols,
+                                                    "simple", class_weight=None, tune_threshold=False)) for f in range(3)})
+    for f, res in fits.items():
+        curve = res.curve
         df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(curve)], "iter int, Logloss double")
         write_training_log(df, os.path.join(root, f"fold-{f}"))
     return rounded(read_training_logs(spark, os.path.join(root, "fold-*", "*.csv")))
@@ -743,20 +748,21 @@ def q_batch_score(spark, sf_dir):
     from responsekit.plans.predict import score
     from responsekit.plans.train import run_training
     from responsekit.sources.files import read_submission, write_submission
-    prof = profile(spark, sf_dir)
-    root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
-    run_training(prof, mode="simple", max_iter=QUERY_MAX_ITER, model_path=root, n_init=2)
-    scored_rows = score(spark, root, prof.drop("Target"))
-    write_submission(scored_rows, os.path.join(root, "submission"))
-    return read_submission(spark, os.path.join(root, "submission"))
+    def make():
+        prof = profile(spark, sf_dir)
+        root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
+        run_training(prof, mode="simple", model_path=root)
+        write_submission(score(spark, root, prof.drop("Target")), os.path.join(root, "submission"))
+        return os.path.join(root, "submission")
+    return read_submission(spark, once("submission", spark, sf_dir, make))
 
 
 @query("save_load")
 def q_save_load(spark, sf_dir):
     """Probabilities before saving and after loading must be equal."""
     from responsekit.sources.model_store import load_model, save_model
-    tr, va, cols = train_valid(spark, sf_dir)
-    m = B.fit_pipeline(B.gbt("simple", 10), tr, cols)
+    _, va, cols = train_valid(spark, sf_dir)
+    m = simple_model(spark, sf_dir).model
     root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
     save_model(spark, root, m, 0.5, cols, "{}")
     m2, meta = load_model(spark, root)
@@ -773,3 +779,89 @@ def q_kmeans_restarts(spark, sf_dir):
     cm = fit_kmeans(t, cols, k=2, n_init=10)
     rows = [(i, c, float(v), cm.cost) for i, ctr in enumerate(cm.centres) for c, v in zip(cols, ctr)]
     return rounded(spark.createDataFrame(rows, "centre int, feature string, value double, training_cost double"))
+
+
+# ---------------------------------------------------------------- results of learned operators that SQL can state
+@query("save_load_check")
+def q_save_load_check(spark, sf_dir):
+    """Validation rows, and those scored alike before saving and after loading."""
+    return q_save_load(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.sum("equal").alias("n_equal"))
+
+
+@query("batch_score_check")
+def q_batch_score_check(spark, sf_dir):
+    """Customers, those scored once, and those with a 0/1 label after the CSV round trip."""
+    s = q_batch_score(spark, sf_dir).groupBy("ID").agg(F.count("*").alias("n"), F.max("Target").alias("t"))
+    once = F.count(F.when(F.col("n") == 1, 1))
+    return s.agg(F.count("*").alias("n_ids"), once.alias("n_once"), F.count(F.when(F.col("t").isin(0, 1), 1)).alias("n_labelled"))
+
+
+@query("kmeans_check")
+def q_kmeans_check(spark, sf_dir):
+    """A2: rows, and those whose label is that of the nearest centre."""
+    k = q_kmeans(spark, sf_dir)
+    near = F.when(F.col("Cluster_2_Dist_1") < F.col("Cluster_2_Dist_0"), 1).otherwise(0)
+    return k.agg(F.count("*").alias("n_rows"), F.count(F.when(F.col("Cluster_2") == near, 1)).alias("n_nearest"))
+
+
+@query("pca_check")
+def q_pca_check(spark, sf_dir):
+    """A4: the components of the fitted rows have mean 0 and no correlation (rounded to 6 decimals)."""
+    p = q_pca(spark, sf_dir)
+    cells = [F.round(F.abs(F.avg(f"PCA_{i}")), 6).alias(f"mean_{i}") for i in (1, 2, 3)]
+    cells += [F.round(F.abs(F.corr(f"PCA_{i}", f"PCA_{j}")), 6).alias(f"corr_{i}{j}") for i, j in ((1, 2), (1, 3), (2, 3))]
+    return p.agg(F.count("*").alias("n_rows"), *cells)
+
+
+@query("resampled_folds")
+def q_resampled_folds(spark, sf_dir):
+    """B6 and B4 as the stacked training runs them: all training columns, SMOTE to equal classes, then folds over
+    real and synthetic rows; rows by (fold, Target, synthetic id) sizes."""
+    from responsekit.operators.smote import oversample
+    tr, _, cols = train_valid(spark, sf_dir)
+    rows = materialize(oversample(tr, cols))
+    folded = kfold_assign(rows, k=3)
+    return folded.groupBy("fold", "Target").agg(F.count("*").alias("n"), F.count_distinct("ID").alias("n_ids"))
+
+
+@query("accuracy_gain")
+def q_accuracy_gain(spark, sf_dir):
+    """V6: best threshold of the accuracy sweep and its gain over 0.5."""
+    return rounded(V.accuracy_gain(V.accuracy_sweep(scored(spark, sf_dir))))
+
+
+@query("mlp_scaling")
+def q_mlp_scaling(spark, sf_dir):
+    """The MLP's inputs, median-filled and scaled by (x - mean) / (std + 1e-6)."""
+    prof = profile(spark, sf_dir)
+    return rounded(fit_inputs(prof).transform(prof).drop("cat", "Target"))
+
+
+@query("customers_csv")
+def q_customers_csv(spark, sf_dir):
+    """The customer table written as CSV with a header and read with the declared schema."""
+    from responsekit.sources.files import read_customers_csv
+    path = os.path.join(ensure_checkpoint_dir(spark), f"customers-{uuid.uuid4().hex}")
+    profile(spark, sf_dir).write.option("header", True).csv(path)
+    return rounded(read_customers_csv(spark, path))
+
+
+@query("feature_summary")
+def q_feature_summary(spark, sf_dir):
+    """Columns after each step of the feature build."""
+    from responsekit.operators.selection import constant_columns
+    tr, _, cols = train_valid(spark, sf_dir)
+    dropped = set(correlated_to_drop(tr, cols))
+    kept = [c for c in cols if c not in dropped]
+    steps = [("input", len(profile(spark, sf_dir).columns) - 2), ("features", len(cols)),
+             ("constant", len(constant_columns(tr, cols))), ("uncorrelated", len(kept))]
+    return spark.createDataFrame([(k, n, c) for k, (n, c) in enumerate(steps)], "position int, step string, n_columns int")
+
+
+@query("align_report")
+def q_align_report(spark, sf_dir):
+    """What alignment to the training columns does with each column of a scoring table."""
+    from responsekit.operators.align import align_report
+    p = profile(spark, sf_dir)
+    wanted = [c for c in p.columns if c not in ("ID", "Income", "Target")] + ["Not_There"]
+    return spark.createDataFrame(align_report(p, wanted, keep=("ID",)), "column string, action string")

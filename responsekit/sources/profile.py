@@ -10,8 +10,8 @@ Plan shape (what to expect from ``explain``):
   -> one agg by custkey           (map-side partial agg absorbs a hot customer)
   customer ⋈ nation ⋈ region      -> tiny fixed dimensions, broadcast by size stats
   ⋈ per-customer order agg, ⟕ per-user event agg (both unique on the key)
-The cutoff is a single scalar, collected once and pushed into the scans as a
-literal so Parquet row groups outside the window can be skipped.
+The cutoff is a single scalar, collected once; it enters the conditional sums
+as a literal (orders on both sides of it are needed, so no row group is skipped).
 """
 
 from __future__ import annotations

@@ -7,7 +7,6 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from responsekit.functions.base import age_group, log1p, row_sum
 from responsekit.functions.dates import calendar_parts, parse_mixed_date
 from responsekit.operators.align import align_columns, align_report, numeric_columns, require_columns
 from responsekit.operators.encode import fit_levels, onehot_capped, onehot_wide
@@ -32,18 +31,25 @@ def test_calendar_parts_monday_zero(spark):
     assert r[2]["Dt_Year"] is None and r[2]["Dt_Is_Weekend"] == 0
 
 
+def _base(spark, **columns):
+    """``add_base_features`` over customers that are null but for ``columns`` (lists of equal length)."""
+    from responsekit.catalog import CUSTOMER_SCHEMA
+    from responsekit.functions.base import add_base_features
+    n = len(next(iter(columns.values())))
+    rows = [tuple(columns[f.name][k] if f.name in columns else None for f in CUSTOMER_SCHEMA) for k in range(n)]
+    return add_base_features(spark.createDataFrame(rows, CUSTOMER_SCHEMA), None, 2025)
+
+
 def test_age_groups_right_closed(spark):
     ages = [0, 30, 31, 40, 60, 61, 100, 101, None]
-    df = spark.createDataFrame([(a,) for a in ages], "a long")
-    got = [r[0] for r in df.select(age_group(F.col("a"))).collect()]
+    got = [r[0] for r in _base(spark, Year_Birth=[None if a is None else 2025 - a for a in ages]).select("Age_Group").collect()]
     assert got == ["<30", "<30", "30-40", "30-40", "50-60", "60+", "60+", "<30", "<30"]
 
 
 def test_null_row_sum_and_log(spark):
-    df = spark.createDataFrame([(None, None), (-2.0, 0.0)], "a double, b double")
-    r = df.select(row_sum(["a", "b"]).alias("s"), log1p(F.col("a")).alias("la"), log1p(F.col("b")).alias("lb")).collect()
-    assert r[0]["s"] == 0 and r[0]["la"] is None
-    assert r[1]["la"] is None and r[1]["lb"] == 0.0
+    r = _base(spark, MntWines=[None, -2.0, 0.0]).select("Total_Spent", "MntWines_Log").collect()
+    assert r[0]["Total_Spent"] == 0 and r[0]["MntWines_Log"] is None
+    assert r[1]["MntWines_Log"] is None and r[2]["MntWines_Log"] == 0.0
 
 
 def test_onehot_and_levels(spark):

@@ -11,7 +11,8 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver tes
 
 ORACLE_SAMPLE = ["customer_profile", "date_features", "income_features", "median_fill", "onehot_wide",
                  "purchase_stats", "stratified_split", "kfold_assign", "auc_exact", "f1_sweep", "smote_rows",
-                 "corr_drop", "profile_nunique"]
+                 "corr_drop", "profile_nunique", "corr_long", "profile_info", "submission_agreement", "imbalance_ratio", "soft_vote",
+                 "smote_neighbours", "customers_csv", "accuracy_gain", "resampled_folds", "kmeans_check", "pca_check"]
 
 
 def test_entry_schema_stable(spark):
@@ -79,9 +80,36 @@ def test_planted_signal_auc(spark):
     planted = t.withColumn("Target", F.when(flip, (z <= 0).cast("long")).otherwise((z > 0).cast("long")))
     tr, va = split(planted, "Target", 0.3, 42)
     cols = [c for c in t.columns if c not in ("ID", "Target")]
-    m = B.fit_pipeline(B.gbt("simple", 20), tr, cols)
-    s = B.probability(m, va, keep=("ID", "Target")).select(F.col("Target").alias("y"), "p")
-    assert V.auc_exact(s).first()["auc"] > 0.7
+    res = B.train_boosted(tr, va, cols, "simple", class_weight=None, tune_threshold=False)
+    assert res.metrics["trees"] > 1 and res.metrics["auc"] > 0.7
+    assert len(res.curve) - res.metrics["trees"] >= B.PATIENCE
+    one = B.probability(B.fit_pipeline(B.gbt("simple", 1), tr, cols), va, keep=("ID", "Target"))
+    assert res.metrics["log_loss"] < V.log_loss(one.select(F.col("Target").alias("y"), "p")).first()["log_loss"]
+
+
+def test_stacked_training_end_to_end(spark, tmp_path):
+    """SMOTE fires at sf0.01; the stack is saved, loaded and scores every customer."""
+    from responsekit.plans.predict import score
+    from responsekit.plans.registry import profile
+    from responsekit.plans.train import run_training
+    prof = profile(spark, SF_SMALL.replace("sf0.001", "sf0.01"))
+    model, rep = run_training(prof, mode="stacked", max_iter=5, model_path=str(tmp_path / "m"), n_init=2)
+    folds = model.out_of_fold.groupBy("Target").agg(F.count("*").alias("n"), F.count_distinct("ID").alias("ids")).collect()
+    assert len({r["n"] for r in folds}) == 1 and all(r["n"] == r["ids"] for r in folds)
+    assert set(rep.metrics) == {"stacked", "gbt_a", "gbt_b", "forest"}
+    s = score(spark, str(tmp_path / "m"), prof.drop("Target"))
+    assert s.count() == prof.count() == s.select("ID").distinct().count()
+
+
+def test_sinks_round_trip(spark, tmp_path):
+    from responsekit.plans.registry import QUERIES
+    from responsekit.sources.files import read_best_params, write_best_params, write_prediction_dump
+    dump = QUERIES["validation_dump"](spark, SF_SMALL)
+    write_prediction_dump(dump, str(tmp_path / "dump"))
+    back = spark.read.schema("true_values int, predicted_probabilities double, predictions int").option("header", True).csv(str(tmp_path / "dump"))
+    assert sorted(back.collect()) == sorted(dump.select(*back.columns).collect())
+    write_best_params(spark, {"maxDepth": 3, "stepSize": 0.1}, str(tmp_path / "best"))
+    assert read_best_params(spark, str(tmp_path / "best")) == {"maxDepth": 3, "stepSize": 0.1}
 
 
 def test_streaming_scoring_matches_batch(spark, tmp_path):

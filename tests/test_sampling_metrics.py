@@ -139,3 +139,89 @@ def test_smote_balances_and_interpolates(spark):
         lam = float(np.dot(s - x0, seg) / np.dot(seg, seg)) if np.dot(seg, seg) else 0.0
         assert -1e-9 <= lam <= 1 + 1e-9 and np.allclose(x0 + lam * seg, s)
         assert y[r["source_id"]] == 1 and y[r["nb_id"]] == 1
+
+
+def test_cap_takes_the_most_important():
+    from responsekit.operators.selection import cap_top, select_features, select_top
+    imp = dict(zip("abcdefgh", [0, 0, 0, 0, .1, .1, .3, .5]))
+    top = select_top(imp, 0.5, 0)
+    assert top == ["e", "f", "g", "h"] and cap_top({c: imp[c] for c in top}, 2) == ["g", "h"]
+    assert select_features(lambda cols: {c: imp[c] for c in cols}, list("abcdefgh"), "rfe", 0.25, 0) == ["g", "h"]
+    with pytest.raises(ValueError):
+        select_features(lambda cols: imp, list("abcdefgh"), "rfecv")
+
+
+def test_auc_and_sweeps_without_a_class(spark):
+    one = spark.createDataFrame([(1, 0.2), (1, 0.7)], "y int, p double")
+    r = V.auc_exact(one).first()
+    assert r["auc"] is None and (r["n_pos"], r["n_neg"]) == (2, 0)
+    none = one.limit(0)
+    assert V.auc_exact(none).first()["auc"] is None
+    assert {r["accuracy"] for r in V.accuracy_sweep(none).collect()} == {0.0}
+    gain = V.accuracy_gain(V.accuracy_sweep(one)).first()
+    assert (gain["threshold"], gain["accuracy"], gain["accuracy_at_half"], gain["gain"]) == (0.1, 1.0, 0.5, 0.5)
+
+
+def test_null_labels_split_and_fold(spark):
+    from responsekit.operators.sampling import kfold_assign, require_unique_ids, stratified_split
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else i % 2) for i in range(90)], "ID long, Target long")
+    got = {r["Target"]: r["n"] for r in stratified_split(df, fraction=0.3).where("is_valid = 1").groupBy("Target").agg(F.count("*").alias("n")).collect()}
+    assert got == {None: 9, 0: 9, 1: 9}
+    folds = kfold_assign(df, k=3).groupBy("Target", "fold").agg(F.count("*").alias("n")).collect()
+    assert {r["n"] for r in folds} == {10} and len(folds) == 9
+    require_unique_ids(df)
+    for bad in (df.union(df.limit(1)), spark.createDataFrame([(None, 1)], "ID long, Target long")):
+        with pytest.raises(ValueError):
+            require_unique_ids(bad)
+
+
+@pytest.mark.parametrize("n_min", [1, 2, 3, 5, 6, 7])
+def test_smote_small_minority_gets_all_rows(spark, n_min):
+    from responsekit.operators.sampling import kfold_assign
+    from responsekit.operators.smote import oversample
+    df = spark.createDataFrame([(10 * i, float(i), float(i * i % 7), int(i < n_min)) for i in range(40)], "ID long, a double, b double, Target long")
+    rows = oversample(df, ["a", "b"]).collect()
+    assert sum(r["Target"] for r in rows) == 40 - n_min and len({r["ID"] for r in rows}) == len(rows) == 2 * (40 - n_min)
+    assert {r["ID"] for r in rows if r["ID"] <= 390} == {10 * i for i in range(40)}
+    again = oversample(df.repartition(5), ["a", "b"])
+    assert sorted(again.collect()) == sorted(rows)
+    assert kfold_assign(again, k=4).where("fold is null").count() == 0
+
+
+def test_median_of_hot_values(spark):
+    from responsekit.operators.fill import fit_medians
+    rng = np.random.default_rng(2)
+    cols = {"flag": rng.integers(0, 2, 4001).astype(float), "hot": np.where(rng.random(4001) < 0.95, 7.0, rng.random(4001) * 20),
+            "free": rng.random(4001), "even": np.r_[np.zeros(2000), np.ones(2000), np.nan], "none": np.full(4001, np.nan)}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*cols.values())], ", ".join(f"{c} double" for c in cols))
+    got = fit_medians(df, list(cols))
+    assert got.pop("none") is None
+    assert got == {c: pytest.approx(float(np.nanmedian(cols[c]))) for c in got}
+
+
+def test_correlation_is_pairwise(spark):
+    from responsekit.operators.selection import correlation_long
+    rng = np.random.default_rng(4)
+    a, b = rng.random(30), rng.random(30)
+    c = np.where(np.arange(30) < 27, None, rng.random(30))
+    df = spark.createDataFrame([(float(x), float(y), None if z is None else float(z)) for x, y, z in zip(a, b, c)], "a double, b double, c double")
+    got = {(x, y): r for x, y, r in correlation_long(df, ["a", "b", "c"])}
+    assert got["a", "b"] == pytest.approx(abs(np.corrcoef(a, b)[0, 1]))
+    m = np.arange(30) >= 27
+    assert got["a", "c"] == pytest.approx(abs(np.corrcoef(a[m], c[m].astype(float))[0, 1]))
+
+
+def test_kmeans_and_pca_keep_rows_with_nulls(spark):
+    from responsekit.operators.advanced import fit_kmeans, fit_pca
+    rng = np.random.default_rng(6)
+    rows = [(float(x), float(y), None, None if x < 0.5 else float(x + y)) for x, y in rng.random((60, 2))]
+    df = spark.createDataFrame(rows, "a double, b double, c double, e double")
+    assert len(fit_kmeans(df, ["a", "b", "c", "e"], 2, n_init=2).centres) == 2
+    assert fit_pca(df, ["a", "b", "c", "e"], 2).variance_ratio
+
+
+def test_submission_agreement(spark):
+    a = spark.createDataFrame([(1, 0), (2, 1), (3, 1)], "ID long, Target int")
+    b = spark.createDataFrame([(3, 1), (1, 1), (9, 0)], "ID long, Target int")
+    r = V.submission_agreement({"a": a, "b": b}).collect()
+    assert [(x["sub_a"], x["sub_b"], x["agreement"], x["n"]) for x in r] == [("a", "b", 0.5, 2)]
