@@ -5,7 +5,9 @@ and templates are normalised alike (lower case, runs of anything but letters and
 digits become one blank) and compared as sets of word bigrams. A Dice coefficient
 of ``t`` needs set sizes within the factor ``(2 - t) / t`` of each other: units
 out of every template's bounds are dropped before their bigrams are listed, and a
-unit meets only templates within bounds. Bigrams are looked up in the templates'
+unit meets only templates within bounds. A unit that reaches the threshold has
+most of some template's bigrams, so it has a word of a small set that follows
+from the templates (``gate_words``); other units are dropped first. Bigrams are looked up in the templates'
 (broadcast; their number is fixed by ``TEMPLATES`` or checked), so only units that
 share a bigram with a template are grouped.
 
@@ -17,6 +19,9 @@ results; an empty table gives no rows; only the id and text columns are read.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,6 +79,25 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.unionByName(blocks.where(F.trim("part").contains("\n")))
 
 
+def gate_words(sets: dict[str, set[str]], threshold: float) -> list[str]:
+    """Words of which every unit that reaches the threshold with some template contains one.
+
+    Of a template's m bigrams such a unit has at least ``threshold * m / (2 - threshold)``, so of any
+    ``m - that + 1`` it has one; those with the longest (rarest) words are taken, and of each the longer word."""
+    words = set()
+    for grams in sets.values():
+        m = len(grams)
+        enough = m - math.ceil(threshold * m / (2 - threshold) - 1e-9) + 1
+        longest = sorted((max(g.split(" "), key=lambda w: (len(w), w)) for g in grams), key=lambda w: (-len(w), w))
+        words.update(longest[:enough])
+    return sorted(w for w in words if not any(o != w and o in w for o in words))
+
+
+def has_word(text: Column, words: list[str]) -> Column:
+    low = F.lower(text)
+    return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
+
+
 def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, unit, number, license, dice): the best template of every unit that reaches the threshold.
     ``templates``: name, text."""
@@ -84,11 +108,20 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id
     if low is None:
         low, high = 1, 0
     keys = ["doc_id", "k1", "k2", "unit", "number"]
-    cut = units(docs, id_col, text_col).select(*keys, normal_words(F.col("part")).alias("words"))
+    small = templates.count() <= MAX_BROADCAST_TEMPLATES
+    parts = None
+    if small:
+        sets: dict[str, set[str]] = {}
+        for r in known.collect():
+            sets.setdefault(r["name"], set()).add(r["g"])
+        words = gate_words(sets, threshold)
+        if words:  # documents and units without any of these words reach the threshold with no template
+            parts = units(docs.where(has_word(F.col(text_col), words)), id_col, text_col).where(has_word(F.col("part"), words))
+    cut = (units(docs, id_col, text_col) if parts is None else parts).select(*keys, normal_words(F.col("part")).alias("words"))
     # a unit has more words than different bigrams: too short ones go before their bigrams are listed
     cut = cut.where((F.size("words") >= low / widest) & (F.element_at("words", 1) != ""))
     have = bigrams(cut, keys).where(F.col("n").between(low / widest, high * widest))
-    hint = F.broadcast if templates.count() <= MAX_BROADCAST_TEMPLATES else (lambda df: df)
+    hint = F.broadcast if small else (lambda df: df)
     within = (F.col("n") <= widest * F.col("n_template")) & (F.col("n_template") <= widest * F.col("n"))
     hits = have.join(hint(known), "g").where(within).select(*keys, "n", "name", "n_template", "g").distinct()
     dice = 2 * F.col("common") / (F.col("n") + F.col("n_template"))
