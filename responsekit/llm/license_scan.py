@@ -11,6 +11,13 @@ from the templates (``gate_words``); other units are dropped first. Bigrams are
 (broadcast; their number is fixed by ``TEMPLATES`` or checked), so only units that
 share a bigram with a template are grouped.
 
+``scan_passages`` finds what lines and paragraphs miss, with the same coefficient: the whole text
+where it has a blank line, and runs of words. A run has as many words as a template, begins at a
+bigram of it and ends with the text at the latest; line breaks, comment signs and blank lines
+don't count. Of runs that overlap, one is reported if no better one overlaps it (higher coefficient,
+then more common bigrams, earlier, name). A run counts for the template it was sized by only. All is
+found within a row; rows without enough bigrams of some template are dropped first.
+
 Only DataFrame functions are used. Defined cases: null and empty texts have no
 units; a unit or template of one word has that word as its only "bigram"; equal
 coefficients go to the template first by name; repeated rows give one set of
@@ -26,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from responsekit.llm.common import read, row_key
+from responsekit.session import materialize
 
 THRESHOLD = 0.8
 #: Public licence statements and notices (name, text).
@@ -56,6 +64,8 @@ TEMPLATES = [
 ]
 #: Bigrams of this many templates are broadcast (at 10,000 bigrams each, 100 bytes: 1 GB at the very most; licences have few hundred).
 MAX_BROADCAST_TEMPLATES = 1000
+#: So many different bigrams at most are written into the plan to drop rows early (a saving only).
+MAX_LISTED_BIGRAMS = 10_000
 
 
 def normal_words(text: Column) -> Column:
@@ -79,6 +89,13 @@ def units(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.unionByName(blocks.where(F.trim("part").contains("\n")))
 
 
+def whole_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, k1, k2, unit, number, words): texts with a blank line; others are a line or a paragraph."""
+    rows = docs.where(F.col(text_col).rlike(r"\n[\x20\x09-\x0D]*\n"))
+    return rows.select(F.col(id_col).alias("doc_id"), *row_key(docs, id_col, text_col), F.lit("text").alias("unit"), F.lit(0).alias("number"),
+                       F.col(text_col).alias("part"))
+
+
 def gate_words(sets: dict[str, set[str]], threshold: float) -> list[str]:
     """Words of which every unit that reaches the threshold with some template contains one.
 
@@ -98,7 +115,8 @@ def has_word(text: Column, words: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(low, F.lit(w)) for w in words])
 
 
-def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+         units=units) -> DataFrame:
     """(doc_id, unit, number, license, dice): the best template of every unit that reaches the threshold.
     ``templates``: name, text."""
     known = bigrams(templates.select("name", normal_words(F.col("text")).alias("words")), ["name"])
@@ -130,6 +148,64 @@ def scan(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id
     return best.select("doc_id", "unit", "number", F.col("best.name").alias("license"), (-F.col("best")[best.schema["best"].dataType.names[0]]).alias("dice"))
 
 
+def runs(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, unit, number, license, dice): runs of words that reach the threshold; ``number`` is the first word's, from 0."""
+    named = templates.select("name", normal_words(F.col("text")).alias("words")).where(F.element_at("words", 1) != "")
+    known = bigrams(named, ["name"]).groupBy("name").agg(F.collect_list("g").alias("known"))
+    known = materialize(known.join(named.select("name", F.size("words").alias("width")), "name"))
+    widest = known.agg(F.max("width")).first()[0] or 0
+    small = known.count() <= MAX_BROADCAST_TEMPLATES
+    narrow = known.where("width = 1").count() > 0
+    rows = docs
+    sets = {r["name"]: set(r["known"]) for r in known.collect()} if small else {}
+    gate = gate_words(sets, threshold) if sets else []
+    if gate:
+        rows = rows.where(has_word(F.col(text_col), gate))
+    rows = rows.select(F.col(id_col).alias("doc_id"), *row_key(docs, id_col, text_col), normal_words(F.col(text_col)).alias("words"))
+    n = F.greatest(F.size("words") - 1, F.lit(1))
+    pairs = F.zip_with(F.slice("words", F.lit(1), n), F.slice("words", F.lit(2), n), lambda x, y: F.concat_ws(" ", x, y))
+    rows = rows.where(F.element_at("words", 1) != "").withColumn("pairs", pairs)
+    found = F.concat("pairs", "words") if narrow else F.col("pairs")
+    grams = sorted(set().union(*sets.values()))
+    if 0 < len(grams) <= MAX_LISTED_BIGRAMS:
+        found = F.array_intersect(found, F.lit(grams))
+    rows = rows.withColumn("found", found)
+    # a run that reaches the threshold has this many of the template's bigrams, so has the text
+    enough = F.ceil(threshold * F.size("known") / (2 - threshold) - 1e-9).cast("int")
+    hint = F.broadcast if small else (lambda df: df)
+    met = rows.where(F.size("found") > 0).crossJoin(hint(known.withColumn("enough", F.greatest(enough, F.lit(1)))))
+    met = met.where(F.size(F.array_intersect("found", "known")) >= F.col("enough")).drop("found")
+    grams = F.when(F.col("width") == 1, F.col("words")).otherwise(F.col("pairs"))
+    met = met.select("doc_id", "k1", "k2", "name", "known", "width", "enough", F.size("words").alias("size"), grams.alias("grams"))
+    at = F.filter(F.transform("grams", lambda g, k: F.when(F.array_contains("known", g), k + 1)), lambda k: k.isNotNull())
+    # begins at a bigram of the template and has enough of them within the width
+    last = F.greatest(F.col("width") - 2, F.lit(0))
+    starts = F.filter("at", lambda p, k: F.get("at", k + F.col("enough") - 1) - p <= last)
+    met = met.withColumn("at", at).withColumn("start", F.explode(starts)).drop("at")
+    met = met.withColumn("mine", F.array_distinct(F.slice("grams", F.col("start"), F.greatest(F.col("width") - 1, F.lit(1)))))
+    common = F.size(F.array_intersect("mine", "known"))
+    met = met.select("doc_id", "k1", "k2", "name", "start", F.least(F.col("start") + F.col("width"), F.col("size") + 1).alias("end"), common.alias("common"),
+                     (2 * common / (F.size("mine") + F.size("known"))).alias("dice"))
+    met = met.where(F.col("dice") >= threshold).distinct()
+    rank = F.struct((-F.col("dice")).alias("a"), (-F.col("common")).alias("b"), F.col("start").alias("c"), F.col("name").alias("d"))
+    near = Window.partitionBy("k1", "k2").orderBy("start").rangeBetween(-widest, widest)
+    met = met.withColumn("rank", rank).withColumn("others", F.collect_list(F.struct("start", "end", "rank")).over(near))
+    better = F.exists("others", lambda o: (o["start"] < F.col("end")) & (F.col("start") < o["end"]) & (o["rank"] < F.col("rank")))
+    return met.where(~better).select("doc_id", F.lit("run").alias("unit"), (F.col("start") - 1).alias("number"), F.col("name").alias("license"), "dice")
+
+
+def scan_passages(docs: DataFrame, templates: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """(doc_id, unit, number, license, dice) of whole texts and runs of words, for what ``scan`` can't see in lines and paragraphs."""
+    whole = scan(docs, templates, threshold, id_col, text_col, whole_texts)
+    return whole.unionByName(runs(docs, templates, threshold, id_col, text_col))
+
+
+def op2_license_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    templates = spark.createDataFrame(TEMPLATES, "name string, text string")
+    return scan_passages(read(spark, sf_dir, "documents"), templates)
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     templates = spark.createDataFrame(TEMPLATES, "name string, text string")
     return scan(read(spark, sf_dir, "documents"), templates)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from responsekit.llm.decontaminate import SQL as LEAK_SQL
 from responsekit.llm.decontaminate import op10_decontaminate
 from responsekit.llm.license_scan import SQL as LICENSE_SQL
-from responsekit.llm.license_scan import op2_license_scan
+from responsekit.llm.license_scan import op2_license_passages, op2_license_scan
 from responsekit.llm.ngram_jaccard import SQL as JACCARD_SQL
 from responsekit.llm.ngram_jaccard import op5_ngram_jaccard
 from responsekit.llm.quality_qda import op9_quality_qda
@@ -26,6 +26,7 @@ from responsekit.llm.warc import op8_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
+    "op2_license_passages": op2_license_passages,
     "op3_quality_rules": op3_quality_rules,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,

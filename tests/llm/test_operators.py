@@ -107,6 +107,49 @@ def test_license_scan(spark, no_docs):
     assert license_scan.scan(df, templates.limit(0)).count() == 0
 
 
+def brute_runs(text, templates, threshold=0.8):
+    """Every run of a template's width from every word on that begins at one of its bigrams; those no better one overlaps."""
+    w = re.sub(r"[\W_]+", " ", (text or "").lower()).split()
+    found = []
+    for name, t in templates:
+        v = re.sub(r"[\W_]+", " ", t.lower()).split()
+        known = {" ".join(v[k:k + 2]) for k in range(max(1, len(v) - 1))}
+        for s in range(len(w)):
+            run = w[s:s + len(v)]
+            grams = [" ".join(run[k:k + 2]) for k in range(max(1, len(run) - 1))]
+            if grams[0] in known:
+                common = len(set(grams) & known)
+                found.append((-2 * common / (len(set(grams)) + len(known)), -common, s, name, s + len(run)))
+    found = [f for f in found if -f[0] >= threshold]
+    return [("run", f[2], f[3], round(-f[0], 9)) for f in found
+            if not any(o[:4] < f[:4] and o[2] < f[4] and f[2] < o[4] for o in found)]
+
+
+def test_license_passages(spark, no_docs):
+    known = dict(license_scan.TEMPLATES)
+    mit, gpl = known["MIT-terms"].split(), known["GPL-3.0-notice"].split()
+    wrapped = "\n".join(" ".join(mit[k:k + 9]) for k in range(0, len(mit), 9))
+    code = "\n".join(f"call_{k}(value_{k}, other_{k % 7})" for k in range(60))
+    comment = "\n#\n".join("# " + " ".join(gpl[k:k + 8]) for k in range(0, len(gpl), 8))
+    terms = "Permission to do this is given to all. " * 2 + "\n\n" + "\n\n".join(" ".join(f"clause {k} says word{k}" for k in range(b, b + 20)) for b in (0, 20, 40)) + "\n\nEnd of all terms."
+    templates = [*license_scan.TEMPLATES, ("Full", terms), ("One", "Unlicensed")]
+    texts = [f"Copyright (c) 2020 A Person\n{wrapped}\n{code}", f"{code}\n{comment}\n{code}", terms, f"{code}\n{terms}\n{code}",
+             "We say that all of it is released under the MIT License. and nothing else is said about it here by anyone.",
+             "Released under the MIT License. " * 3 + "Unlicensed", "This work is licensed under the GNU General Public License, version 3.",
+             f"{known['Apache-2.0-notice']} more words", "unlicensed", "", None, "MIT " * 3000]
+    df = spark.createDataFrame([Row(doc_id=k, text=t) for k, t in enumerate(texts)] * 2, "doc_id long, text string")
+    tf = spark.createDataFrame(templates, "name string, text string")
+    got = bag((r["doc_id"], r["unit"], r["number"], r["license"], round(r["dice"], 9)) for r in license_scan.scan_passages(clash(df), tf).collect())
+    assert bag(x for x in got if x[1] == "run") == bag((k, *x) for k, t in enumerate(texts) for x in brute_runs(t, templates))
+    seen = {(x[0], x[3]) for x in got}
+    assert {(0, "MIT-terms"), (1, "GPL-3.0-notice"), (2, "Full"), (3, "Full"), (4, "MIT"), (5, "One"), (6, "GPL-3.0"), (7, "Apache-2.0-notice")} <= seen
+    assert {x for x in got if x[1] == "text"} == {(2, "text", 0, "Full", 1.0)}
+    lines = {(r["doc_id"], r["license"]) for r in license_scan.scan(df, tf).collect()}
+    assert not lines & {(0, "MIT-terms"), (1, "GPL-3.0-notice"), (2, "Full"), (3, "Full"), (4, "MIT")}  # what lines and paragraphs miss
+    assert license_scan.scan_passages(no_docs, tf).count() == 0
+    assert license_scan.scan_passages(df, tf.limit(0)).count() == 0
+
+
 # ---- 3 quality rules
 
 def brute_base(text):
