@@ -137,10 +137,10 @@ def best_round(curve: list[float], watch: str) -> int:
     return min(range(len(curve)), key=lambda k: (-curve[k] if watch == "auc" else curve[k], k))
 
 
-def fit_early_stopped(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
-                      patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
-    """Boost until the validation metric has not improved for ``patience`` rounds or the budget is used up, and
-    keep the rounds up to the best one. ``make(rounds)`` gives the estimator.
+def fit_until_patience(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
+                       patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
+    """Boost until the validation metric has not improved for ``patience`` rounds or the budget is used up: the model
+    with all rounds fitted and its validation curve. ``make(rounds)`` gives the estimator.
 
     Spark's own validation stop ends at the first round that gains too little, so rounds are fitted in growing
     steps instead (each doubles the last; the same seed gives the same first trees) and the curve decides."""
@@ -151,11 +151,17 @@ def fit_early_stopped(make, budget: int, train: DataFrame, valid: DataFrame, col
             curve = auc_by_round(model, valid)
         else:
             curve = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(with_label(valid))))
-        best = best_round(curve, watch)
-        if rounds - 1 - best >= patience or rounds >= budget:
-            break
+        if rounds - 1 - best_round(curve, watch) >= patience or rounds >= budget:
+            return model, curve
         rounds = min(budget, 2 * rounds)
-    if best + 1 < rounds:
+
+
+def fit_early_stopped(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
+                      patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
+    """``fit_until_patience``, then only the rounds up to the best one."""
+    model, curve = fit_until_patience(make, budget, train, valid, cols, watch, patience)
+    best = best_round(curve, watch)
+    if best + 1 < len(curve):
         model = fit_pipeline(make(best + 1), train, cols)
     return model, curve
 

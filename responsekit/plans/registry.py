@@ -712,14 +712,11 @@ def q_cv(spark, sf_dir):
 
 @query("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    """V8: log loss by iteration on training and validation rows; the best iteration is flagged."""
+    """V8: log loss by iteration on training and validation rows until patience or the preset's rounds are used up;
+    the best iteration is flagged."""
     tr, va, cols = train_valid(spark, sf_dir)
-    m = B.fit_pipeline(B.gbt("simple", 2 * B.PATIENCE), tr, cols)
-    gbt_model = m.stages[-1]
-    a_tr = m.stages[0].transform(B.with_label(tr))
-    a_va = m.stages[0].transform(B.with_label(va))
-    lt = gbt_model.evaluateEachIteration(a_tr)
-    lv = gbt_model.evaluateEachIteration(a_va)
+    m, lv = B.fit_until_patience(lambda n: B.gbt("simple", n), B.PRESETS["simple"]["maxIter"], tr, va, cols, patience=B.PATIENCE)
+    lt = m.stages[-1].evaluateEachIteration(m.stages[0].transform(B.with_label(tr)))
     best = B.best_round(lv, "log_loss")
     rows = [(i, float(a), float(b), int(i == best)) for i, (a, b) in enumerate(zip(lt, lv))]
     return rounded(spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double, is_best int"))

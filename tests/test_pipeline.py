@@ -128,3 +128,18 @@ def test_streaming_scoring_matches_batch(spark, tmp_path):
     batch = {r["ID"]: r["p"] for r in score(spark, path, prof.drop("Target")).collect()}
     assert streamed.keys() == batch.keys()
     assert all(abs(streamed[k] - batch[k]) < 1e-12 for k in batch)
+
+
+def test_learning_curve_runs_until_patience(spark, monkeypatch):
+    """Where the loss still falls after 2 * patience rounds, the curve goes on to the preset's budget."""
+    from responsekit.models import boosted as B
+    from responsekit.plans import registry
+    rows = [(k, float(k % 50), float(int(k % 50 >= 25))) for k in range(200)]
+    df = spark.createDataFrame(rows, "ID long, x double, Target double").coalesce(1)
+    monkeypatch.setattr(registry, "train_valid", lambda *_: (df, df, ["x"]))
+    monkeypatch.setattr(B, "PATIENCE", 2)
+    monkeypatch.setitem(B.PRESETS, "simple", dict(maxIter=10, stepSize=0.05, maxDepth=2))
+    got = registry.QUERIES["learning_curve"](spark, "").orderBy("iter").collect()
+    assert [r["iter"] for r in got] == list(range(10))
+    assert [r["is_best"] for r in got] == [0] * 9 + [1]
+    assert got[-1]["test_logloss"] < got[3]["test_logloss"]
