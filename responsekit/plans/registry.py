@@ -821,6 +821,29 @@ def q_resampled_folds(spark, sf_dir):
     return folded.groupBy("fold", "Target").agg(F.count("*").alias("n"), F.count_distinct("ID").alias("n_ids"))
 
 
+def train_minority_z(spark, sf_dir):
+    """Standardised training rows with all training columns (scaler fitted on the training rows)."""
+    tr, _, cols = train_valid(spark, sf_dir)
+    sc = fit_scaler(tr, cols)
+    z = tr.select("ID", "Target", *[e.alias(f"z_{c}") for c, e in sc.columns(cols).items()])
+    return z, [f"z_{c}" for c in cols]
+
+
+@query("smote_train_neighbours")
+def q_smote_train_neighbours(spark, sf_dir):
+    """The minority's neighbours among the training rows, over all training columns."""
+    z, zc = train_minority_z(spark, sf_dir)
+    nb = knn_exact(z.filter("Target = 1"), zc, k=5)
+    return rounded(nb.select("ID", F.col("nb_id").alias("neighbour_id"), "nb_rank", F.col("dist").alias("distance")))
+
+
+@query("smote_train_rows")
+def q_smote_train_rows(spark, sf_dir):
+    """The synthetic rows of the training rows, over all training columns."""
+    z, zc = train_minority_z(spark, sf_dir)
+    return rounded(smote(z, zc, label="Target", k=5, seed=42))
+
+
 @query("accuracy_gain")
 def q_accuracy_gain(spark, sf_dir):
     """V6: best threshold of the accuracy sweep and its gain over 0.5."""

@@ -143,3 +143,30 @@ def test_learning_curve_runs_until_patience(spark, monkeypatch):
     assert [r["iter"] for r in got] == list(range(10))
     assert [r["is_best"] for r in got] == [0] * 9 + [1]
     assert got[-1]["test_logloss"] < got[3]["test_logloss"]
+
+
+def test_smote_train_queries_at_full_width(spark):
+    """Neighbours and synthetic rows of the training rows over all training columns, against brute force."""
+    import numpy as np
+    from responsekit.plans.registry import QUERIES, train_valid
+    tr, va, cols = train_valid(spark, SF_SMALL)
+    pdf = tr.toPandas()
+    x = pdf[cols].to_numpy(dtype=float)
+    sd = x.std(axis=0)
+    z = (x - x.mean(axis=0)) / np.where(sd > 0, sd, 1.0)
+    minority = np.flatnonzero(pdf["Target"].to_numpy() == 1)
+    ids = pdf["ID"].to_numpy()
+    dist = np.sqrt(((z[minority][:, None, :] - z[minority][None, :, :]) ** 2).sum(axis=2))
+    np.fill_diagonal(dist, np.inf)
+    got = QUERIES["smote_train_neighbours"](spark, SF_SMALL).toPandas().sort_values(["ID", "nb_rank"])
+    want = {int(ids[i]): np.sort(dist[k])[:5] for k, i in enumerate(minority)}
+    assert {i: len(g) for i, g in got.groupby("ID")} == {i: int(np.isfinite(d).sum()) for i, d in want.items()}
+    for i, g in got.groupby("ID"):
+        assert np.allclose(g["distance"], want[i][:len(g)], atol=1e-5)
+    rows = QUERIES["smote_train_rows"](spark, SF_SMALL)
+    assert {f"z_{c}" for c in cols} <= set(rows.columns)
+    rows = rows.toPandas()
+    assert len(rows) == abs(len(pdf) - 2 * len(minority))
+    assert set(rows["source_id"]) <= set(ids[minority]) and not set(rows["source_id"]) & set(va.toPandas()["ID"])
+    pairs = {(r["ID"], r["neighbour_id"]) for r in got.to_dict("records")}
+    assert {(r["source_id"], r["nb_id"]) for r in rows.to_dict("records")} <= pairs
