@@ -170,3 +170,35 @@ def test_smote_train_queries_at_full_width(spark):
     assert set(rows["source_id"]) <= set(ids[minority]) and not set(rows["source_id"]) & set(va.toPandas()["ID"])
     pairs = {(r["ID"], r["neighbour_id"]) for r in got.to_dict("records")}
     assert {(r["source_id"], r["nb_id"]) for r in rows.to_dict("records")} <= pairs
+
+
+@pytest.mark.parametrize("space", ["catboost", "xgboost", "mlp"])
+def test_search_and_refit_every_space(spark, tmp_path, monkeypatch, space):
+    """Search and refit for each space; the boosted ones with few rounds and small trees."""
+    from responsekit.models import search as S
+    from responsekit.operators.sampling import split
+    from responsekit.plans.registry import profile
+    if space == "mlp":
+        tr, va = split(profile(spark, SF_SMALL), "Target", 0.3, 42)
+        cols = None
+    else:
+        monkeypatch.setitem(S.SPACES, space, {**S.SPACES[space], "maxIter": ("int", 2, 3), "maxDepth": ("int", 2, 3)})
+        df = spark.createDataFrame([(k, float(k % 50), float(int(k % 50 >= 25))) for k in range(200)], "ID long, x double, Target double")
+        tr, va, cols = df.coalesce(1), df.coalesce(1), ["x"]
+    trials, best, refit = S.search_and_refit(tr, va, cols, str(tmp_path / space), n_trials=1, space=space)
+    assert trials.count() == 1 and set(best) == set(S.SPACES[space])
+    metrics = refit[2] if space == "mlp" else refit.metrics
+    assert metrics["accuracy"] == trials.first()["accuracy"]
+
+
+def test_search_trials_runs_whole_ranges(spark, monkeypatch):
+    from responsekit.plans import registry
+    seen = {}
+    monkeypatch.setattr(registry, "train_valid", lambda *_: (None, None, []))
+
+    def search(tr, va, cols, root, **kw):
+        seen.update(kw)
+        return spark.range(1), None, None
+    monkeypatch.setattr(registry, "search_and_refit", search)
+    registry.QUERIES["search_trials"](spark, "")
+    assert seen == {"n_trials": 20, "space": "catboost"}
