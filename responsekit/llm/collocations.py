@@ -31,9 +31,11 @@ language and text columns are read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -44,8 +46,9 @@ from responsekit.session import discard, materialize
 
 MIN_COUNT, LONGEST, TOP, COVER = 30, 4, 2000, 80
 NO_LANG = "und"
-#: Entries of a hash container before it bursts, entries and different words a task holds, rows of a batch it sends.
-BURST, MOST_ENTRIES, MOST_WORDS, ROWS = 4096, 1_000_000, 500_000, 1 << 16
+#: Entries of a hash container before it bursts, entries and different words a task holds, rows of a batch it sends,
+#: bytes of text that are sorted before they go into the tries.
+BURST, MOST_ENTRIES, MOST_WORDS, ROWS, PIECE = 4096, 1_000_000, 500_000, 1 << 16, 8 << 20
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(_BREAKS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * len(_BREAKS) + b" abcdefghijklmnopqrstuvwxyz")
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
@@ -129,18 +132,35 @@ class HatTrie:
         at = self.root[first]
         return sum(map(len, at[0].values())) if isinstance(at, list) else len(at)
 
-    def take(self, first: int, names: list[bytes]) -> tuple[list[bytes], list[int]]:
-        """Removes the subtree of a first word: its phrases in order, and their counts."""
+    def take(self, first: int) -> tuple[list[int], list[int]]:
+        """Removes the subtree of a first word: the other ids of its phrases, packed, and the counts."""
         self.entries -= self.size(first)
         at = self.root.pop(first)
-        if isinstance(at, list):
-            shift = ID * (self.order - 2)
-            at = {(w << shift) | r: n for w, leaf in at[0].items() for r, n in leaf.items()}
-        head, places = names[first], range(ID * (self.order - 2), -1, -ID)
-        if self.order == 1:
-            return [head], list(at.values())
-        rows = sorted((b" ".join([head, *[names[(r >> s) & _LOW] for s in places]]), n) for r, n in at.items())
-        return [r[0] for r in rows], [r[1] for r in rows]
+        if not isinstance(at, list):
+            return list(at), list(at.values())
+        shift = ID * (self.order - 2)
+        return ([w << shift | r for w, leaf in at[0].items() for r in leaf], [n for leaf in at[0].values() for n in leaf.values()])
+
+
+def as_run(lang: str, order: int, subtrees: list[tuple[int, list[int], list[int]]], names: pa.Array, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Subtrees (first word, packed other ids, counts) as rows (lang, size, phrase, n) in the order of their words."""
+    first = np.repeat([t[0] for t in subtrees], [len(t[1]) for t in subtrees])
+    counts = np.fromiter(chain.from_iterable(t[2] for t in subtrees), np.int64, len(first))
+    rests = chain.from_iterable(t[1] for t in subtrees)
+    columns = [first]
+    if order <= 3:
+        packed = np.fromiter(rests, np.int64, len(first))
+        columns += [packed >> ID * k & _LOW for k in range(order - 2, -1, -1)]
+    else:  # packed ids of more than 64 bits
+        rests = list(rests)
+        columns += [np.fromiter((r >> ID * k & _LOW for r in rests), np.int64, len(first)) for k in range(order - 2, -1, -1)]
+    by = np.lexsort([rank[c] for c in reversed(columns)])
+    for k in range(0, len(by), ROWS):
+        at = by[k: k + ROWS]
+        words = [names.take(pa.array(c[at])) for c in columns]
+        phrase = (pc.binary_join_element_wise(*words, b" ") if order > 1 else words[0]).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), order, np.int32)),
+                                          phrase, pa.array(counts[at])], names=["lang", "size", "phrase", "n"])
 
 
 class Counter:
@@ -180,73 +200,54 @@ class Counter:
             number, dense = np.unique(key, return_inverse=True)
             key = dense << ID | c
         _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        first, *others = (c[where].tolist() for c in columns)
-        rest = others[0] if others else [0] * len(first)
-        for c in others[1:]:
-            rest = [r << ID | x for r, x in zip(rest, c)]
+        first, *others = (c[where] for c in columns)  # in order of their first words, then of the others
+        if len(others) < 3:
+            rest = (others[0] << ID | others[1] if len(others) == 2 else others[0] if others else np.zeros(len(first), np.int64)).tolist()
+        else:
+            rest = [0] * len(first)
+            for c in others:
+                rest = [r << ID | x for r, x in zip(rest, c.tolist())]
         counts = counts.tolist()
         trie = self.tries.setdefault((lang, order), HatTrie(order))
-        order_of = sorted(range(len(first)), key=first.__getitem__)
-        start = 0
-        while start < len(order_of):
-            w, end = first[order_of[start]], start
-            while end < len(order_of) and first[order_of[end]] == w:
-                end += 1
-            trie.add(w, [rest[k] for k in order_of[start:end]], [counts[k] for k in order_of[start:end]])
-            start = end
-
-    def spill(self, everything: bool = False) -> Iterator[tuple[str, int, list[bytes], list[int]]]:
-        """Runs (language, order, phrases in order, counts) of whole subtrees: all, or the largest until half is left."""
+        starts = np.flatnonzero(np.diff(first, prepend=-1))
+        for w, start, end in zip(first[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(first)]):
+            trie.add(w, rest[start:end], counts[start:end])
+
+    def spill(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
+        """Runs of whole subtrees: of all, or of the largest ones until half of the entries are left."""
         total = sum(t.entries for t in self.tries.values())
         if not everything and total <= MOST_ENTRIES and len(self.words.names) <= MOST_WORDS:
             return
         left = 0 if everything or len(self.words.names) > MOST_WORDS else MOST_ENTRIES // 2
-        subtrees = sorted(((t.size(w), key, w) for key, t in self.tries.items() for w in t.root), reverse=True, key=lambda x: x[0])
-        for size, key, w in subtrees:
+        names = pa.array(self.words.names, pa.binary())
+        rank = np.empty(len(names), dtype=np.int64)
+        rank[pc.sort_indices(names).to_numpy()] = np.arange(len(names))
+        taken: dict[tuple[str, int], list] = {}
+        for size, key, w in sorted(((t.size(w), key, w) for key, t in self.tries.items() for w in t.root), reverse=True):
             if total <= left:
                 break
-            yield (*key, *self.tries[key].take(w, self.words.names))
+            taken.setdefault(key, []).append((w, *self.tries[key].take(w)))
             total -= size
+        for (lang, order), subtrees in taken.items():
+            yield from as_run(lang, order, subtrees, names, rank)
         if left == 0:
             self.words, self.tries = Words(), {}
 
 
-def as_batches(runs: Iterator[tuple[str, int, list[bytes], list[int]]]) -> Iterator[pa.RecordBatch]:
-    cols: tuple[list, ...] = ([], [], [], [])
-
-    def batch():
-        out = pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()),
-                                          pa.array(cols[2], pa.binary()).cast(pa.string()), pa.array(cols[3], pa.int64())],
-                                         names=["lang", "size", "phrase", "n"])
-        for c in cols:
-            c.clear()
-        return out
-
-    for lang, order, phrases, counts in runs:
-        cols[0].extend([lang] * len(phrases))
-        cols[1].extend([order] * len(phrases))
-        cols[2].extend(phrases)
-        cols[3].extend(counts)
-        if len(cols[0]) >= ROWS:
-            yield batch()
-    if cols[0]:
-        yield batch()
-
-
 def count_runs(src: DataFrame, orders: tuple[int, ...], allowed=None, bits: int = B.BITS) -> DataFrame:
     """Runs of the phrases of ``src`` (lang, text) of these lengths; ``allowed``: broadcast filter of phrases one
     word shorter, both of which a phrase must have in it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(orders, B.BitFilter(bits, allowed.value) if allowed is not None else None)
         for batch in batches:
-            for part in cut_batch(batch):
+            for part in cut_batch(batch, PIECE):
                 by_lang: dict[str, list] = {}
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     by_lang.setdefault(lang, []).append(text)
                 for lang, texts in by_lang.items():
                     counter.add(lang, texts)
-                yield from as_batches(counter.spill())
-        yield from as_batches(counter.spill(everything=True))
+                yield from counter.spill()
+        yield from counter.spill(everything=True)
 
     return src.mapInArrow(run, RUNS)
 

@@ -93,10 +93,10 @@ def map_rows(df: DataFrame, fn: Callable[[dict], dict], schema: T.StructType) ->
 PIECE_BYTES = 4 << 20
 
 
-def cut_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+def cut_batch(batch: pa.RecordBatch, piece: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     rows = batch.num_rows
     if not rows:
         return
-    step = max(1, min(rows, int(rows * PIECE_BYTES / max(batch.nbytes, 1))))
+    step = max(1, min(rows, int(rows * piece / max(batch.nbytes, 1))))
     for at in range(0, rows, step):
         yield batch.slice(at, step)
