@@ -32,10 +32,11 @@ def test_calendar_parts_monday_zero(spark):
 
 
 def _base(spark, **columns):
-    """``add_base_features`` over customers that are null but for ``columns`` (lists of equal length)."""
+    """``add_base_features`` over customers that are null but for their ID and ``columns`` (lists of equal length)."""
     from responsekit.catalog import CUSTOMER_SCHEMA
     from responsekit.functions.base import add_base_features
     n = len(next(iter(columns.values())))
+    columns.setdefault("ID", list(range(n)))
     rows = [tuple(columns[f.name][k] if f.name in columns else None for f in CUSTOMER_SCHEMA) for k in range(n)]
     return add_base_features(spark.createDataFrame(rows, CUSTOMER_SCHEMA), None, 2025)
 
