@@ -7,8 +7,8 @@ from checks.profile_sql import FEATURES_CTE, PROFILE_CTE, select_rounded
 SQL: dict[str, str] = {}
 
 
-def with_profile(body: str) -> str:
-    return f"WITH {PROFILE_CTE} {body}"
+def with_profile(body: str, more_ctes: str = "") -> str:
+    return f"WITH {PROFILE_CTE}{more_ctes} {body}"
 
 
 def with_features(body: str, more_ctes: str = "") -> str:
@@ -436,3 +436,58 @@ b AS (SELECT threshold, correct FROM s ORDER BY correct DESC, threshold LIMIT 1)
 h AS (SELECT correct AS half FROM s WHERE threshold = 0.5)
 SELECT threshold, round(correct / n, 6) AS accuracy, round(half / n, 6) AS accuracy_at_half,
        round((correct - half) / n, 6) AS gain FROM b CROSS JOIN h CROSS JOIN n"""
+
+# logs of five runs, counted from the customers; a run's file has only some of the metrics
+LOG_CTE = """,
+l AS (SELECT ID % 5 AS k, CAST(Year_Birth - 1940 AS INTEGER) AS iter, round(avg(Target), 6) AS a, round(avg(Complain), 6) AS c,
+             round(avg(Recency) / 100, 6) AS loss, CAST(sum(NumWebPurchases) AS BIGINT) AS passed FROM profile GROUP BY ALL),
+r AS (SELECT CASE k WHEN 3 THEN 'fold_3' WHEN 4 THEN 'single_model' ELSE 'fold-' || k END AS run,
+             CAST(CASE WHEN k < 4 THEN k END AS INTEGER) AS fold, iter, CASE WHEN k IN (1, 2) THEN a END AS "AUC",
+             CASE WHEN k IN (0, 4) THEN c END AS "Accuracy", loss AS "Logloss", passed FROM l)"""
+SQL["training_log_union"] = with_profile('SELECT run, fold, iter, "AUC", "Accuracy", "Logloss" FROM r', LOG_CTE)
+SQL["training_log_best"] = with_profile("""
+SELECT run, iter AS "best_test_Logloss", "best_test_Accuracy", "best_test_AUC", "Logloss" AS "learn_Logloss", passed AS "time_Passed"
+FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY "Logloss", iter) AS n,
+             CASE WHEN "Accuracy" IS NOT NULL THEN first(iter) OVER (PARTITION BY run ORDER BY "Accuracy" DESC, iter) END AS "best_test_Accuracy",
+             CASE WHEN "AUC" IS NOT NULL THEN first(iter) OVER (PARTITION BY run ORDER BY "AUC" DESC, iter) END AS "best_test_AUC" FROM r) t
+WHERE n = 1""", LOG_CTE)
+SQL["submission_files"] = tiered_round(with_features("""
+SELECT printf('submission_%02d', i) AS sub_a, printf('submission_%02d', j) AS sub_b, count(*) AS n,
+       round(avg(CAST((p >= CAST(20 + 4 * i AS DOUBLE) / 100) = (p >= CAST(20 + 4 * j AS DOUBLE) / 100) AS DOUBLE)), 6) AS agreement
+FROM scored JOIN (SELECT a.i, b.i AS j FROM range(15) a(i) JOIN range(15) b(i) ON a.i < b.i) t ON true GROUP BY i, j""", SCORED))
+SQL["profile_nunique_sketch_check"] = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", 1 AS within" for c in PROFILE_COLS)
+SQL["onehot_vector"] = with_features(f"""
+SELECT v.ID, v.col AS "column", v.level, CAST(coalesce(f.position, n.n) AS INTEGER) AS position, 1 AS value
+FROM v LEFT JOIN f ON f.col = v.col AND f.level = v.level JOIN (SELECT col, count(*) AS n FROM f GROUP BY col) n ON n.col = v.col""", f""",
+c AS (SELECT ID, coalesce(Education, 'Unknown') AS "Education", coalesce(Marital_Status, 'Unknown') AS "Marital_Status",
+             coalesce(Edu_Marital_Combined, 'Unknown') AS "Edu_Marital_Combined" FROM feat),
+v AS (UNPIVOT c ON "Education", "Marital_Status", "Edu_Marital_Combined" INTO NAME col VALUE level),
+f AS (SELECT col, level, row_number() OVER (PARTITION BY col ORDER BY level) - 1 AS position
+      FROM (SELECT DISTINCT col, level FROM v WHERE ID IN (SELECT ID FROM ({SQL['stratified_split']}) s WHERE is_valid = 0)) d)""")
+
+# learned results: what holds whatever a model has learned
+_CHECKED = "SELECT count(*) AS n_rows, count(*) AS n_ids, count(*) AS n_own, count(*) AS n_p, count(*) AS n_pred"
+for _name in ("gbt_train", "xgb_preset", "simple_mode", "forest", "voting", "stacking"):
+    SQL[f"{_name}_check"] = f"{_CHECKED} FROM ({SQL['stratified_split']}) s WHERE is_valid = 1"
+SQL["mlp_check"] = f"{_CHECKED} FROM ({SQL['stratified_split'].replace('ceil(0.3 * n)', 'ceil(0.2 * n)')}) s WHERE is_valid = 1"
+_TRAIN = f"train AS (SELECT Target, count(*) AS n FROM ({SQL['stratified_split']}) s WHERE is_valid = 0 GROUP BY Target)"
+SQL["stack_folds_check"] = f"""
+WITH {_TRAIN}, f AS (SELECT CAST(j AS INTEGER) AS fold, Target, CAST(ceil((j + 1) * n / 3.0) - ceil(j * n / 3.0) AS BIGINT) AS n
+                     FROM train CROSS JOIN (SELECT unnest(range(3)) AS j) t)
+SELECT fold, Target, n, n AS n_ids, n AS n_scored FROM f"""
+SQL["cv_metrics_check"] = f"""
+WITH {_TRAIN}
+SELECT CAST(j AS INTEGER) AS fold, CAST(sum(ceil((j + 1) * n / 5.0) - ceil(j * n / 5.0)) AS BIGINT) AS n,
+       CAST(sum(ceil((j + 1) * n / 5.0) - ceil(j * n / 5.0)) AS BIGINT) AS n_ids, 1 AS same_metrics
+FROM train CROSS JOIN (SELECT unnest(range(5)) AS j) t GROUP BY j"""
+SQL["leaderboard_check"] = "SELECT 4 AS n_models, 1 AS n_best, 1 AS best_is_best"
+SQL["search_trials_check"] = "SELECT 20 AS n_trials, 20 AS n_complete, 20 AS n_inside"
+SQL["learning_curve_check"] = "SELECT 1 AS no_gaps, 1 AS n_best, 1 AS is_least, 1 AS runs_on"
+SQL["selection_check"] = "SELECT 10 AS n_top, 1 AS in_order, 10 AS n_known, 30 AS n_kept"
+SQL["selection_propagation"] = with_profile("SELECT 1 AS same_columns, 1 AS capped, 0 AS n_correlated, count(*) AS n_rows FROM profile")
+SQL["pca_variance_check"] = "SELECT 3 AS n_components, 3 AS n_same"
+# alignment of the customer table to its own columns but Income, and one more
+SQL["align_report"] = "SELECT * FROM (VALUES " + ", ".join(
+    [f"('{c}', 'kept')" for c in PROFILE_COLS if c not in ("ID", "Income", "Target")]
+    + ["('Not_There', 'added')", "('Income', 'dropped')", "('Target', 'dropped')"]) + ') t("column", action)'
+

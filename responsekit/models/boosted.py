@@ -1,8 +1,9 @@
-"""Tree classifiers on Spark ML (M1-M4, M9) and probability scoring.
+"""Tree classifiers (M1-M4, M9) and probability scoring.
 
-One GBT engine serves the three boosted variants of the reference through
-parameter presets; early stopping watches the validation curve with a
-patience of 50 rounds and keeps the rounds up to the best.
+The three boosted variants of the reference are presets of one booster
+(``histboost.py``): it continues from stored margins, watches the validation
+curve with a patience of 50 rounds, and the best prefix of the rounds is the
+model. The random forest is Spark ML's.
 """
 
 from __future__ import annotations
@@ -11,38 +12,53 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from responsekit.catalog import ID_COL, TARGET_COL
+from responsekit.models.histboost import Booster, BoostedModel, Curve, Params, Prepared, prepare
 from responsekit.operators import evaluate as V
+from responsekit.operators.encode import vector_column, vector_stages
 from responsekit.operators.sampling import class_counts, class_weights, with_weights
+from responsekit.session import discard
 
-FEATURES, LABEL, WEIGHT = "features", "label", "weight"
-AUC_BINS = 10000
+FEATURES, LABEL, WEIGHT, FOLD = "features", "label", "weight", "_fold"
 ROWS_PER_TASK = 20_000
 
 # --- Fixed values: parameter presets carried over from the reference.
 PRESETS = {
     # single boosted model with early stopping (the CatBoost setup)
     "catboost": dict(maxIter=5000, stepSize=0.02, maxDepth=6, maxBins=254, minInstancesPerNode=10,
-                     featureSubsetStrategy="0.9"),
+                     featureSubsetStrategy=0.9, l2=10.0),
     # alternative boosted model (the XGBoost setup)
     "xgboost": dict(maxIter=2000, stepSize=0.05, maxDepth=6, maxBins=256, subsamplingRate=0.8,
-                    featureSubsetStrategy="0.8", minInfoGain=0.1),
+                    featureSubsetStrategy=0.8, levelColumns=0.8, minInfoGain=0.1, minHessian=3.0, l1=0.1, l2=1.0),
     # simple mode: 500 rounds, rate 0.05, depth 6
-    "simple": dict(maxIter=500, stepSize=0.05, maxDepth=6),
+    "simple": dict(maxIter=500, stepSize=0.05, maxDepth=6, l2=3.0),
     # stacking base learners (300 estimators each)
-    "stack_gbt_a": dict(maxIter=300, stepSize=0.05, maxDepth=6),
-    "stack_gbt_b": dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8),
+    "stack_gbt_a": dict(maxIter=300, stepSize=0.05, maxDepth=6, l2=5.0),
+    "stack_gbt_b": dict(maxIter=300, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy=0.8, minHessian=1.0, l2=1.0),
 }
 FOREST = dict(numTrees=100, maxDepth=4)
 PATIENCE = 50
 # --- end of fixed values
 
+#: Parameter names of presets and search ranges, and the booster's.
+NAMES = {"maxIter": "rounds", "stepSize": "rate", "maxDepth": "depth", "maxBins": "bins", "minInstancesPerNode": "min_rows",
+         "featureSubsetStrategy": "columns", "levelColumns": "level_columns", "subsamplingRate": "rows", "minInfoGain": "min_gain",
+         "minHessian": "min_hessian", "l1": "l1", "l2": "l2"}
+
+
+def booster_params(preset: str = "catboost", max_iter: int | None = None, seed: int = 42, **overrides) -> Params:
+    """The booster's parameters of a preset; ``max_iter`` replaces its number of rounds."""
+    given = {**PRESETS[preset], **overrides}
+    if max_iter is not None:
+        given["maxIter"] = max_iter
+    return Params(seed=seed, **{NAMES[k]: v for k, v in given.items()})
+
 
 def assembler(cols) -> VectorAssembler:
     return VectorAssembler(inputCols=list(cols), outputCol=FEATURES, handleInvalid="keep")
@@ -52,18 +68,6 @@ def with_label(df: DataFrame, label: str = TARGET_COL) -> DataFrame:
     return df.withColumn(LABEL, F.col(label).cast("double"))
 
 
-def gbt(preset: str = "catboost", max_iter: int | None = None, seed: int = 42, weighted: bool = False,
-        **overrides) -> GBTClassifier:
-    """A boosted classifier of a preset; ``max_iter`` replaces the preset's number of rounds."""
-    params = dict(PRESETS[preset])
-    params.update(overrides)
-    if max_iter is not None:
-        params["maxIter"] = max_iter
-    if weighted:
-        params["weightCol"] = WEIGHT
-    return GBTClassifier(featuresCol=FEATURES, labelCol=LABEL, seed=seed, lossType="logistic", **params)
-
-
 def forest(seed: int = 42, weighted: bool = False, **overrides) -> RandomForestClassifier:
     params = dict(FOREST)
     params.update(overrides)
@@ -72,28 +76,34 @@ def forest(seed: int = 42, weighted: bool = False, **overrides) -> RandomForestC
     return RandomForestClassifier(featuresCol=FEATURES, labelCol=LABEL, seed=seed, **params)
 
 
-def fit_pipeline(estimator, df: DataFrame, cols) -> PipelineModel:
-    """Fit on ``df``; partitions of fewer than ``ROWS_PER_TASK`` rows are joined first, because a boosted fit runs
-    thousands of short jobs whose cost is their number of tasks."""
+def fit_pipeline(estimator, df: DataFrame, cols, categories=()) -> PipelineModel:
+    """Fit on ``df``; partitions of fewer than ``ROWS_PER_TASK`` rows are joined first, because a tree fit runs many
+    short jobs whose cost is their number of tasks. ``categories`` (string columns without nulls) enter as sparse
+    one-hot vectors of any number of levels, in fitting and in scoring."""
     data = with_label(df)
     data = data.coalesce(max(1, math.ceil(data.count() / ROWS_PER_TASK)))
-    return Pipeline(stages=[assembler(cols), estimator]).fit(data)
+    categories = list(categories)
+    stages = vector_stages(categories) if categories else []
+    return Pipeline(stages=[*stages, assembler([*cols, *map(vector_column, categories)]), estimator]).fit(data)
 
 
 def probability(model, df: DataFrame, keep=(ID_COL,)) -> DataFrame:
     """M9: ``p`` = probability of class 1, next to the kept columns."""
-    out = model.transform(df)
-    return out.select(*[c for c in keep if c in df.columns],
-                      vector_to_array(F.col("probability"))[1].alias("p"))
+    keep = [c for c in keep if c in df.columns]
+    if isinstance(model, BoostedModel):
+        return df.select(*keep, model.p().alias("p"))
+    return model.transform(df).select(*keep, vector_to_array(F.col("probability"))[1].alias("p"))
 
 
 @dataclass
 class TrainResult:
-    model: PipelineModel
+    model: BoostedModel
     features: list
     threshold: float = 0.5
     metrics: dict = field(default_factory=dict)
-    curve: list = field(default_factory=list)
+    curve: list = field(default_factory=list)  # the watched value on the validation rows, by round
+    curves: Curve = field(default_factory=Curve)
+    stopped: bool = False  # the clock ended the fit
 
 
 def validation_metrics(scored: DataFrame, label: str = TARGET_COL, threshold: float = 0.5,
@@ -106,85 +116,50 @@ def validation_metrics(scored: DataFrame, label: str = TARGET_COL, threshold: fl
     return {"accuracy": acc, "auc": auc, "log_loss": ll}
 
 
-def auc_by_round(model: PipelineModel, valid: DataFrame) -> list[float]:
-    """Validation AUC after every round, from one pass: margins are summed up tree by tree and counted in
-    ``AUC_BINS`` bins of probability per round (a table bounded by rounds x bins)."""
-    booster = model.stages[-1]
-    scored = model.stages[0].transform(with_label(valid)).select(FEATURES, LABEL)
-    margin, names = F.lit(0.0), []
-    for k, (tree, w) in enumerate(zip(booster.trees, booster.treeWeights)):
-        tree = tree.copy({tree.predictionCol: f"t{k}"})
-        scored = tree.transform(scored)
-        names.append((f"t{k}", w))
-    rounds = []
-    for c, w in names:
-        margin = margin + F.lit(w) * F.col(c)
-        rounds.append(margin)
-    bins = F.array(*[F.floor(AUC_BINS / (1 + F.exp(-2 * m))) for m in rounds])
-    table = (scored.select(LABEL, F.posexplode(bins).alias("round", "bin")).groupBy("round", "bin")
-             .agg(F.sum(LABEL).alias("pos"), F.sum(1 - F.col(LABEL)).alias("neg")).orderBy("round", "bin").collect())
-    area, pos, neg = [0.0] * len(rounds), [0.0] * len(rounds), [0.0] * len(rounds)
-    for r in table:
-        k = r["round"]
-        area[k] += r["pos"] * (neg[k] + 0.5 * r["neg"])
-        pos[k] += r["pos"]
-        neg[k] += r["neg"]
-    return [a / (p * n) if p and n else 0.5 for a, p, n in zip(area, pos, neg)]
-
-
-def best_round(curve: list[float], watch: str) -> int:
-    """First best round (0-based) of a validation curve."""
-    return min(range(len(curve)), key=lambda k: (-curve[k] if watch == "auc" else curve[k], k))
-
-
-def fit_until_patience(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
-                       patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
-    """Boost until the validation metric has not improved for ``patience`` rounds or the budget is used up: the model
-    with all rounds fitted and its validation curve. ``make(rounds)`` gives the estimator.
-
-    Spark's own validation stop ends at the first round that gains too little, so rounds are fitted in growing
-    steps instead (each doubles the last; the same seed gives the same first trees) and the curve decides."""
-    rounds = min(budget, 2 * patience)
-    while True:
-        model = fit_pipeline(make(rounds), train, cols)
-        if watch == "auc":
-            curve = auc_by_round(model, valid)
-        else:
-            curve = list(model.stages[-1].evaluateEachIteration(model.stages[0].transform(with_label(valid))))
-        if rounds - 1 - best_round(curve, watch) >= patience or rounds >= budget:
-            return model, curve
-        rounds = min(budget, 2 * rounds)
-
-
-def fit_early_stopped(make, budget: int, train: DataFrame, valid: DataFrame, cols, watch: str = "log_loss",
-                      patience: int = PATIENCE) -> tuple[PipelineModel, list[float]]:
-    """``fit_until_patience``, then only the rounds up to the best one."""
-    model, curve = fit_until_patience(make, budget, train, valid, cols, watch, patience)
-    best = best_round(curve, watch)
-    if best + 1 < len(curve):
-        model = fit_pipeline(make(best + 1), train, cols)
-    return model, curve
+def prepare_split(train: DataFrame, valid: DataFrame, cols, label: str, bins: int, weight: str | None = None) -> Prepared:
+    """Training rows (fold 0) and validation rows (fold 1, weight 1) binned at quantiles of the training rows."""
+    def side(df, fold):
+        w = F.col(weight).cast("double") if weight and not fold else F.lit(1.0)
+        return df.select(F.col(ID_COL), F.col(label).alias(LABEL), w.alias(WEIGHT), F.lit(fold).alias(FOLD), *[f"`{c}`" for c in cols])
+    return prepare(side(train, 0).unionByName(side(valid, 1)), list(cols), LABEL, ID_COL, bins, WEIGHT, FOLD, edge_rows=train)
+
+
+def fit_rounds(train: DataFrame, cols, preset: str = "simple", rounds: int | None = None, seed: int = 42, label: str = TARGET_COL,
+               **overrides) -> BoostedModel:
+    """All rounds of a preset on all of ``train``, without validation rows."""
+    params = booster_params(preset, rounds, seed, **overrides)
+    data = prepare(train, list(cols), label, ID_COL, params.bins)
+    fit = Booster(data, params)
+    fit.run(params.rounds)
+    fit.close()
+    discard(data.table)
+    return fit.model()
 
 
 def train_boosted(train: DataFrame, valid: DataFrame, cols, preset: str = "catboost", max_iter: int | None = None,
                   class_weight: str | None = "Balanced", tune_threshold: bool = True, seed: int = 42,
-                  label: str = TARGET_COL, watch: str = "log_loss", **overrides) -> TrainResult:
-    """M1/M2/M3: early-stopped fit (patience 50 on ``watch``), optional class weights, F1-tuned threshold."""
-    weighted = class_weight not in (None, "None")
-    data, check = train.withColumn(TARGET_COL, F.col(label)), valid.withColumn(TARGET_COL, F.col(label))
-    if weighted:
-        weights = class_weights(class_counts(train, label), class_weight)
-        data, check = with_weights(data, weights, label, WEIGHT), check.withColumn(WEIGHT, F.lit(1.0))
-    budget = max_iter if max_iter is not None else overrides.get("maxIter", PRESETS[preset]["maxIter"])
-    model, curve = fit_early_stopped(lambda n: gbt(preset, n, seed, weighted, **overrides), budget, data, check, cols, watch)
+                  label: str = TARGET_COL, watch: str = "log_loss", weight_col: str | None = None, patience: int | None = None,
+                  deadline: float | None = None, **overrides) -> TrainResult:
+    """M1/M2/M3: boosting until ``watch`` has not improved for ``patience`` rounds or the rounds are used up, cut to the
+    best round; optional class weights (or weights in ``weight_col``) and F1-tuned threshold."""
+    params = booster_params(preset, max_iter, seed, **overrides)
+    rows = train
+    if class_weight not in (None, "None"):
+        weight_col, rows = WEIGHT, with_weights(train, class_weights(class_counts(train, label), class_weight), label, WEIGHT)
+    data = prepare_split(rows, valid, cols, label, params.bins, weight_col)
+    fit = Booster(data, params, held_out=1, watch=watch)
+    best = fit.run_until(params.rounds, PATIENCE if patience is None else patience, deadline)
+    fit.close()
+    discard(data.table)
+    model = fit.model(best)
     sv = probability(model, valid, keep=(ID_COL, label))
-    res = TrainResult(model, list(cols), curve=curve)
+    res = TrainResult(model, list(cols), curve=fit.curve.watched(watch), curves=fit.curve, stopped=fit.stopped)
     if tune_threshold:
         sweep = V.f1_sweep(sv.select(F.col(label).alias("y"), "p"))
         res.threshold, _ = V.best_threshold(sweep, "f1")
     res.metrics = validation_metrics(sv, label, 0.5, strict=True)
     res.metrics["threshold"] = res.threshold
-    res.metrics["trees"] = len(model.stages[-1].trees)
+    res.metrics["trees"] = len(model.trees)
     return res
 
 
@@ -193,7 +168,9 @@ def train_forest(train: DataFrame, cols, seed: int = 42, **kw) -> PipelineModel:
     return fit_pipeline(forest(seed, **kw), train, cols)
 
 
-def importances(model: PipelineModel) -> dict[str, float]:
+def importances(model) -> dict[str, float]:
     """Importance of every input column of a fitted tree model, by name."""
+    if isinstance(model, BoostedModel):
+        return model.importances()
     names = model.stages[0].getInputCols()
     return dict(zip(names, map(float, model.stages[-1].featureImportances.toArray())))

@@ -2,12 +2,15 @@
 
 Levels are fitted on training rows and enter the plan as literals, so the
 encoding itself is a narrow projection with no shuffle. Level discovery is
-a distinct with a hard cap: a "categorical" column with unbounded levels is
-an input error, not something to pull to the driver.
+a distinct with a hard cap: a wide form with more than ``MAX_LEVELS`` columns
+is an input error. Columns of more levels take the vector form (``vector_stages``):
+one sparse vector per column, whatever its number of levels; the levels
+themselves are the fitted model, so they do reach the driver.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +39,29 @@ def onehot_wide(col: str, levels, prefix: str | None = None, fill: str = UNKNOWN
     return {f"{prefix}_{lvl}": (v == F.lit(lvl)).cast("long") for lvl in levels}
 
 
+def with_known_levels(df: DataFrame, cols, fill: str = UNKNOWN) -> DataFrame:
+    """``cols`` as strings, nulls read as ``fill``, as the wide form reads them."""
+    return df.withColumns({c: level_value(c, fill) for c in cols})
+
+
+def index_column(col: str) -> str:
+    return f"{col}__index"
+
+
+def vector_column(col: str) -> str:
+    return f"{col}__vector"
+
+
+def vector_stages(cols) -> list:
+    """E1, vector form: pipeline stages that give each column (without nulls) the position of its level in
+    alphabetical order and a sparse 0/1 vector of all levels; a level not seen in fitting has a slot of its own at
+    the end."""
+    cols = list(cols)
+    index, vector = [index_column(c) for c in cols], [vector_column(c) for c in cols]
+    return [StringIndexer(inputCols=cols, outputCols=index, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            OneHotEncoder(inputCols=index, outputCols=vector, dropLast=False)]
+
+
 def onehot_capped(col: str, levels, width: int, fill: str = UNKNOWN) -> Column:
     """Fixed-width 0/1 array over the first ``width`` levels; others -> all zeros."""
     v = level_value(col, fill)

@@ -119,6 +119,25 @@ def auc_exact(df: DataFrame, y: str = Y, p: str = P, buckets: int = 1000) -> Dat
                  F.lit(n_pos).alias("n_pos"), F.lit(n_neg).alias("n_neg")))
 
 
+def auc_by_group(df: DataFrame, group: str, p: str = P, y: str = Y, buckets: int = 1024) -> DataFrame:
+    """V2 for many score columns at once, laid out long: (group, auc), null where a class is missing.
+
+    Exact with ties. Equal scores of a group are added up first; ``buckets`` ranges between a group's smallest and
+    largest score then bound the windows: one runs over the bucket totals of a group, one inside each bucket."""
+    same = df.groupBy(group, F.col(p).alias("s")).agg(F.sum((F.col(y) == 1).cast("long")).alias("pos"),
+                                                      F.sum((F.col(y) == 0).cast("long")).alias("neg"))
+    ends = df.groupBy(group).agg(F.min(p).alias("lo"), F.max(p).alias("hi"))
+    cut = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("s") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets)).otherwise(0)
+    placed = same.join(ends, group).select(group, "s", "pos", "neg", cut.cast("int").alias("bucket"))
+    before = Window.partitionBy(group).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (placed.groupBy(group, "bucket").agg(F.sum("neg").alias("n")).select(
+        group, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    inside = Window.partitionBy(group, "bucket").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = placed.withColumn("below", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(totals, [group, "bucket"])
+    area = F.sum(F.col("pos") * (F.col("base") + F.col("below") + 0.5 * F.col("neg")))
+    return ranked.groupBy(group).agg(F.try_divide(area, F.sum("pos").cast("double") * F.sum("neg")).alias("auc"))
+
+
 def _grid(spark: SparkSession, pcts) -> DataFrame:
     return spark.createDataFrame([(int(k),) for k in pcts], "k int")
 
@@ -203,6 +222,18 @@ def submission_agreement(submissions: dict[str, DataFrame], id_col: str = "ID",
     return row.select(F.explode(cells).alias("r")).select("r.*")
 
 
+def submission_matrix(rows: DataFrame, id_col: str = "ID", label: str = "Target", name: str = "name") -> DataFrame:
+    """P8 for any number of submissions laid out long: (sub_a, sub_b, agreement, n) for every pair, over the ids both
+    have. One shuffle by id brings an id's labels together (as many as there are submissions); pairs are made from
+    that row and pre-aggregated."""
+    each = rows.where(F.col(label).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(
+        F.array_sort(F.collect_set(F.struct(F.col(name).alias("name"), F.col(label).alias("label")))).alias("s"))
+    pairs = F.expr("""flatten(transform(sequence(1, size(s) - 1), i -> transform(slice(s, i + 1, size(s)), b ->
+        struct(s[i - 1].name AS sub_a, b.name AS sub_b, cast(s[i - 1].label = b.label AS double) AS same))))""")
+    return (each.where(F.size("s") > 1).select(F.explode(pairs).alias("p")).groupBy("p.sub_a", "p.sub_b")
+            .agg(F.avg("p.same").alias("agreement"), F.count("*").alias("n")))
+
+
 def accuracy_gain(sweep: DataFrame) -> DataFrame:
     """V6: best threshold of an accuracy sweep, its accuracy, and the gain over the threshold 0.5."""
     best = F.max_by(F.struct("threshold", "accuracy"), F.struct("accuracy", -F.col("threshold")))

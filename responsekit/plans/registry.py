@@ -618,8 +618,7 @@ def q_gbt_train(spark, sf_dir):
 def q_xgb(spark, sf_dir):
     tr, va, cols = train_valid(spark, sf_dir)
     trw = with_pos_weight(tr, pos_weight(class_counts(tr)), out=B.WEIGHT)
-    m, _ = B.fit_early_stopped(lambda n: B.gbt("xgboost", n, weighted=True), B.PRESETS["xgboost"]["maxIter"], trw,
-                               va.withColumn(B.WEIGHT, F.lit(1.0)), cols, watch="auc")
+    m = B.train_boosted(trw, va, cols, "xgboost", class_weight=None, tune_threshold=False, watch="auc", weight_col=B.WEIGHT).model
     return _scored_valid(m, va)
 
 
@@ -705,54 +704,106 @@ def q_search(spark, sf_dir):
 @query("cv_metrics")
 def q_cv(spark, sf_dir):
     """5-fold stratified cross-validation, per-fold metrics."""
+    return rounded(cross_validation(spark, sf_dir)[0])
+
+
+def cross_validation(spark, sf_dir):
+    """Fold metrics and out-of-fold table of one cross-validation."""
     tr, _, cols = train_valid(spark, sf_dir)
-    return rounded(cross_validate(tr, cols, k=5))
+    return once("cv", spark, sf_dir, lambda: cross_validate(tr, cols, k=5))
 
 
 @query("learning_curve")
 def q_learning_curve(spark, sf_dir):
     """V8: log loss by iteration on training and validation rows until patience or the preset's rounds are used up;
     the best iteration is flagged."""
-    tr, va, cols = train_valid(spark, sf_dir)
-    m, lv = B.fit_until_patience(lambda n: B.gbt("simple", n), B.PRESETS["simple"]["maxIter"], tr, va, cols, patience=B.PATIENCE)
-    lt = m.stages[-1].evaluateEachIteration(m.stages[0].transform(B.with_label(tr)))
-    best = B.best_round(lv, "log_loss")
-    rows = [(i, float(a), float(b), int(i == best)) for i, (a, b) in enumerate(zip(lt, lv))]
+    curves = simple_model(spark, sf_dir).curves
+    best = min(range(len(curves.test)), key=lambda k: (curves.test[k], k))
+    rows = [(i, float(a), float(b), int(i == best)) for i, (a, b) in enumerate(zip(curves.learn, curves.test))]
     return rounded(spark.createDataFrame(rows, "iter int, learn_logloss double, test_logloss double, is_best int"))
 
 
+def scratch(spark, name):
+    """A new folder below the shared one."""
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
 @query("training_log")
 def q_training_log(spark, sf_dir):
-    """Per-fold learning curves written as TSV, read back with the fold taken from the path."""
-    from responsekit.sources.files import read_training_logs, write_training_log
+    """Learning curves of three folds written as TSV, one folder per fold, read back as one history."""
+    from responsekit.models.search import cross_fit
+    from responsekit.sources.files import training_history, write_training_log
     tr, _, cols = train_valid(spark, sf_dir)
-    from responsekit.operators.sampling import kfold_assign
-    folded = materialize(kfold_assign(tr, k=3))
-    root = os.path.join(ensure_checkpoint_dir(spark), f"logs-{uuid.uuid4().hex}")
-    fits = fit_all({f: (lambda f=f: B.train_boosted(folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f), cols,
-                                                    "simple", class_weight=None, tune_threshold=False)) for f in range(3)})
-    for f, res in fits.items():
-        curve = res.curve
-        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(curve)], "iter int, Logloss double")
-        write_training_log(df, os.path.join(root, f"fold-{f}"))
-    return rounded(read_training_logs(spark, os.path.join(root, "fold-*", "*.csv")))
+    root = scratch(spark, "logs")
+    for f, (fit, _) in cross_fit(materialize(kfold_assign(tr, k=3)), cols, 3).items():
+        for kind, curve in (("learn_error", fit.curve.learn), ("test_error", fit.curve.test)):
+            df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(curve)], "iter int, Logloss double")
+            write_training_log(df, os.path.join(root, kind, f"fold-{f}"))
+    return rounded(training_history(spark, learn=f"{root}/learn_error/*/*.csv", test=f"{root}/test_error/*/*.csv"))
+
+
+def written_logs(spark, sf_dir):
+    """Logs of five runs with headers that differ, their values counted from the customers: the root folder."""
+    from responsekit.sources.files import write_training_log
+    p = profile(spark, sf_dir).groupBy((F.col("ID") % 5).alias("run"), (F.col("Year_Birth") - 1940).cast("int").alias("iter")).agg(
+        F.round(F.avg("Target"), 6).alias("AUC"), F.round(F.avg("Complain"), 6).alias("Accuracy"), F.round(F.avg("Recency") / 100, 6).alias("Logloss"),
+        F.sum("NumWebPurchases").alias("Passed"), F.count("*").alias("Remaining"))
+    p = materialize(p)
+    root = scratch(spark, "logs")
+    headers = {0: ["Accuracy", "Logloss"], 1: ["AUC", "Logloss"], 2: ["Logloss", "AUC"], 3: ["Logloss"], 4: ["Accuracy", "Logloss"]}
+    jobs = {}
+    for k, names in headers.items():
+        folder = f"fold-{k}" if k < 3 else f"fold_{k}" if k < 4 else "single_model"
+        for kind, cols in (("test_error", names), ("learn_error", ["Logloss"]), ("time_left", ["Passed", "Remaining"])):
+            jobs[k, kind] = (lambda k=k, cols=cols, path=f"{root}/{kind}/{folder}":
+                             write_training_log(p.where(F.col("run") == k).select("iter", *cols), path))
+    fit_all(jobs)
+    return root
+
+
+@query("training_log_union")
+def q_training_log_union(spark, sf_dir):
+    """Logs of files with different headers, each read by its own."""
+    from responsekit.sources.files import read_training_logs
+    return rounded(read_training_logs(spark, f"{written_logs(spark, sf_dir)}/test_error/*/*.csv"))
+
+
+@query("training_log_best")
+def q_training_log_best(spark, sf_dir):
+    """Learn, test and time logs joined by run and iteration; per run the best iterations, and the time
+    passed and the learning loss at the one of least test loss."""
+    from responsekit.sources.files import best_iterations, training_history
+    root = written_logs(spark, sf_dir)
+    h = materialize(training_history(spark, learn=f"{root}/learn_error/*/*.csv", test=f"{root}/test_error/*/*.csv", time=f"{root}/time_left/*/*.csv"))
+    best = best_iterations(h, largest=["test_Accuracy", "test_AUC"], smallest=["test_Logloss"])
+    at = h.select("run", F.col("iter").alias("best_test_Logloss"), "learn_Logloss", F.col("time_Passed").cast("long").alias("time_Passed"))
+    return rounded(best.join(at, ["run", "best_test_Logloss"]))
 
 
 @query("batch_score")
 def q_batch_score(spark, sf_dir):
     """Train, save to the registry, load, score every customer, write and re-read ID,Target."""
     from responsekit.plans.predict import score
-    from responsekit.plans.train import run_training
     from responsekit.sources.files import read_submission, write_submission
+    root = model_folder(spark, sf_dir)
+
     def make():
-        prof = profile(spark, sf_dir)
-        root = os.path.join(ensure_checkpoint_dir(spark), f"model-{uuid.uuid4().hex}")
-        run_training(prof, mode="simple", model_path=root)
-        write_submission(score(spark, root, prof.drop("Target")), os.path.join(root, "submission"))
+        write_submission(score(spark, root, profile(spark, sf_dir).drop("Target")), os.path.join(root, "submission"))
         return os.path.join(root, "submission")
     return read_submission(spark, once("submission", spark, sf_dir, make))
 
 
+def model_folder(spark, sf_dir):
+    """Folder of a model of the end-to-end training, trained once a session."""
+    from responsekit.plans.train import run_training
+
+    def make():
+        root = scratch(spark, "model")
+        run_training(profile(spark, sf_dir), mode="simple", model_path=root)
+        return root
+    return once("model", spark, sf_dir, make)
+
+
 @query("save_load")
 def q_save_load(spark, sf_dir):
     """Probabilities before saving and after loading must be equal."""
@@ -777,6 +828,63 @@ def q_kmeans_restarts(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "centre int, feature string, value double, training_cost double"))
 
 
+# ---------------------------------------------------------------- submissions from files, sketches, vector form
+@query("submission_files")
+def q_submission_files(spark, sf_dir):
+    """Fifteen submissions written as files, read back by one source, agreement of every pair."""
+    from responsekit.sources.files import read_submissions, write_submission
+    s, root = materialize(scored(spark, sf_dir).select("ID", "p")), scratch(spark, "submissions")
+    fit_all({k: (lambda k=k: write_submission(s.select("ID", V.label_threshold(F.col("p"), (20 + 4 * k) / 100).alias("Target")),
+                                              f"{root}/submission_{k:02d}")) for k in range(15)})
+    return rounded(V.submission_matrix(read_submissions(spark, f"{root}/*/*.csv")))
+
+
+def nunique_sketches(spark, sf_dir):
+    from responsekit.operators.distinct import column_sketches
+    p = profile(spark, sf_dir)
+    return materialize(column_sketches(p, p.columns))
+
+
+@query("profile_nunique_sketch")
+def q_profile_nunique_sketch(spark, sf_dir):
+    """P4 at scale: estimates from sketches stored per input part and merged."""
+    from responsekit.operators.distinct import distinct_estimates
+    return distinct_estimates(nunique_sketches(spark, sf_dir))
+
+
+@query("profile_nunique_sketch_check")
+def q_profile_nunique_sketch_check(spark, sf_dir):
+    """Is each estimate within 3 % of the exact count?"""
+    exact = q_profile_nunique(spark, sf_dir).withColumnRenamed("n_distinct", "exact")
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 0.03 * F.col("exact")
+    return q_profile_nunique_sketch(spark, sf_dir).join(exact, "column").select("column", near.cast("int").alias("within"))
+
+
+def vector_model(spark, sf_dir):
+    """The three category columns in vector form and a logistic model over them, fitted on the training rows."""
+    from pyspark.ml.classification import LogisticRegression
+    from responsekit.operators.encode import with_known_levels
+    from responsekit.operators.sampling import split as _split
+    cats = [EDU_COL, MARITAL_COL, "Edu_Marital_Combined"]
+    t = with_known_levels(base_table(spark, sf_dir), cats).fillna(0.0, ["Income"])
+    tr, va = _split(t, "Target", 0.3, 42)
+    model = B.fit_pipeline(LogisticRegression(labelCol=B.LABEL, regParam=0.1, maxIter=20), materialize(tr), ["Income", "Recency"], cats)
+    return model, t, va, cats
+
+
+@query("onehot_vector")
+def q_onehot_vector(spark, sf_dir):
+    """E1, vector form: the set positions of the sparse vectors, and their levels."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from responsekit.operators.encode import vector_column
+    model, t, _, cats = vector_model(spark, sf_dir)
+    v = PipelineModel(model.stages[:2]).transform(t)
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level"), vector_to_array(vector_column(c)).alias("v")) for c in cats]))
+    v = v.select("ID", each.alias("e")).select("ID", "e.column", "e.level", F.posexplode("e.v").alias("position", "value"))
+    return v.where("value <> 0").select("ID", "column", "level", "position", F.col("value").cast("int").alias("value"))
+
+
 # ---------------------------------------------------------------- results of learned operators that SQL can state
 @query("save_load_check")
 def q_save_load_check(spark, sf_dir):
@@ -884,3 +992,132 @@ def q_align_report(spark, sf_dir):
     p = profile(spark, sf_dir)
     wanted = [c for c in p.columns if c not in ("ID", "Income", "Target")] + ["Not_There"]
     return spark.createDataFrame(align_report(p, wanted, keep=("ID",)), "column string, action string")
+
+
+# ---------------------------------------------------------------- more results of learned operators that SQL can state
+def model_scores(spark, sf_dir, name):
+    """The scores of a registered model query, kept for the session."""
+    return once(f"scores-{name}", spark, sf_dir, lambda: materialize(QUERIES[name](spark, sf_dir)))
+
+
+def _scores_check(name, label="y"):
+    """Rows, different ids, rows with the customer's own label, probabilities, and labels that are 0 or 1."""
+    @query(f"{name}_check")
+    def q(spark, sf_dir):
+        s = model_scores(spark, sf_dir, name)
+        own = profile(spark, sf_dir).select("ID", F.col("Target").alias("own"))
+        has_label, has_pred = label in s.columns, "pred" in s.columns
+        s = s.join(own, "ID", "left")
+        one = F.lit(1)
+        return s.agg(F.count("*").alias("n_rows"), F.count_distinct("ID").alias("n_ids"),
+                     F.count(F.when((F.col(label) if has_label else F.col("own")) == F.col("own"), one)).alias("n_own"),
+                     F.count(F.when(F.col("p").between(0, 1), one)).alias("n_p"),
+                     F.count(F.when(F.col("pred").isin(0, 1) if has_pred else F.lit(True), one)).alias("n_pred"))
+    return q
+
+
+for _name in ("gbt_train", "xgb_preset", "simple_mode", "forest", "voting", "mlp"):
+    _scores_check(_name)
+_scores_check("stacking", "Target")
+
+
+@query("stack_folds_check")
+def q_stack_folds_check(spark, sf_dir):
+    """M5: rows and different ids by fold and class of the out-of-fold table, and those with a probability of every base."""
+    m = stack_model(spark, sf_dir)
+    all_p = F.lit(True)
+    for n in m.names:
+        all_p = all_p & F.col(f"p_{n}").between(0, 1)
+    return m.out_of_fold.groupBy("fold", "Target").agg(F.count("*").alias("n"), F.count_distinct("ID").alias("n_ids"),
+                                                       F.count(F.when(all_p, 1)).alias("n_scored"))
+
+
+@query("stack_fold_metrics")
+def q_stack_fold_metrics(spark, sf_dir):
+    """Metrics of every fold and base, from the out-of-fold table of M5."""
+    from responsekit.models.ensemble import fold_metrics
+    m = stack_model(spark, sf_dir)
+    return rounded(fold_metrics(m.out_of_fold, m.names))
+
+
+@query("cv_metrics_check")
+def q_cv_check(spark, sf_dir):
+    """Size of each fold, its different ids, and whether its accuracy, AUC and log loss are those that the
+    single-table metrics (V1, V2, V7) give for its rows."""
+    metrics, table = cross_validation(spark, sf_dir)
+    out = []
+    for r in metrics.collect():  # a row per fold
+        s = table.where(F.col("fold") == r["fold"]).select(F.col("Target").alias("y"), "p_model", "ID").withColumnRenamed("p_model", "p")
+        want = B.validation_metrics(s.withColumnRenamed("y", "Target"))
+        same = all(abs(want[k] - r[k]) < 1e-9 for k in ("accuracy", "auc", "log_loss"))
+        out.append((r["fold"], r["n"], s.select("ID").distinct().count(), int(same)))
+    return spark.createDataFrame(out, "fold int, n long, n_ids long, same_metrics int")
+
+
+@query("leaderboard_check")
+def q_leaderboard_check(spark, sf_dir):
+    """M8: models, flagged ones, and whether the flagged one has the best accuracy."""
+    lb = model_scores(spark, sf_dir, "leaderboard")
+    top = F.max("accuracy") == F.max(F.when(F.col("is_best") == 1, F.col("accuracy")))
+    return lb.agg(F.count_distinct("model").alias("n_models"), F.sum("is_best").cast("long").alias("n_best"), top.cast("int").alias("best_is_best"))
+
+
+@query("search_trials_check")
+def q_search_check(spark, sf_dir):
+    """Trials, those that ran to their end, and those whose parameters lie in the ranges and whose trees in their budget."""
+    from responsekit.models.search import SPACES
+    t = model_scores(spark, sf_dir, "search_trials")
+    kinds = "struct<" + ",".join(f"{k}:{'string' if v[0] == 'choice' else 'double'}" for k, v in SPACES["catboost"].items()) + ">"
+    t = t.withColumn("q", F.from_json("params", kinds))
+    inside = F.col("trees").between(1, F.col("q.maxIter"))
+    for k, v in SPACES["catboost"].items():
+        inside = inside & (F.col(f"q.{k}").isin(v[1]) if v[0] == "choice" else F.col(f"q.{k}").between(v[1], v[2]))
+    return t.agg(F.count("*").alias("n_trials"), F.count(F.when(F.col("status") == "complete", 1)).alias("n_complete"), F.count(F.when(inside, 1)).alias("n_inside"))
+
+
+@query("learning_curve_check")
+def q_learning_curve_check(spark, sf_dir):
+    """V8: rounds are numbered without gaps, one is flagged and has the least loss, and the curve goes on for the
+    patience after it or to the end of the budget."""
+    c = model_scores(spark, sf_dir, "learning_curve")
+    r = c.agg(F.count("*").alias("n"), F.max("iter").alias("last"), F.sum("is_best").alias("flagged"), F.min("test_logloss").alias("least"),
+              F.max(F.when(F.col("is_best") == 1, F.col("test_logloss"))).alias("at_best"), F.max(F.when(F.col("is_best") == 1, F.col("iter"))).alias("best"))
+    full = (F.col("last") - F.col("best") >= B.PATIENCE) | (F.col("n") == B.PRESETS["simple"]["maxIter"])
+    return r.select((F.col("last") + 1 == F.col("n")).cast("int").alias("no_gaps"), F.col("flagged").cast("int").alias("n_best"),
+                    (F.col("least") == F.col("at_best")).cast("int").alias("is_least"), full.cast("int").alias("runs_on"))
+
+
+@query("selection_check")
+def q_selection_check(spark, sf_dir):
+    """Ranked importances are in order and among the training columns; elimination keeps as many as asked."""
+    _, _, cols = train_valid(spark, sf_dir)
+    top, kept = q_importance(spark, sf_dir).orderBy("rank").collect(), q_rfe(spark, sf_dir).collect()
+    ordered = all(a["importance"] >= b["importance"] for a, b in zip(top, top[1:])) and [r["rank"] for r in top] == list(range(1, len(top) + 1))
+    row = (len(top), int(ordered), sum(r["feature"] in cols for r in top), len({r["feature"] for r in kept} & set(cols)))
+    return spark.createDataFrame([row], "n_top int, in_order int, n_known int, n_kept int")
+
+
+@query("selection_propagation")
+def q_selection_propagation(spark, sf_dir):
+    """The stored list of a trained model is after the correlation filter, at most 50 long, and scoring reads just these."""
+    from responsekit.plans.predict import features_for_scoring
+    from responsekit.sources.model_store import load_model
+    _, meta = load_model(spark, model_folder(spark, sf_dir))
+    x = features_for_scoring(profile(spark, sf_dir), meta)
+    tr, _, _ = train_valid(spark, sf_dir)
+    dropped = set(correlated_to_drop(tr, [c for c in meta["features"] if c in tr.columns]))
+    row = (int(x.columns == ["ID", *meta["features"]]), int(0 < len(meta["features"]) <= 50), len(dropped), x.count())
+    return spark.createDataFrame([row], "same_columns int, capped int, n_correlated int, n_rows long")
+
+
+@query("pca_variance_check")
+def q_pca_variance_check(spark, sf_dir):
+    """A5: the variance ratios are the components' own variances over those of all scaled inputs."""
+    t, _ = filled_table(spark, sf_dir)
+    cols = advanced_inputs(t)[:15]
+    m = fit_pca(t, cols, 3)
+    z, pcs = m.scaler.columns(cols), m.columns()
+    row = t.agg(sum(F.coalesce(F.variance(e), F.lit(0.0)) for e in z.values()).alias("all"),
+                *[F.variance(pcs[f"PCA_{k + 1}"]).alias(f"v{k}") for k in range(3)]).first()
+    same = sum(abs(row[f"v{k}"] / row["all"] - r) < 1e-6 for k, r in enumerate(m.variance_ratio))
+    return spark.createDataFrame([(len(m.variance_ratio), same)], "n_components int, n_same int")

@@ -85,7 +85,9 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def discard(table: DataFrame) -> None:
-    """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
+    """Delete a table that ``materialize`` wrote, once nothing reads it any more; other frames are left alone."""
+    if not hasattr(table, "_materialized_path"):
+        return
     spark = table.sparkSession
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(table._materialized_path)

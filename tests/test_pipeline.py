@@ -83,7 +83,7 @@ def test_planted_signal_auc(spark):
     res = B.train_boosted(tr, va, cols, "simple", class_weight=None, tune_threshold=False)
     assert res.metrics["trees"] > 1 and res.metrics["auc"] > 0.7
     assert len(res.curve) - res.metrics["trees"] >= B.PATIENCE
-    one = B.probability(B.fit_pipeline(B.gbt("simple", 1), tr, cols), va, keep=("ID", "Target"))
+    one = B.probability(B.fit_rounds(tr, cols, "simple", 1), va, keep=("ID", "Target"))
     assert res.metrics["log_loss"] < V.log_loss(one.select(F.col("Target").alias("y"), "p")).first()["log_loss"]
 
 
@@ -134,6 +134,7 @@ def test_learning_curve_runs_until_patience(spark, monkeypatch):
     """Where the loss still falls after 2 * patience rounds, the curve goes on to the preset's budget."""
     from responsekit.models import boosted as B
     from responsekit.plans import registry
+    monkeypatch.setattr(registry, "_FITTED", {})
     rows = [(k, float(k % 50), float(int(k % 50 >= 25))) for k in range(200)]
     df = spark.createDataFrame(rows, "ID long, x double, Target double").coalesce(1)
     monkeypatch.setattr(registry, "train_valid", lambda *_: (df, df, ["x"]))
