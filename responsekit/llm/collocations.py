@@ -4,9 +4,9 @@ Texts are lower-cased (A-Z), split at ``.,;:!?`` and line ends into pieces and t
 words. Phrases of 1 to ``LONGEST`` words inside pieces are counted for each language:
 
 * A task counts in a HAT-trie: a shallow trie over word ids whose leaves are hash
-  containers (rest of the phrase to count); a container that grows over ``BURST``
-  entries bursts into a trie node with a container for each next word. When all
-  tries of the task hold more than ``MOST_ENTRIES`` entries, the largest subtrees are
+  containers (phrase to count), at first shared by blocks of first words; one that
+  grows over ``BURST`` entries bursts into a trie node with a container for each
+  first, then second word. When all tries of the task hold more than ``MOST_ENTRIES`` entries, the largest subtrees are
   spilled whole, as sorted runs, and what is left at the end follows.
 * Runs are dealt by ranges of (language, phrase), that is by prefix: Spark samples the
   runs, so the ranges of a common prefix are as large as any others. A range is
@@ -46,9 +46,9 @@ from responsekit.session import discard, materialize
 
 MIN_COUNT, LONGEST, TOP, COVER = 30, 4, 2000, 80
 NO_LANG = "und"
-#: Entries of a hash container before it bursts, entries and different words a task holds, rows of a batch it sends,
-#: bytes of text that are sorted before they go into the tries.
-BURST, MOST_ENTRIES, MOST_WORDS, ROWS, PIECE = 4096, 1_000_000, 500_000, 1 << 16, 8 << 20
+#: First words that share a container, its entries before it bursts, the deepest node, entries and different words
+#: a task holds, rows of a batch it sends, bytes of text that are sorted before they go into the tries.
+SHARED, BURST, DEEPEST, MOST_ENTRIES, MOST_WORDS, ROWS, PIECE = 256, 16_384, 2, 1_000_000, 500_000, 1 << 16, 8 << 20
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLEAN = bytes.maketrans(_BREAKS + b"\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b"\n" * len(_BREAKS) + b" abcdefghijklmnopqrstuvwxyz")
 _TIMES = np.uint64(0x9E3779B97F4A7C15)
@@ -92,68 +92,88 @@ def phrase_hash(lang: str, columns: list[np.ndarray]) -> np.ndarray:
     return h
 
 
+class Node:
+    """A trie node: its children are containers or nodes, by the first ``depth`` words of a key."""
+
+    def __init__(self, order: int, depth: int):
+        self.depth, self.shift, self.children = depth, ID * (order - depth), {}
+
+
 class HatTrie:
-    """Counts of phrases of ``order`` word ids. ``root`` leads from the first word to a hash container (a dict from
-    the other ids, packed in one number, to the count) or, if that has burst, to a node: a list with one dict from
-    the next word to a container."""
+    """Counts of phrases of ``order`` word ids, packed into one number. Below the root are hash containers (dicts from
+    phrase to count), each shared by the first words of a block of ``SHARED`` ids; a container that grows over
+    ``BURST`` entries bursts into a node with a container for each first word, and these, if there are words left to
+    tell phrases apart by, into one for each second word."""
 
     def __init__(self, order: int):
         self.order, self.root, self.entries = order, {}, 0
 
-    def add(self, first: int, rests: list[int], counts: list[int]) -> None:
-        at = self.root.get(first)
+    def add(self, block: int, keys: list[int], counts: list[int]) -> None:
+        at = self.root.get(block)
         if at is None:
-            at = self.root[first] = {}
-        if isinstance(at, list):
-            shift = ID * (self.order - 2)
-            low = (1 << shift) - 1
-            for r, n in zip(rests, counts):
-                leaf = at[0].get(r >> shift)
-                if leaf is None:
-                    leaf = at[0][r >> shift] = {}
-                self.entries += (r & low) not in leaf
-                leaf[r & low] = leaf.get(r & low, 0) + n
+            at = self.root[block] = {}
+        if isinstance(at, Node):
+            self.add_below(at, keys, counts)
             return
-        before = len(at)
-        for r, n in zip(rests, counts):
-            at[r] = at.get(r, 0) + n
+        before, get = len(at), at.get
+        for k, n in zip(keys, counts):
+            at[k] = get(k, 0) + n
         self.entries += len(at) - before
-        if len(at) > BURST and self.order > 2:
-            self.burst(first, at)
-
-    def burst(self, first: int, container: dict) -> None:
-        shift = ID * (self.order - 2)
-        node: dict = {}
-        for r, n in container.items():
-            node.setdefault(r >> shift, {})[r & ((1 << shift) - 1)] = n
-        self.root[first] = [node]
-
-    def size(self, first: int) -> int:
-        at = self.root[first]
-        return sum(map(len, at[0].values())) if isinstance(at, list) else len(at)
-
-    def take(self, first: int) -> tuple[list[int], list[int]]:
-        """Removes the subtree of a first word: the other ids of its phrases, packed, and the counts."""
-        self.entries -= self.size(first)
-        at = self.root.pop(first)
-        if not isinstance(at, list):
-            return list(at), list(at.values())
-        shift = ID * (self.order - 2)
-        return ([w << shift | r for w, leaf in at[0].items() for r in leaf], [n for leaf in at[0].values() for n in leaf.values()])
-
-
-def as_run(lang: str, order: int, subtrees: list[tuple[int, list[int], list[int]]], names: pa.Array, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Subtrees (first word, packed other ids, counts) as rows (lang, size, phrase, n) in the order of their words."""
-    first = np.repeat([t[0] for t in subtrees], [len(t[1]) for t in subtrees])
-    counts = np.fromiter(chain.from_iterable(t[2] for t in subtrees), np.int64, len(first))
-    rests = chain.from_iterable(t[1] for t in subtrees)
-    columns = [first]
-    if order <= 3:
-        packed = np.fromiter(rests, np.int64, len(first))
-        columns += [packed >> ID * k & _LOW for k in range(order - 2, -1, -1)]
-    else:  # packed ids of more than 64 bits
-        rests = list(rests)
-        columns += [np.fromiter((r >> ID * k & _LOW for r in rests), np.int64, len(first)) for k in range(order - 2, -1, -1)]
+        if len(at) > BURST and self.order > 1:
+            self.root[block] = self.burst(at, 1)
+
+    def add_below(self, node: Node, keys, counts) -> None:
+        for k, n in zip(keys, counts):
+            at, below = node, None
+            while isinstance(at, Node):
+                above, below = at, k >> at.shift
+                at = above.children.get(below)
+            if at is None:
+                at = above.children[below] = {}
+            self.entries += k not in at
+            at[k] = at.get(k, 0) + n
+            if len(at) > BURST and above.depth < min(self.order - 1, DEEPEST):
+                above.children[below] = self.burst(at, above.depth + 1)
+
+    def burst(self, container: dict, depth: int) -> Node:
+        node = Node(self.order, depth)
+        for k, n in container.items():
+            node.children.setdefault(k >> node.shift, {})[k] = n
+        return node
+
+    def containers(self, block: int) -> list[dict]:
+        """All containers of the subtree of a block."""
+        found, open_ = [], [self.root[block]]
+        while open_:
+            at = open_.pop()
+            if isinstance(at, Node):
+                open_ += at.children.values()
+            else:
+                found.append(at)
+        return found
+
+    def size(self, block: int) -> int:
+        return sum(map(len, self.containers(block)))
+
+    def take(self, block: int) -> list[dict]:
+        """Removes the subtree of a block."""
+        found = self.containers(block)
+        del self.root[block]
+        self.entries -= sum(map(len, found))
+        return found
+
+
+def as_run(lang: str, order: int, containers: list[dict], names: pa.Array, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Containers as rows (lang, size, phrase, n) in the order of their words."""
+    size = sum(map(len, containers))
+    counts = np.fromiter(chain.from_iterable(c.values() for c in containers), np.int64, size)
+    keys = chain.from_iterable(containers)
+    if order <= 2:
+        packed = np.fromiter(keys, np.int64, size)
+        columns = [packed >> ID * k & _LOW for k in range(order - 1, -1, -1)]
+    else:  # more than 64 bits
+        keys = list(keys)
+        columns = [np.fromiter((x >> ID * k & _LOW for x in keys), np.int64, size) for k in range(order - 1, -1, -1)]
     by = np.lexsort([rank[c] for c in reversed(columns)])
     for k in range(0, len(by), ROWS):
         at = by[k: k + ROWS]
@@ -200,18 +220,19 @@ class Counter:
             number, dense = np.unique(key, return_inverse=True)
             key = dense << ID | c
         _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        first, *others = (c[where] for c in columns)  # in order of their first words, then of the others
-        if len(others) < 3:
-            rest = (others[0] << ID | others[1] if len(others) == 2 else others[0] if others else np.zeros(len(first), np.int64)).tolist()
+        columns = [c[where] for c in columns]  # in order of their first words, then of the others
+        if order <= 2:
+            keys = (columns[0] << ID | columns[1] if order == 2 else columns[0]).tolist()
         else:
-            rest = [0] * len(first)
-            for c in others:
-                rest = [r << ID | x for r, x in zip(rest, c.tolist())]
+            keys = columns[0].tolist()
+            for c in columns[1:]:
+                keys = [k << ID | x for k, x in zip(keys, c.tolist())]
         counts = counts.tolist()
         trie = self.tries.setdefault((lang, order), HatTrie(order))
-        starts = np.flatnonzero(np.diff(first, prepend=-1))
-        for w, start, end in zip(first[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(first)]):
-            trie.add(w, rest[start:end], counts[start:end])
+        block = columns[0] // SHARED
+        starts = np.flatnonzero(np.diff(block, prepend=-1))
+        for w, start, end in zip(block[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(block)]):
+            trie.add(w, keys[start:end], counts[start:end])
 
     def spill(self, everything: bool = False) -> Iterator[pa.RecordBatch]:
         """Runs of whole subtrees: of all, or of the largest ones until half of the entries are left."""
@@ -226,10 +247,10 @@ class Counter:
         for size, key, w in sorted(((t.size(w), key, w) for key, t in self.tries.items() for w in t.root), reverse=True):
             if total <= left:
                 break
-            taken.setdefault(key, []).append((w, *self.tries[key].take(w)))
+            taken.setdefault(key, []).extend(self.tries[key].take(w))
             total -= size
-        for (lang, order), subtrees in taken.items():
-            yield from as_run(lang, order, subtrees, names, rank)
+        for (lang, order), containers in taken.items():
+            yield from as_run(lang, order, containers, names, rank)
         if left == 0:
             self.words, self.tries = Words(), {}
 
