@@ -43,8 +43,8 @@ from responsekit.session import discard, materialize
 
 #: Vocabulary files, installed on every machine.
 BYTE_BPE, PIECE_BPE = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
-#: Bits of a token id inside a pair code, and links that are expanded at once.
-ID_BITS, MOST_LINKS = 20, 1 << 22
+#: Bits of a token id inside a pair code, links that are expanded at once, bytes of text in a chunk.
+ID_BITS, MOST_LINKS, PIECE = 20, 1 << 20, 2 << 20
 _LOW = (1 << ID_BITS) - 1
 
 
@@ -225,7 +225,7 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_pat
         va, vb = load_byte_bpe(a_path), load_piece_bpe(b_path)
         pack, chunk = zstandard.ZstdCompressor(level=1).compress, task_number() << 32
         for batch in batches:
-            for part in cut_batch(batch):
+            for part in cut_batch(batch, PIECE):
                 got = align_chunk(part.column(1).to_pylist(), va, vb)
                 n = part.num_rows
                 pairs, at = np.unique(got["code"] & ((1 << 2 * ID_BITS) - 1), return_inverse=True)
