@@ -5,32 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from responsekit.session import materialize
+from responsekit.session import discard, materialize
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, label) of every node of ``edges`` (u, v); the label is the component's smallest node.
+    """(node, label) of every node of ``edges`` (u, v), written; the label is the component's smallest node.
 
     Each round hangs every node below its smallest neighbour, follows these
     pointers to the roots of the trees they form, and replaces both ends of
     every edge by their roots, until no edge is left. Parents always are smaller
     nodes, so this ends, and a node that has a parent is in no later edge, so it
     gets one only. Every step is a written table, so a lost executor repeats one
-    step at most."""
+    step at most; a table goes when the next one is written."""
     edges = _oriented(edges.select("u", "v"))
-    trees = None
+    trees = []
     while not edges.isEmpty():
         tree = _to_roots(edges.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("label")))
-        trees = tree if trees is None else trees.unionByName(tree)
+        trees.append(tree)
+        moved = edges
         for end in ("u", "v"):
             root = tree.select(F.col("node").alias(end), "label")
-            edges = edges.join(root, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
-        edges = _oriented(edges)
-    if trees is None:
+            moved = moved.join(root, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+        moved = _oriented(moved)
+        discard(edges)
+        edges = moved
+    if not trees:
         return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    pointers = _to_roots(trees)
+    discard(edges)
+    pointers = trees[0]
+    for tree in trees[1:]:
+        pointers = pointers.unionByName(tree)
+    pointers = _to_roots(pointers)
     roots = pointers.select(F.col("label").alias("node")).distinct()
-    return pointers.unionByName(roots.select("node", F.col("node").alias("label")))
+    out = materialize(pointers.unionByName(roots.select("node", F.col("node").alias("label"))))
+    for table in (*trees, pointers):
+        discard(table)
+    return out
 
 
 def _to_roots(pointers: DataFrame) -> DataFrame:
@@ -41,8 +51,11 @@ def _to_roots(pointers: DataFrame) -> DataFrame:
         moved = materialize(pointers.join(above, "label", "left").select(
             "node", F.coalesce("higher", "label").alias("label"), F.col("higher").isNotNull().alias("moved")))
         if moved.where("moved").isEmpty():
+            discard(moved)
             return pointers
-        pointers = moved.select("node", "label")
+        discard(pointers)
+        table, pointers = moved, moved.select("node", "label")
+        pointers._materialized_path = table._materialized_path
 
 
 def _oriented(edges: DataFrame) -> DataFrame:

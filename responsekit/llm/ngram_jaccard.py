@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from responsekit.llm import bits as B
 from responsekit.llm.common import (
     SHINGLE,
     WORD,
@@ -48,7 +49,7 @@ from responsekit.llm.common import (
     word_hashes,
 )
 from responsekit.llm.components import connected_components
-from responsekit.session import materialize
+from responsekit.session import discard, materialize
 
 THRESHOLD, RECALL, MAX_HASHES = 0.8, 0.999, 100
 BLOCK = 512
@@ -172,16 +173,18 @@ def compare_group(nodes: list[bytes], sides: list[int], weight: list[int], bands
     return [(nodes[k], int(links[k]), nodes[rank[label[place[k]]]]) for k in np.unique(np.concatenate([a, b]))]
 
 
-def shared_buckets(classes: DataFrame) -> DataFrame:
-    """(h, band, members, node) of the buckets of two classes or more, one for each different set of members."""
+def shared_buckets(classes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """(h, band, members, node) of the buckets of two classes or more, one for each different set of members, and
+    the written tables it reads."""
     each = classes.select("node", F.posexplode("bands").alias("band", "h"))
     # written before they are joined back, so that adaptive execution can split a bucket in the join
     shared = materialize(each.groupBy("h").agg(F.count("*").alias("members")).where("members >= 2"))
     full = materialize(each.join(shared, "h"))
+    discard(shared)
     named = full.groupBy("h", "band", "members").agg(F.bit_xor(F.xxhash64("node")).alias("x1"),
                                                      F.bit_xor(F.xxhash64(F.lit(7), "node")).alias("x2"))
-    kept = named.groupBy("members", "x1", "x2").agg(F.min(F.struct("band", "h")).alias("one"))
-    return full.join(materialize(kept.select("one.band", "one.h")), ["band", "h"])
+    kept = materialize(named.groupBy("members", "x1", "x2").agg(F.min(F.struct("band", "h")).alias("one")).select("one.band", "one.h"))
+    return full.join(kept, ["band", "h"]), [full, kept]
 
 
 def blocks(buckets: DataFrame) -> DataFrame:
@@ -193,25 +196,51 @@ def blocks(buckets: DataFrame) -> DataFrame:
                         (F.col("own") > F.col("other")).cast("int").alias("side"))
 
 
+def row_hashes(k1, k2) -> np.ndarray:
+    return mix64(k1.to_numpy().view(np.uint64) ^ mix64(k2.to_numpy().view(np.uint64)))
+
+
+def wanted_sets(keyed: DataFrame, wanted: DataFrame) -> tuple[DataFrame, object]:
+    """(k1, k2, shingles): shingle sets of the rows that a Bloom filter of ``wanted`` (k1, k2) lets through, made where
+    the texts are read, so that no text is shuffled; and the filter, to be freed."""
+    bits = B.BITS
+    merged = materialize(B.merge(B.fill(wanted.select("k1", "k2"), lambda b: row_hashes(b.column(0), b.column(1)), bits), bits))
+    known = B.collect(merged, "once", bits)
+    discard(merged)
+    schema = T.StructType([T.StructField("k1", T.LongType()), T.StructField("k2", T.LongType()), T.StructField("shingles", T.BinaryType())])
+
+    def sets(cols):
+        at = np.flatnonzero(B.BitFilter(bits, known.value).has(row_hashes(cols["k1"], cols["k2"])))
+        return {"k1": cols["k1"].take(at), "k2": cols["k2"].take(at),
+                "shingles": [shingle_set(cols["text"][int(k)].as_py()).tobytes() for k in at]}
+
+    return map_rows(keyed.select("k1", "k2", "text"), sets, schema), known
+
+
 def class_links(keyed: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """(node, links, root) per group and linked class."""
-    units = materialize(blocks(shared_buckets(classes)))
+    """(node, links, root) per group and linked class, written."""
+    buckets, used = shared_buckets(classes)
+    units = materialize(blocks(buckets))
+    for table in used:
+        discard(table)
     met = classes.join(units.select("node").distinct(), "node").select("node", "m", "bands", "first.k1", "first.k2")
-    texts = keyed.select("k1", "k2", "text").join(met, ["k1", "k2"])
-    schema = T.StructType([classes.schema["node"], T.StructField("m", T.LongType()), classes.schema["bands"],
-                           T.StructField("shingles", T.BinaryType())])
-    sets = map_rows(texts, lambda c: {"node": c["node"], "m": c["m"], "bands": c["bands"],
-                                      "shingles": [shingle_set(t.as_py()).tobytes() for t in c["text"]]}, schema)
+    met = materialize(met)
+    rows, known = wanted_sets(keyed, met)
+    # repeated rows have one key: one of them gives the set of the class
+    sets = rows.join(met, ["k1", "k2"]).groupBy("node").agg(*[F.first(c).alias(c) for c in ("m", "bands", "shingles")])
     out = "node binary, links long, root binary"
 
     def compare(key, group):
-        group = group.drop_duplicates("node")
         found = compare_group(list(group["node"]), list(group["side"]), list(group["m"]), np.array(list(group["bands"])),
                               [np.frombuffer(s, dtype=np.uint64) for s in group["shingles"]],
                               int(group["band"].iloc[0]), key[1] == key[2], threshold)
         return type(group)(found, columns=["node", "links", "root"])
 
-    return units.join(sets, "node").groupBy("h", "i", "j").applyInPandas(compare, out)
+    links = materialize(units.join(sets, "node").groupBy("h", "i", "j").applyInPandas(compare, out))
+    known.unpersist()
+    discard(units)
+    discard(met)
+    return links
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_col: str = "doc_id",
@@ -224,13 +253,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "k1", "k2"))
     classes = materialize(signed_docs.where("node is not null").groupBy("node")
                           .agg(F.count("*").alias("m"), first.alias("first"), F.first("bands").alias("bands")))
-    links = materialize(class_links(keyed, classes, threshold))
+    links = class_links(keyed, classes, threshold)
     label = connected_components(links.select(F.col("node").alias("u"), F.col("root").alias("v")))
     counts = links.groupBy("node").agg(F.sum("links").alias("links"))
     known = (classes.select("node", "m", "first").join(counts, "node", "left").join(label, "node", "left")
              .select("node", (F.col("m") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "first",
                      F.coalesce("label", "node").alias("label")))
     known = materialize(known)
+    for table in (links, label, classes):
+        discard(table)
     heads = materialize(known.groupBy("label").agg(F.min("first").alias("head")))
     known = known.join(heads, "label").select("node", "n_links", "head")
     out = signed_docs.join(known, "node", "left")
