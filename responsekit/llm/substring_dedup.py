@@ -128,7 +128,8 @@ def repeated_stretches(keyed: DataFrame, length: int, seed: int) -> DataFrame:
     is_first = F.struct("k1", "k2", "at") == F.col("first")
     judged = judged.select("k1", "k2", "at", "n", (F.col("found") >= 2).alias("whole"),
                            (F.col("several").isNotNull() & ((F.col("found") == 1) | is_first)).alias("emit"))
-    return judged.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "n", "whole", "emit")).alias("stretches"))
+    # repeated rows have one key and equal stretches: the set of them is that of one row
+    return judged.groupBy("k1", "k2").agg(F.collect_set(F.struct("at", "n", "whole", "emit")).alias("stretches"))
 
 
 _WINDOW = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("h", T.LongType()),
