@@ -4,7 +4,8 @@ Rules over document counts each vote good (1), bad (-1) or abstain (0). Spark
 counts how many documents show each vote pattern; expectation-maximisation over
 these patterns (at most ``3 ** len(RULES)`` of them, however large the corpus)
 estimates the share of good documents and, for good and bad documents apart,
-how often each rule votes each way. The posterior probability of a good
+how often each rule votes each way; a rule that calls many documents bad which
+the others call good is found to be a poor one. The posterior probability of a good
 document then replaces filtering by all rules passed.
 
 Defined cases: a null or empty text has no words, so it fails the base rule and
@@ -36,16 +37,17 @@ RULES = [
     ("upper_case", "n_upper_words / n_words", "{0} > 0.15", "false"),
     ("bangs", "n_bang / n_words", "{0} > 0.1", "false"),
     ("long_words", "longest_word", "{0} > 200", "false"),
+    ("letters", "n_letters / word_chars", "{0} < 0.8", "{0} >= 0.9"),
+    ("line_ends", "n_ended_lines / n_lines", "{0} < 0.5", "{0} >= 0.9"),
 ]
-EM_ROUNDS = 50
-#: Prior knowledge: how often a rule votes bad, abstains or votes good in each class (1: good); it weighs as much
-#: as this share of the corpus, at every size alike.
-PRIOR_SHARE = 0.05
+EM_ROUNDS = 200
+#: Prior knowledge, fixed beforehand: how often a rule votes bad, abstains or votes good in each class (1: good), and
+#: the share of good documents. It weighs as much as so many documents, so a corpus outweighs it; nothing else
+#: bounds what EM estimates.
+PRIOR_DOCS, PRIOR_GOOD = 300, 0.8
 PRIOR_BAD_ONLY = {1: {-1: 0.002, 0: 0.996, 1: 0.002}, 0: {-1: 0.3, 0: 0.698, 1: 0.002}}
 PRIOR_BOTH = {1: {-1: 0.01, 0: 0.14, 1: 0.85}, 0: {-1: 0.2, 0: 0.2, 1: 0.6}}
 PRIOR_RATES = [PRIOR_BAD_ONLY if good == "false" else PRIOR_BOTH for _, _, _, good in RULES]
-#: A rule is never held for worse than this: it calls at most so many good documents bad, and at least so many bad ones.
-MOST_WRONG, LEAST_RIGHT = 0.005, 0.2
 
 
 def document_stats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -78,19 +80,16 @@ def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = E
     (an empty corpus) leaves the prior rates."""
     post = [0.1 if -1 in p else 0.95 for p, _ in patterns]
     total = sum(n for _, n in patterns)
-    weigh = PRIOR_SHARE * total + 1
-    prior, rates = 0.8, {c: [dict(p[c]) for p in PRIOR_RATES] for c in (0, 1)}
+    weigh = PRIOR_DOCS
+    prior, rates = PRIOR_GOOD, {c: [dict(p[c]) for p in PRIOR_RATES] for c in (0, 1)}
     for _ in range(rounds):
         good = sum(n * q for (_, n), q in zip(patterns, post))
-        prior = (good + 0.8 * weigh) / (total + weigh)
+        prior = (good + PRIOR_GOOD * weigh) / (total + weigh)
         for c, weight in ((0, total - good), (1, good)):
             for j in range(len(RULES)):
                 for v in (-1, 0, 1):
                     seen = sum(n * (q if c else 1 - q) for (p, n), q in zip(patterns, post) if p[j] == v)
                     rates[c][j][v] = (seen + weigh * PRIOR_RATES[j][c][v]) / (weight + weigh)
-        for j in range(len(RULES)):
-            rates[1][j][-1] = min(rates[1][j][-1], MOST_WRONG)
-            rates[0][j][-1] = max(rates[0][j][-1], LEAST_RIGHT)
         post = [1 / (1 + math.exp(-min(700.0, max(-700.0, log_odds(p, prior, rates))))) for p, _ in patterns]
     right = [(prior * g[1] + (1 - prior) * b[-1], prior * g[-1] + (1 - prior) * b[1]) for g, b in zip(rates[1], rates[0])]
     return {"prior": prior, "rates": rates, "accuracy": [r / (r + w) for r, w in right]}
