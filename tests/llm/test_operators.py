@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from responsekit.llm import decontaminate, license_scan, ngram_jaccard, quality_qda, quality_rules, source_mix
 from responsekit.llm import substring_dedup, token_counts, url_rules, warc
@@ -179,11 +180,38 @@ def test_quality_rules(docs, no_docs):
     assert quality_rules.score_quality(no_docs).count() == 0
 
 
+def pattern(**given):
+    return tuple(given.get(r[0], 1 if r[0] in ("words", "word_length", "repeated_words", "letters", "line_ends") else 0)
+                 for r in quality_rules.RULES)
+
+
 def test_label_model_learns_accuracies():
-    good, bad = (1, 1, 0, 0, 1, 0, 0, 0), (1, 1, -1, -1, -1, 0, 0, 0)
-    model = quality_rules.fit_label_model([(good, 900), (bad, 80), ((1, 1, -1, 0, 1, 0, 0, 0), 20)])
+    good, bad = pattern(), pattern(symbols=-1, repeated_lines=-1, repeated_words=-1, letters=-1)
+    model = quality_rules.fit_label_model([(good, 9000), (bad, 800), (pattern(symbols=-1), 20)])
     assert quality_rules.log_odds(good, model["prior"], model["rates"]) > 0 > quality_rules.log_odds(bad, model["prior"], model["rates"])
     assert all(0 < a < 1 for a in model["accuracy"])
+    assert model["rates"][0][2][-1] > 0.5 and model["rates"][1][2][-1] < 0.01
+
+
+def test_label_model_learns_that_a_rule_is_poor():
+    """400 of 900 documents that every other rule calls good trip one rule: its false-alarm rate is learned."""
+    flagged = pattern(symbols=-1)
+    model = quality_rules.fit_label_model([(pattern(), 500), (flagged, 400)])
+    assert model["rates"][1][2][-1] > 0.3
+    assert quality_rules.log_odds(flagged, model["prior"], model["rates"]) > 0
+    # ten times the corpus: the prior, a fixed number of documents, weighs less
+    more = quality_rules.fit_label_model([(pattern(), 5000), (flagged, 4000)])
+    assert abs(more["rates"][1][2][-1] - 4 / 9) < abs(model["rates"][1][2][-1] - 4 / 9) < 0.15
+
+
+def test_quality_posterior_on_labelled_documents(spark):
+    """The posterior, which has seen no label, agrees with the labels of the given table."""
+    sf = "/root/testdata/sf0.01"
+    got = quality_rules.score_quality(spark.read.parquet(f"{sf}/documents.parquet")).select("id", "posterior")
+    rows = got.join(spark.read.parquet(f"{sf}/labels.parquet"), got["id"] == F.col("doc_id")).collect()
+    right = {q: sum((r["posterior"] >= 0.5) == bool(q) for r in rows if r["quality"] == q) for q in (0, 1)}
+    total = collections.Counter(r["quality"] for r in rows)
+    assert right[0] >= 0.95 * total[0] and right[1] >= 0.95 * total[1]
 
 
 # ---- 4 substring dedup
@@ -231,6 +259,17 @@ def test_cut_repeats(docs, no_docs):
     assert substring_dedup.cut_repeats(no_docs).count() == 0
 
 
+def test_a_row_repeated_ten_thousand_times(spark):
+    """Repeated rows are brought down to one before anything is gathered by row, so work grows with their number."""
+    long = " ".join(f"r{k % 390}x{k}" for k in range(400))
+    df = spark.range(10000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(long).alias("text")).unionByName(
+        spark.createDataFrame([(8, long + " one more"), (9, "other words here")], "doc_id long, text string"))
+    got = substring_dedup.remove_repeats(df, cut=False, carry=["doc_id"]).groupBy("row.doc_id", "n_words", "n_removed").count().collect()
+    assert {tuple(r) for r in got} == {(7, 400, 400, 10000), (8, 402, 400, 1), (9, 3, 0, 1)}
+    links = ngram_jaccard.near_duplicates(df).groupBy("id", "class_id", "n_links").count().collect()
+    assert {tuple(r) for r in links} == {(7, 7, 10000, 10000), (8, 7, 10000, 1), (9, 9, 0, 1)}
+
+
 # ---- 5 n-gram Jaccard join
 
 def brute_links(rows):
@@ -454,19 +493,27 @@ def test_qda_odd_cases(spark, docs, no_docs):
 
 # ---- 10 decontamination
 
+def windows(text, size):
+    w = tokens(text)
+    return {tuple(w[k:k + size]) for k in range(len(w) - size + 1)} if size else set()
+
+
 def test_decontaminate(spark, texts, docs, no_docs):
     items = [(k, " ".join((t or "").split()[3:3 + n])) for k, (t, n) in enumerate(zip(texts, [8, 12, 5, 4, 40, 60, 20, 9] * 10))]
     items += [(500, None), (501, ""), (502, "not there at all ever"), (0, items[0][1]), (503, texts[2][:20] + " " + texts[2])]
+    items += [(600, "the secret answer"), (601, "w1"), (602, "a b c d"), (603, "one"), (604, texts[0].split()[7]),
+              (605, " ".join(texts[1].split()[4:6])), (606, "漢字 🙂"), (607, "漢字 🙂 \n é")]
     want = set()
-    for doc, have in [(r["doc_id"], shingles(r["text"])) for r in docs.distinct().collect()]:
+    for doc, text in [(r["doc_id"], r["text"]) for r in docs.distinct().collect()]:
         for item, s in items:
-            need = shingles(s)
+            size = min(5, len(tokens(s)))
+            need, have = windows(s, size), windows(text, size)
             if need and len(need & have) >= 0.8 * len(need):
                 want.add((doc, item, len(need), len(need & have)))  # rows without id differ in text, none is a pair twice
     df = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.find_leaks(clash(docs), clash(df)).collect()
     assert bag((r["doc_id"], r["item_id"], r["n_item"], r["n_shared"]) for r in got) == bag(want)
-    by_shuffle = decontaminate.find_leaks(docs, df, broadcast_items=0).collect()
+    by_shuffle = decontaminate.find_leaks(docs, df, broadcast_shingles=0).collect()
     assert bag(got) == bag(by_shuffle)
     leaked = {d for d, *_ in want}
     kept = decontaminate.drop_leaks(clash(docs), df)
