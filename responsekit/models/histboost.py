@@ -39,8 +39,9 @@ from pyspark.sql import functions as F
 from responsekit.operators.evaluate import auc_by_group
 from responsekit.session import discard, materialize
 
-#: Rows of a block, rounds of a step, cells (node, feature, bin) summed up at a time, bins of a feature group.
-BLOCK_ROWS, STEP, CELLS, GROUP_BINS = 65_536, 50, 1 << 22, 4096
+#: Rows of a block, rounds of a step, cells (node, feature, bin) summed up at a time, bins of a feature group, cells
+#: (row, feature) up to which all columns are added up in one go.
+BLOCK_ROWS, STEP, CELLS, GROUP_BINS, FEW_CELLS = 65_536, 50, 1 << 22, 4096, 1 << 19
 _UNIT = float(1 << 24)
 
 
@@ -258,42 +259,69 @@ class Block:
 # ---------------------------------------------------------------- growing a tree
 @dataclass
 class Level:
-    """Nodes to split, and the columns that may split them."""
+    """Nodes to split, the columns that may split them, and whether these are all nodes of their level."""
     nodes: np.ndarray
     columns: np.ndarray
+    whole: bool = True
 
 
 def node_sums(rows_slot: np.ndarray, bins: np.ndarray, columns: np.ndarray, g, h, slots: int, starts: np.ndarray, counts: bool) -> np.ndarray:
     """Sums (gradient, hessian, rows) for each slot and bin of ``columns``, side by side in one array."""
-    out = np.zeros((3 if counts else 2, slots, int(starts[-1])))
+    width, values = int(starts[-1]), (g, h, None)[: 3 if counts else 2]
+    if len(rows_slot) * len(columns) <= FEW_CELLS:  # few rows: all columns in one go
+        at = (rows_slot * width)[None, :] + (bins[columns] + starts[:-1, None])
+        many = [None if v is None else np.broadcast_to(v, at.shape).ravel() for v in values]
+        return np.stack([np.bincount(at.ravel(), v, slots * width).reshape(slots, width) for v in many])
+    out = np.zeros((len(values), slots, width))
     for k, f in enumerate(columns):
         a, b = int(starts[k]), int(starts[k + 1])
         at = rows_slot * (b - a) + bins[f]
-        for j, v in enumerate((g, h, None)[: len(out)]):
+        for j, v in enumerate(values):
             out[j, :, a:b] = np.bincount(at, v, slots * (b - a)).reshape(slots, b - a)
     return out
 
 
+def pair_sums(before: tuple | None, nodes: np.ndarray, columns: np.ndarray, slot: np.ndarray, sums_of) -> np.ndarray:
+    """Sums of the ``nodes`` of a level. Where those of their parents are known (``before``: nodes, columns, sums), only
+    the child with fewer rows is added up, its sibling is the rest: whole numbers, so nothing is lost.
+    ``sums_of(slot, slots)`` adds up rows by slot."""
+    if before is None or len(nodes) < 2 or not np.array_equal(before[1], columns):
+        return sums_of(slot, len(nodes))
+    rows = np.bincount(slot[slot >= 0], minlength=len(nodes))
+    small = np.arange(0, len(nodes), 2) + (rows[1::2] < rows[::2])  # siblings follow each other
+    place = np.full(len(nodes) + 1, -1)  # the last is for rows in no slot
+    place[small] = np.arange(len(small))
+    own = sums_of(place[slot], len(small))
+    parents = before[2][:, np.searchsorted(before[0], (nodes[::2] - 1) // 2)]
+    out = np.empty((own.shape[0], len(nodes), own.shape[2]))
+    out[:, small] = own
+    out[:, small ^ 1] = parents - own
+    return out
+
+
 def best_splits(sums: np.ndarray, columns: np.ndarray, starts: np.ndarray, p: Params) -> list[tuple[float, int, int]]:
     """Per slot (gain, feature, cut) of the best split of these columns; gain 0: none."""
     left = np.cumsum(sums, axis=2)
+    left[:2] /= _UNIT  # a power of two
     sizes = np.diff(starts)
-    before = np.concatenate([np.zeros((*left.shape[:2], 1)), left], axis=2)[:, :, starts[:-1]]
-    left -= np.repeat(before, sizes, axis=2)
+    before = left[:, :, starts[1:-1] - 1]
+    left[:, :, starts[1]:] -= np.repeat(before, sizes[1:], axis=2)
     total = left[:, :, starts[1:] - 1]  # the sums of the node, once for each column
-    right = np.repeat(total, sizes, axis=2) - left
+    right = np.repeat(total, sizes, axis=2)
+    right -= left
 
     def worth(g, h):
-        g, h = g / _UNIT, h / _UNIT
         g = np.sign(g) * np.maximum(np.abs(g) - p.l1, 0) if p.l1 else g
-        return g * g / (h + p.l2 + 1e-12)
+        return g * g / (h + (p.l2 + 1e-12))
 
-    gain = worth(left[0], left[1]) + worth(right[0], right[1])
-    least = max(p.min_hessian, 1e-9) * _UNIT
+    gain = worth(left[0], left[1])
+    gain += worth(right[0], right[1])
+    gain -= np.repeat(worth(total[0], total[1]), sizes, axis=1)
+    least = max(p.min_hessian, 1e-9)
     ok = (left[1] >= least) & (right[1] >= least)
     if len(sums) > 2:
         ok &= (left[2] >= p.min_rows) & (right[2] >= p.min_rows)
-    gain = np.where(ok, 0.5 * (gain - np.repeat(worth(total[0], total[1]), sizes, axis=1)) - p.min_gain, 0.0)
+    gain = np.where(ok, 0.5 * gain - p.min_gain, 0.0)
     at = gain.argmax(axis=1)
     col = np.searchsorted(starts, at, "right") - 1
     return [(max(float(gain[s, k]), 0.0), int(columns[c]), int(k - starts[c])) for s, (k, c) in enumerate(zip(at, col))]
@@ -323,7 +351,7 @@ def grow(p: Params, at: int, bins: np.ndarray, split: Callable[[Tree, int, Level
             cols = mine
         width = int(bins[cols].sum())
         step = max(1, CELLS // width)
-        found = [x for k in range(0, len(nodes), step) for x in split(tree, depth, Level(nodes[k: k + step], cols))]
+        found = [x for k in range(0, len(nodes), step) for x in split(tree, depth, Level(nodes[k: k + step], cols, step >= len(nodes)))]
         nxt = []
         for node, (gain, f, cut) in zip(nodes, found):
             if gain > 0:
@@ -375,9 +403,15 @@ def advance(block: Block, p: Params, bins: np.ndarray, first: int, rounds: int,
                 now["depth"], now["node"] = depth, np.where(f >= 0, 2 * node + 1 + right, node)
             starts = starts_of(bins, level.columns)
             slot = slots_of(now["node"], level.nodes, len(tree.feature))
-            rows = np.flatnonzero(slot >= 0)
-            part = mine if len(rows) == len(slot) else mine[:, rows]
-            sums = node_sums(slot[rows], part, level.columns, grads[1][rows], grads[2][rows], len(level.nodes), starts, p.min_rows > 1)
+
+            def sums_of(slot, slots):
+                rows = np.flatnonzero(slot >= 0)
+                part = mine if len(rows) == len(slot) else mine[:, rows]
+                return node_sums(slot[rows], part, level.columns, grads[1][rows], grads[2][rows], slots, starts, p.min_rows > 1)
+
+            sums = pair_sums(now.get("sums"), level.nodes, level.columns, slot, sums_of)
+            # kept for the next level if it is the whole level
+            now["sums"] = (level.nodes, level.columns, sums) if level.whole else None
             return best_splits(sums, level.columns, starts, p)
 
         tree = grow(p, at, bins, split, lambda t, d, grads=grads: block_totals(block, grads, t, d))
