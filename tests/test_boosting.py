@@ -214,3 +214,46 @@ def test_spaces_cover_their_ranges(space):
                 assert v[1] <= p[k] <= v[2]
     if space == "mlp":
         assert any(2.0 in p["ratios"] for p in drawn)
+
+
+def test_fits_over_several_blocks_share_jobs(planted):
+    """Fits side by side over several blocks: the trees, curves and best rounds of fits on their own over one block."""
+    df, cols = planted
+    params = [H.Params(rounds=7, rate=0.5, depth=3), H.Params(rounds=9, rate=0.5, depth=2, rows=0.8, columns=0.7, min_rows=4)]
+    alone, shared = {}, {}
+    for out, block_rows in ((alone, None), (shared, 150)):
+        data = H.prepare(df, cols, "Target", "ID", fold="fold", block_rows=block_rows)
+        jobs = H.fit_jobs({(k, f): H.Booster(data, p, held_out=f) for k, p in enumerate(params) for f in (0, None)}, None)
+        assert len(jobs) == (4 if block_rows is None else 1)
+        for job in jobs.values():
+            out.update(job())
+    for k, (a, _) in alone.items():
+        b, _ = shared[k]
+        assert len(a.trees) == len(b.trees) and all(same(x, y) for x, y in zip(a.trees, b.trees))
+        assert np.allclose(a.curve.learn, b.curve.learn) and np.allclose(a.curve.test, b.curve.test, equal_nan=True)
+
+
+def test_ninety_thousand_rows_are_one_block(spark):
+    """0.1 GB of customers: a round is a part of one task, not a job for each level."""
+    df = spark.range(90_000).select(F.col("id").alias("ID"), (F.col("id") % 2).alias("Target"), (F.col("id") % 7).cast("double").alias("x"))
+    assert H.prepare(df, ["x"], "Target", "ID").blocks == 1
+
+
+def test_packed_columns_have_the_sums_of_each():
+    rng = np.random.default_rng(5)
+    bins = np.array([2, 250, 3, 2, 1, 40, 2, 2, 2, 2, 2, 2, 2, 256, 5])
+    b = np.stack([rng.integers(0, k, 40_000) for k in bins]).astype(np.uint8)
+    packs, block = H.Packs(bins), type("B", (), {})()
+    block.bins, block.n, block.codes = b, b.shape[1], packs.codes(b)
+    assert len(packs.columns) < len(bins) and sorted(c for p in packs.columns for c in p) == list(range(len(bins)))
+    rows = np.flatnonzero(rng.random(40_000) < 0.9)
+    slot, g, h = rng.integers(0, 3, len(rows)), rng.integers(-2 ** 24, 2 ** 24, len(rows)).astype(float), rng.integers(0, 2 ** 22, len(rows)).astype(float)
+    columns = np.array([0, 1, 2, 5, 6, 9, 12, 13, 14])
+    starts = H.starts_of(bins, columns)
+    assert len(rows) * len(columns) <= H.FEW_CELLS
+    few = H.node_sums(slot, block, packs, rows, columns, g, h, 3, starts, True)
+    limit, H.FEW_CELLS = H.FEW_CELLS, 0
+    try:
+        assert (H.node_sums(slot, block, packs, rows, columns, g, h, 3, starts, True) == few).all()
+    finally:
+        H.FEW_CELLS = limit
