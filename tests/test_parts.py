@@ -155,3 +155,16 @@ def test_smote_of_a_large_minority(spark, monkeypatch):
     df = df.withColumn("Target", (F.col("ID") % 4 == 0).cast("long"))
     rows = smote(df, cols).collect()
     assert len(rows) == 200 and len({r["ID"] for r in rows}) == 200
+
+
+def test_neighbours_of_training_rows_use_the_trees_above_the_limit(spark, monkeypatch):
+    from responsekit.operators import lsh
+    from responsekit.plans import registry
+    rows = spark.range(120).select(F.col("id").alias("ID"), F.lit(1).alias("Target"), (F.col("id") * 7 % 31).cast("double").alias("z_a"), F.col("id").cast("double").alias("z_b"))
+    monkeypatch.setattr(registry, "train_minority_z", lambda *_: (rows, ["z_a", "z_b"]))
+    exact = {tuple(r) for r in registry.QUERIES["smote_train_neighbours"](spark, "").collect()}
+    asked, own = [], lsh.knn_lsh
+    monkeypatch.setattr(lsh, "knn_lsh", lambda *a, **k: asked.append(1) or own(*a, **k))
+    monkeypatch.setattr(lsh.knn, "__defaults__", (5, "ID", 50))
+    found = {tuple(r) for r in registry.QUERIES["smote_train_neighbours"](spark, "").collect()}
+    assert asked and found == exact  # one cell holds these rows: all neighbours are found
