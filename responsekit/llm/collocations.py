@@ -57,10 +57,18 @@ _LOW = (1 << ID) - 1
 RUNS = "lang string, size int, phrase string, n long"
 
 
-def pieces(text: str | None) -> Iterator[list[bytes]]:
-    """The words of every piece of a text, pieces without words left out."""
-    data = (text or "").encode("utf-8", "surrogatepass").translate(_CLEAN)
-    return filter(None, map(bytes.split, data.split(b"\n")))
+def split_words(texts: list[str | None]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words of some texts: their places in the array of different words (in order of first use), that array, and
+    the number of the piece each lies in."""
+    data = "\n".join([t or "" for t in texts]).encode("utf-8", "surrogatepass").translate(_CLEAN)
+    data = np.frombuffer(data, np.uint8)
+    ends = data == 10  # of pieces
+    inside = ~(ends | (data == 32))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))  # starts and ends of words by turns
+    starts = edges[::2]
+    offsets = np.concatenate([[0], np.cumsum(edges[1::2] - starts)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])]).dictionary_encode()
+    return words.indices.to_numpy(), words.dictionary, np.searchsorted(np.flatnonzero(ends), starts)
 
 
 class Words(dict):
@@ -192,17 +200,10 @@ class Counter:
 
     def add(self, lang: str, texts: list[str | None]) -> None:
         """Counts the phrases of some texts."""
-        ids: list[int] = []
-        sizes: list[int] = []
-        number = self.words.__getitem__
-        for t in texts:
-            for p in pieces(t):
-                ids += map(number, p)
-                sizes.append(len(p))
-        if not ids:
+        at, different, piece = split_words(texts)
+        if not len(at):
             return
-        word = np.array(ids, dtype=np.int64)
-        piece = np.repeat(np.arange(len(sizes)), sizes)
+        word = np.array(list(map(self.words.__getitem__, different.to_pylist())), dtype=np.int64)[at]
         for order in self.orders:
             if len(word) < order:
                 continue
@@ -215,12 +216,24 @@ class Counter:
                 self.count(lang, order, [word[at + k] for k in range(order)])
 
     def count(self, lang: str, order: int, columns: list[np.ndarray]) -> None:
-        key = columns[0]
-        for c in columns[1:]:  # numbered anew at each step, so that two numbers fit into one
-            number, dense = np.unique(key, return_inverse=True)
-            key = dense << ID | c
-        _, where, counts = np.unique(key, return_index=True, return_counts=True)
-        columns = [c[where] for c in columns]  # in order of their first words, then of the others
+        used = np.zeros(len(self.words.names), dtype=bool)
+        for c in columns:
+            used[c] = True
+        number, dense = np.flatnonzero(used), np.cumsum(used) - 1
+        bits = max(1, (len(number) - 1).bit_length())
+        if order * bits < 64:  # the words, numbered anew, fit into one number
+            key = dense[columns[0]]
+            for c in columns[1:]:
+                key = key << bits | dense[c]
+            key, counts = np.unique(key, return_counts=True)
+            columns = [number[key >> bits * k & (1 << bits) - 1] for k in range(order - 1, -1, -1)]
+        else:
+            key = columns[0]
+            for c in columns[1:]:  # numbered anew at each step, so that two numbers fit into one
+                _, dense = np.unique(key, return_inverse=True)
+                key = dense << ID | c
+            _, where, counts = np.unique(key, return_index=True, return_counts=True)
+            columns = [c[where] for c in columns]  # in order of their first words, then of the others
         if order <= 2:
             keys = (columns[0] << ID | columns[1] if order == 2 else columns[0]).tolist()
         else:

@@ -334,6 +334,35 @@ def test_scores_pass_64_bits(spark):
     assert s == 2000000 * 9 * 10 ** 15 // (10 ** 16 + 9 * 10 ** 15 + 1)
 
 
+def test_words_are_split_at_once():
+    """The words of a batch come out of one pass over its bytes, with their pieces, as splitting text by text gives them."""
+    texts = ["", None, "a  B\ta, b.\x0bé a!?", " \n", "A", "\U0001F600 b;c", "::"]
+    at, different, piece = C.split_words(texts)
+    want = [[w.encode() for w in re.split(r"[ \t]+", re.sub("[A-Z]", lambda m: m[0].lower(), p)) if w]
+            for t in texts for p in re.split(r"[.,;:!?\n-\r]", t or "")]
+    got = collections.defaultdict(list)
+    for k, p in zip(at.tolist(), piece.tolist()):
+        got[p].append(different[k].as_py())
+    assert list(got.values()) == [w for w in want if w]
+    assert [len(x) for x in C.split_words(["", None])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("n", [3, 70_000])  # 70,000 words: four of them don't fit into 64 bits
+def test_counting_packs_words_if_they_fit(n):
+    words = [f"w{k}" for k in range(n)]
+    counter, got = C.Counter((1, 2, 3, 4), None), collections.Counter()
+    for texts in ([" ".join(words), " ".join(words[:5])], [" ".join(reversed(words)), " ".join(words)]):
+        counter.add("en", texts)
+    for run in counter.spill(everything=True):
+        for p, k in zip(run.column(2).to_pylist(), run.column(3).to_pylist()):
+            got[p] += k
+    want = collections.Counter()
+    for text in (words, words[:5], words[::-1], words):
+        for size in (1, 2, 3, 4):
+            want.update(" ".join(text[k: k + size]) for k in range(len(text) - size + 1))
+    assert got == want
+
+
 def test_collocations_empty_table(spark, no_docs):
     assert collocations(no_docs).collect() == []
     assert isinstance(collocations(no_docs).schema["score"].dataType, T.LongType)
