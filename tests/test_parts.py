@@ -168,3 +168,17 @@ def test_neighbours_of_training_rows_use_the_trees_above_the_limit(spark, monkey
     monkeypatch.setattr(lsh.knn, "__defaults__", (5, "ID", 50))
     found = {tuple(r) for r in registry.QUERIES["smote_train_neighbours"](spark, "").collect()}
     assert asked and found == exact  # one cell holds these rows: all neighbours are found
+
+
+def test_order_spend_is_summed_in_whole_units(spark, tmp_path):
+    """The sums of an order are longs, so a group of the aggregate is small, and exact to 10^-4."""
+    from responsekit.sources.profile import SPEND_BY_TYPE, per_order_spend
+    (first, economy), (second, large) = SPEND_BY_TYPE[:2]
+    lines = [(1, 1, 9999999999.99, 0.01), (1, 1, 0.01, 0.99), (1, 2, 100.07, 0.05), (1, 3, 5.0, 0.0), (2, 2, None, 0.1), (2, 2, 7.0, 0.1)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_extendedprice double, l_discount double").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, economy), (2, large), (3, None)], "p_partkey long, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    spend = per_order_spend(spark, str(tmp_path))
+    assert {t for _, t in spend.dtypes} == {"bigint"}
+    got = {r["l_orderkey"]: (r[first], r[second]) for r in spend.collect()}
+    assert got == {1: (98999999999901 + 1, 950665), 2: (0, 63000)}
