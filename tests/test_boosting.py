@@ -290,3 +290,37 @@ def test_runs_of_rows_and_joined_blocks_give_the_same_trees(spark, monkeypatch):
     assert len(asked) == 3  # the binned parts, the block, the step
     assert whole == joined
     assert whole[0] == 1 and whole[1] == list(range(900))
+
+
+def test_columns_that_follow_from_others_need_no_count_of_their_own():
+    r = np.random.default_rng(5)
+    n = 6_000
+    a, b, c = r.integers(0, 200, n), r.integers(0, 3, n), r.integers(0, 25, n)
+    # a twice, a group of a, one-hot columns of c and its rest by 5; b is apart from them
+    rows = np.stack([a, a, a // 50, *[(c == k) for k in range(25)], c % 5, b]).astype(np.uint8)
+    bins = rows.max(axis=1).astype(np.int64) + 1
+    packs = H.BlockPacks(bins, rows)
+    assert len(packs.columns) == 2 and packs.same[1] == 0
+    np.testing.assert_array_equal(packs.different(np.array([1, 2, 29])), [1, 2, 29])
+    y = (r.random(n) < 0.2 + 0.3 * (a > 120) + 0.3 * (c % 5 == 1)).astype(float)
+
+    def block():
+        data = dict(key=np.arange(n), y=y, w=np.where(y > 0, 3.0, 1.0), fold=(np.arange(n) % 4 == 0).astype(np.int32),
+                    bins=rows, margin=np.zeros(n))
+        return H.Block({"n": n, **{k: v.tobytes() for k, v in data.items()}}, len(rows))
+
+    def plain(bins, _):
+        packs = H.Packs(bins)
+        packs.different = lambda columns: columns
+        return packs
+
+    for p in (H.Params(depth=4, min_rows=5), H.Params(depth=5, columns=0.7, level_columns=0.8, rows=0.6, l1=0.1, min_gain=0.05)):
+        ways = []
+        for make in (H.BlockPacks, plain):
+            with pytest.MonkeyPatch.context() as m:
+                m.setattr(H, "BlockPacks", make)
+                m.setattr(H, "FEW_CELLS", 0)
+                one = block()
+                ways.append(([t.pack() for t in H.advance(one, p, bins, 0, 6, 1, lambda _: None)], one.margin))
+        assert ways[0][0] == ways[1][0]
+        np.testing.assert_array_equal(ways[0][1], ways[1][1])
